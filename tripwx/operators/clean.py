@@ -75,13 +75,26 @@ def funnel(df: DataFrame, rules: list[Rule], input_label: str = "input") -> Data
     return one_row.selectExpr(f"stack({len(labels)}, {stack_args}) as (stage_no, stage, rows)")
 
 
-def impute_mean(df: DataFrame, columns: list[str], stable_digits: int | None = None) -> DataFrame:
-    """Replace NULL with the column mean.  All means come from one
-    aggregate; a column whose mean is NULL (all NULL / empty) is left as is."""
+def impute_mean(df: DataFrame, columns: list[str], exact_scale: int | None = None) -> DataFrame:
+    """Replace NULL with the column mean.
+
+    All means come from one aggregate (one scan for any number of
+    columns); a column whose mean is NULL (all NULL / empty) is left as is.
+    With ``exact_scale`` the values are known to carry at most that many
+    decimals and the sum is taken as an exact decimal, so the mean does not
+    depend on the order in which partitions are added up.
+    """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    row = df.agg(*[F.avg(F.col(quote(c))).alias(c) for c in present]).first()
+
+    def mean(c):
+        if exact_scale is None:
+            return F.avg(F.col(quote(c)))
+        exact_sum = F.sum(F.col(quote(c)).cast(f"decimal(38,{exact_scale})")).cast("double")
+        return exact_sum / F.count(F.col(quote(c)))
+
+    row = df.agg(*[mean(c).alias(c) for c in present]).first()
     means = {c: row[c] for c in present if row[c] is not None}
     if not means:
         return df

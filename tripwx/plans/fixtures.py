@@ -269,6 +269,35 @@ SELECT c_name AS "Sensor.ID", c_mktsegment AS "Install.Type",
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
+# ------------------------------------------------------------ v_bike_new
+def bike_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New-format bike rows (ride ids, underscore names) from orders."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("ride_id"),
+        F.lit("classic_bike").alias("rideable_type"),
+        F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("string"))
+         .otherwise(F.col("o_orderpriority")).alias("start_station_name"),
+        F.when(F.col("o_orderkey") % 17 == 0, F.lit(None).cast("string"))
+         .otherwise(F.col("o_orderstatus")).alias("end_station_name"),
+        (_dbl(F.col("o_orderkey") % 15 + 400) / 10).alias("start_lat"),
+        (_dbl(F.col("o_orderkey") % 12 - 745) / 10).alias("start_lng"),
+        (_dbl(F.col("o_custkey") % 15 + 400) / 10).alias("end_lat"),
+        (_dbl(F.col("o_custkey") % 12 - 745) / 10).alias("end_lng"),
+    )
+
+
+SQL_BIKE_NEW = """
+SELECT 'R' || CAST(o_orderkey AS VARCHAR) AS ride_id, 'classic_bike' AS rideable_type,
+       CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS start_station_name,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS end_station_name,
+       CAST(o_orderkey % 15 + 400 AS DOUBLE) / 10 AS start_lat,
+       CAST(o_orderkey % 12 - 745 AS DOUBLE) / 10 AS start_lng,
+       CAST(o_custkey % 15 + 400 AS DOUBLE) / 10 AS end_lat,
+       CAST(o_custkey % 12 - 745 AS DOUBLE) / 10 AS end_lng
+FROM orders
+"""
+
 SQL = {
     "v_trips": SQL_TRIPS,
     "v_weather_raw": SQL_WEATHER_RAW,
@@ -276,4 +305,5 @@ SQL = {
     "v_taxi_raw": SQL_TAXI_RAW,
     "v_bike_raw": SQL_BIKE_RAW,
     "v_sensor_raw": SQL_SENSOR_RAW,
+    "v_bike_new": SQL_BIKE_NEW,
 }

@@ -83,7 +83,8 @@ def clean_impute(merged: DataFrame, year: int) -> DataFrame:
     the weather measures, day/month/segment columns."""
     rules = [year_rule(year)] + outlier_rules(merged)
     valid = clean.apply_rules(merged, rules)
-    filled = clean.impute_mean(valid, WEATHER_MEASURES)
+    # the measures were rounded to 2 decimals by the weather clean step
+    filled = clean.impute_mean(valid, WEATHER_MEASURES, exact_scale=2)
     return filled.withColumns({
         "day_of_month": F.dayofmonth("date"),
         "month": F.month("date"),

@@ -47,6 +47,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "v_taxi_raw": ([], fixtures.SQL_TAXI_RAW),
     "v_bike_raw": ([], fixtures.SQL_BIKE_RAW),
     "v_sensor_raw": ([], fixtures.SQL_SENSOR_RAW),
+    "v_bike_new": ([], fixtures.SQL_BIKE_NEW),
     "w_typed": (["v_weather_raw"], """
 SELECT ts AS "timestamp", CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
        CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS VARCHAR) AS year,
@@ -84,6 +85,58 @@ SELECT t.date, t.time_hours, t.start_longitude, t.start_latitude, t.trip_duratio
        t.is_taxi, w.temp_f, w.precipitation_mm, w.rain_mm, w.cloudcover_pct, w.windspeed_kmh,
        w.wind_direction_deg, w.season, w.beaufort_scale, w.isHot, w.isWindy
 FROM trips_union t LEFT JOIN w_pub w ON t.date = w.date AND t.time_hours = w.time_hours"""),
+    "zone_lookup": (["v_zones"], """
+SELECT TRY_CAST(LocationID AS BIGINT) AS PULocationID, TRY_CAST(longitude AS DOUBLE) AS lookup_longitude,
+       TRY_CAST(latitude AS DOUBLE) AS lookup_latitude
+FROM v_zones"""),
+    "taxi_trips": (["v_taxi_raw", "zone_lookup"], """
+SELECT z.lookup_longitude AS start_longitude, z.lookup_latitude AS start_latitude,
+       CAST(hour(t.tpep_pickup_datetime) AS INTEGER) AS time_hours,
+       CAST(t.tpep_pickup_datetime AS DATE) AS date,
+       CAST(epoch(t.tpep_dropoff_datetime) - epoch(t.tpep_pickup_datetime) AS DOUBLE) AS trip_duration,
+       t.trip_distance AS distance, 1 AS is_taxi
+FROM v_taxi_raw t LEFT JOIN zone_lookup z ON t.PULocationID = z.PULocationID"""),
+    "bike_trips": (["v_bike_raw"], f"""
+SELECT * FROM (
+  SELECT "start station longitude" AS start_longitude, "start station latitude" AS start_latitude,
+         CAST(hour(starttime) AS INTEGER) AS time_hours, CAST(starttime AS DATE) AS date,
+         CAST(tripduration AS DOUBLE) AS trip_duration,
+         {haversine_sql('"start station latitude"', '"start station longitude"', '"end station latitude"', '"end station longitude"', C.EARTH_RADIUS_KM)} AS distance,
+         0 AS is_taxi
+  FROM v_bike_raw
+  WHERE tripduration IS NOT NULL AND starttime IS NOT NULL AND stoptime IS NOT NULL
+    AND "start station name" IS NOT NULL AND "start station latitude" IS NOT NULL
+    AND "start station longitude" IS NOT NULL AND "end station name" IS NOT NULL
+    AND "end station latitude" IS NOT NULL AND "end station longitude" IS NOT NULL
+    AND bikeid IS NOT NULL AND usertype IS NOT NULL) b
+WHERE start_longitude IS NOT NULL AND start_latitude IS NOT NULL AND time_hours IS NOT NULL
+  AND date IS NOT NULL AND trip_duration IS NOT NULL AND distance IS NOT NULL"""),
+    "merged_inner": (["v_trips", "w_pub"], """
+SELECT DISTINCT * FROM (
+  SELECT t.date, t.time_hours, t.start_longitude, t.start_latitude, t.trip_duration, t.distance,
+         t.is_taxi, w.temp_f, w.precipitation_mm, w.rain_mm, w.cloudcover_pct, w.windspeed_kmh,
+         w.wind_direction_deg, w.season, w.beaufort_scale, w.isHot, w.isWindy
+  FROM (SELECT * FROM v_trips WHERE is_taxi = 0 UNION ALL SELECT * FROM v_trips WHERE is_taxi = 1) t
+  JOIN w_pub w ON t.date = w.date AND t.time_hours = w.time_hours) m
+WHERE date IS NOT NULL AND time_hours IS NOT NULL AND start_longitude IS NOT NULL
+  AND start_latitude IS NOT NULL AND trip_duration IS NOT NULL AND distance IS NOT NULL
+  AND is_taxi IS NOT NULL AND temp_f IS NOT NULL AND precipitation_mm IS NOT NULL
+  AND rain_mm IS NOT NULL AND cloudcover_pct IS NOT NULL AND windspeed_kmh IS NOT NULL
+  AND wind_direction_deg IS NOT NULL AND season IS NOT NULL AND beaufort_scale IS NOT NULL
+  AND isHot IS NOT NULL AND isWindy IS NOT NULL"""),
+    "sensor_clean": (["v_sensor_raw"], f"""
+SELECT * FROM (
+  SELECT {rs('AirTemp', 2)} AS airtemp, CAST(try_strptime("Day", '%m/%d/%Y') AS DATE) AS day,
+         CAST("Hour" AS INTEGER) AS hour, Latitude AS latitude, Longitude AS longitude,
+         CAST("Year" AS VARCHAR) AS year, Borough AS borough, ntacode
+  FROM v_sensor_raw) s
+WHERE airtemp IS NOT NULL AND day IS NOT NULL AND hour IS NOT NULL AND latitude IS NOT NULL
+  AND longitude IS NOT NULL AND year IS NOT NULL AND borough IS NOT NULL AND ntacode IS NOT NULL
+  AND airtemp BETWEEN -20.0 AND 130.0 AND hour BETWEEN 0 AND 23"""),
+    "sensor_enrich": (["sensor_clean"], """
+SELECT airtemp, day, hour, latitude, longitude, year, upper(trim(borough)) AS borough, ntacode,
+       strftime(day, '%Y-%m-%d') AS day_iso, CASE WHEN airtemp >= 80.0 THEN 1 ELSE 0 END AS isHot
+FROM sensor_clean WHERE year = '2019'"""),
 }
 
 

@@ -1,4 +1,4 @@
-"""Query registry: name -> (Spark builder, DuckDB oracle SQL or None).
+"""Query registry used by ``__spark_entry__``.
 
 Every builder reads the driver's tables under ``sf_dir`` through the views
 in ``fixtures`` and runs the library's operators over the whole tables.
@@ -6,85 +6,13 @@ in ``fixtures`` and runs the library's operators over the whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tripwx.plans import q_ingest, q_io, q_ml, q_profile  # noqa: F401  (registration)
+from tripwx.plans.register import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tripwx.plans import analytics, fixtures, merge, weather
-from tripwx.plans.oracle import DATA_YEAR, rs, sql
-
-Builder = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Builder] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None):
-    def deco(fn: Builder) -> Builder:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-    return deco
-
-
-# ------------------------------------------------------------ shared inputs
-def published_weather(spark, sf):
-    return weather.published(fixtures.weather_raw(spark, sf), DATA_YEAR)
-
-
-def taxi_and_bike(spark, sf):
-    trips = fixtures.trips(spark, sf)
-    return trips.filter(F.col("is_taxi") == 1), trips.filter(F.col("is_taxi") == 0)
-
-
-def merged_left(spark, sf):
-    taxi, bike = taxi_and_bike(spark, sf)
-    return merge.merge_left(taxi, bike, published_weather(spark, sf))
-
-
-# ------------------------------------------------------------ flagship
-@register("weather_duration", sql(f"""
-SELECT round(temp_f / 5, 0) * 5 AS temp_bucket, is_taxi,
-       {rs('avg(trip_duration)', 2)} AS avg_duration,
-       {rs('avg(precipitation_mm)', 2)} AS avg_precip,
-       {rs('avg(windspeed_kmh)', 2)} AS avg_wind,
-       count(*) AS trip_count
-FROM merged_left GROUP BY 1, 2""", "merged_left"))
-def q_weather_duration(spark, sf):
-    return analytics.weather_duration(merged_left(spark, sf))
-
-
-@register("temp_bucket_counts", sql("""
-SELECT round(temp_f / 5, 0) * 5 AS temp_bucket, is_taxi, count(*) AS count
-FROM merged_left GROUP BY 1, 2""", "merged_left"))
-def q_temp_bucket_counts(spark, sf):
-    return analytics.temp_bucket_counts(merged_left(spark, sf))
-
-
-@register("merge_left", sql("SELECT * FROM merged_left", "merged_left"))
-def q_merge_left(spark, sf):
-    return merged_left(spark, sf)
-
-
-@register("weather_clean", sql("SELECT * FROM w_clean", "w_clean"))
-def q_weather_clean(spark, sf):
-    return weather.cleaned(fixtures.weather_raw(spark, sf))
-
-
-@register("weather_enrich", sql("SELECT * FROM w_enrich", "w_enrich"))
-def q_weather_enrich(spark, sf):
-    return weather.enriched(weather.cleaned(fixtures.weather_raw(spark, sf)), DATA_YEAR)
-
-
-@register("weather_publish", sql("SELECT * FROM w_pub", "w_pub"))
-def q_weather_publish(spark, sf):
-    return published_weather(spark, sf)
-
-
-def queries() -> dict[str, Builder]:
+def queries():
     return dict(QUERIES)
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql():
     return dict(ORACLE)
