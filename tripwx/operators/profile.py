@@ -130,14 +130,16 @@ def top_k(df: DataFrame, key: str, k: int = 10) -> DataFrame:
             .orderBy(F.desc("count"), F.asc(key)).limit(k))
 
 
-def describe_typed(df: DataFrame, columns: list[str]) -> DataFrame:
+def describe_typed(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
     """count/mean/stddev/min/max per column as typed values (``describe()``
     returns strings).  One aggregate, then unpivoted to one row per column."""
+    def r(c):
+        return c if digits is None else round_stable(c, digits)
     aggs = []
     for c in columns:
         x = _q(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
+        aggs += [F.count(x).alias(f"{c}__count"), r(F.avg(x)).alias(f"{c}__mean"),
+                 r(F.stddev_samp(x)).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     parts = ", ".join(
@@ -145,6 +147,20 @@ def describe_typed(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(columns)}, {parts}) as (column_name, count, mean, stddev, min, max)")
 
 
+def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
+    """First ``n`` rows in a fixed order (TakeOrdered: each task keeps n)."""
+    keys = order_by or df.columns
+    return df.orderBy(*[F.asc_nulls_first(_q(c)) for c in keys]).limit(n)
+
+
+def distinct_preview(df: DataFrame, columns: list[str], n: int = 3) -> DataFrame:
+    """(column_name, value): the ``n`` smallest non-NULL distinct values of
+    every column, as text."""
+    parts = [df.select(F.lit(c).alias("column_name"), _q(c).cast("string").alias("value"))
+             .where(F.col("value").isNotNull()).distinct().orderBy("value").limit(n) for c in columns]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Spark's own string-valued summary (count, mean, stddev, min, max)."""
     return df.describe(*(columns or []))
@@ -171,7 +187,8 @@ def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4
     recounts the candidates exactly and keeps the best, ties smallest."""
     fi = df.freqItems(columns, support)
     cands = functools.reduce(DataFrame.unionByName, [
-        fi.select(F.lit(c).alias("column_name"), F.explode(f"{c}_freqItems").cast("double").alias("value"))
+        fi.select(F.lit(c).alias("column_name"), F.explode(f"{c}_freqItems").alias("value"))
+        .withColumn("value", F.col("value").cast("double"))
         for c in columns]).where(F.col("value").isNotNull() & ~F.isnan("value")).distinct()
     vals = _long_values(df, columns, "double")
     matched = vals.join(F.broadcast(cands), ["column_name", "value"], "left_semi")
@@ -199,8 +216,8 @@ def medians_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     running count over the values, so the work is one shuffle of distinct
     values per column, never a sort of all rows in one task.
     """
-    return exact_quantile(df, columns, 0.5).groupBy().pivot("column_name", columns).agg(
-        F.first("quantile")).select(*[F.col(c).alias(f"median_{c}") for c in columns])
+    wide = _pivot_one(exact_quantile(df, columns, 0.5), "quantile", columns)
+    return wide.select(*[_q(c).alias(f"median_{c}") for c in columns])
 
 
 def exact_quantile(df: DataFrame, columns: list[str], p: float, dtype: str = "double",
@@ -236,12 +253,52 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, dtype: str = "do
     return hit.groupBy("column_name").agg(F.min("value").alias("quantile"))
 
 
+def _pivot_one(long_df: DataFrame, value: str, columns: list[str]) -> DataFrame:
+    """(column_name, value) rows -> one row with a column per name."""
+    return long_df.groupBy().pivot("column_name", columns).agg(F.first(value))
+
+
+def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = None,
+                    digits: int = 6) -> DataFrame:
+    """(column_name, record_count, <stddev_of>_stddev, mean, median, mode).
+
+    Count, stddev and all means are ONE aggregate; exact medians and modes
+    are one pair of shuffles each over all columns; the three small per-
+    column tables (one row per column) are joined by broadcast."""
+    aggs = [F.count(F.lit(1)).alias("record_count")]
+    if stddev_of:
+        aggs.append(round_stable(F.stddev_samp(_q(stddev_of)), digits).alias(f"{stddev_of}_stddev"))
+    aggs += [round_stable(F.avg(_q(c)), digits).alias(f"{c}__mean") for c in columns]
+    wide = df.agg(*aggs)
+    keep = ["record_count"] + ([f"{stddev_of}_stddev"] if stddev_of else [])
+    parts = ", ".join(f"'{c}', `{c}__mean`" for c in columns)
+    means = wide.selectExpr(*keep, f"stack({len(columns)}, {parts}) as (column_name, mean)")
+    med = exact_quantile(df, columns, 0.5).withColumnRenamed("quantile", "median")
+    mod = modes(df, columns).select("column_name", "mode")
+    return (means.join(F.broadcast(med), "column_name", "left")
+            .join(F.broadcast(mod), "column_name", "left"))
+
+
+def stats_table(df: DataFrame, columns: dict[str, str], digits: int = 6) -> DataFrame:
+    """Rows Mean / Median / Mode, one column per (renamed) input column.
+    Medians here are exact; ``approx_quantiles`` gives the published sketch."""
+    names = list(columns)
+    mean = df.agg(F.lit("Mean").alias("Stat_Type"),
+                  *[round_stable(F.avg(_q(c)), digits).alias(a) for c, a in columns.items()])
+    med = _pivot_one(exact_quantile(df, names, 0.5), "quantile", names)
+    med = med.select(F.lit("Median").alias("Stat_Type"), *[_q(c).alias(a) for c, a in columns.items()])
+    mod = _pivot_one(modes(df, names), "mode", names)
+    mod = mod.select(F.lit("Mode").alias("Stat_Type"), *[_q(c).alias(a) for c, a in columns.items()])
+    return mean.unionByName(med).unionByName(mod)
+
+
 def profile(df: DataFrame, numeric: list[str], aggregate_columns: list[str]) -> dict[str, DataFrame]:
     """The table profile as named DataFrames; a section is present only
     when its columns exist."""
     out = {
         "rows": row_count(df),
         "nulls": null_counts(df),
+        "sample": df.limit(10),
     }
     present_numeric = [c for c in numeric if c in df.columns]
     if present_numeric:
