@@ -1 +1,187 @@
-"""Registered queries: sources and sinks."""
+"""Registered queries: sources and sinks.
+
+Each query writes data that Spark derives from the driver's tables to a
+fresh folder under the shared checkpoint folder (``spark.checkpoint.dir``)
+and reads it back through the source under test.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tripwx.plans import analytics, fixtures, inputs, merge, trips, weather
+from tripwx.plans.oracle import sql
+from tripwx.plans.register import register
+from tripwx.session import scratch_path
+from tripwx.sources import csv as csv_src
+from tripwx.sources import parquet as pq
+from tripwx.sources import sinks
+
+DB = "tripwx_db"
+
+
+def _ntz(df, cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def _database(spark):
+    sinks.ensure_database(spark, DB, scratch_path(spark, "warehouse"))
+    return DB
+
+
+# ------------------------------------------------------------------ sources
+@register("scan_parquet", sql("""
+SELECT event_id, event_type, value FROM events WHERE event_type = 'error'"""))
+def q_scan_parquet(spark, sf):
+    # header / inferSchema are CSV options: the Parquet reader ignores them
+    ev = pq.scan(spark, f"{sf}/events.parquet", columns=["event_id", "event_type", "value"],
+                 header="true", inferSchema="true")
+    return ev.where(F.col("event_type") == "error")
+
+
+@register("scan_multi_path", sql("SELECT * FROM v_trips", "v_trips"))
+def q_scan_multi_path(spark, sf):
+    t = fixtures.trips(spark, sf)
+    base = scratch_path(spark, "multi")
+    paths = []
+    for i in range(3):
+        p = f"{base}/part{i}"
+        sinks.write_parquet(t.filter(F.col("time_hours") % 3 == i), p)
+        paths.append(p)
+    return pq.scan(spark, *paths)
+
+
+@register("scan_glob", sql("""
+SELECT CAST(tpep_pickup_datetime AS TIMESTAMP) AS tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance,
+       PULocationID, DOLocationID FROM v_taxi_raw""", "v_taxi_raw"))
+def q_scan_glob(spark, sf):
+    kept = trips.taxi_kept(fixtures.taxi_raw(spark, sf))
+    folder = scratch_path(spark, "glob")
+    sinks.write_parquet(kept.repartition(2), folder)
+    # a nested folder and a non-Parquet file that discovery must skip
+    sinks.write_parquet(kept.limit(5), f"{folder}/nested")
+    spark.createDataFrame([("not data",)], "t string").write.mode("overwrite").text(f"{folder}/notes")
+    return _ntz(pq.scan_dataset(spark, folder), ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+
+
+@register("scan_schema_drift", sql("""
+SELECT tpep_pickup_datetime, tpep_dropoff_datetime, fare_amount, tip_amount, total_amount,
+       CASE WHEN PULocationID % 3 = 2 THEN NULL ELSE passenger_count END AS passenger_count, trip_distance
+FROM v_taxi_raw""", "v_taxi_raw"))
+def q_scan_schema_drift(spark, sf):
+    raw = fixtures.taxi_raw(spark, sf).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ["tpep_pickup_datetime", "tpep_dropoff_datetime"]})
+    base = scratch_path(spark, "drift")
+    k = F.col("PULocationID") % 3
+    sinks.write_parquet(raw.filter(k == 0).withColumn("passenger_count", F.col("passenger_count").cast("int")),
+                        f"{base}/a")
+    sinks.write_parquet(raw.filter(k == 1), f"{base}/b")
+    sinks.write_parquet(raw.filter(k == 2).drop("passenger_count"), f"{base}/c")
+    files = [f for d in ("a", "b", "c") for f in pq.discover(spark, f"{base}/{d}")]
+    df = pq.scan_aligned(spark, files, trips.TAXI_SUMMARY)
+    return _ntz(df, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+
+
+@register("scan_csv_infer", sql("SELECT * FROM w_clean", "w_clean"))
+def q_scan_csv_infer(spark, sf):
+    path = scratch_path(spark, "weather_csv")
+    sinks.write_csv(fixtures.weather_raw(spark, sf), path)
+    return weather.cleaned(csv_src.scan_csv(spark, path, infer=True))
+
+
+@register("scan_csv_glob", sql("""
+SELECT start_longitude, start_latitude, time_hours, date, trip_duration, round(distance, 6) AS distance, is_taxi
+FROM bike_trips""", "bike_trips"))
+def q_scan_csv_glob(spark, sf):
+    folder = scratch_path(spark, "bike_csv")
+    sinks.write_csv(fixtures.bike_raw(spark, sf).repartition(3), folder)
+    raw = csv_src.scan_csv(spark, f"{folder}/*.csv", infer=True)
+    return trips.bike_trips(raw).withColumn("distance", F.round("distance", 6))
+
+
+@register("lookup_csv", sql("""
+SELECT TRY_CAST(LocationID AS BIGINT) AS PULocationID, Zone, TRY_CAST(longitude AS DOUBLE) AS lookup_longitude,
+       TRY_CAST(latitude AS DOUBLE) AS lookup_latitude
+FROM v_zones WHERE CAST(LocationID AS BIGINT) % 41 <> 0""", "v_zones"))
+def q_lookup_csv(spark, sf):
+    z = fixtures.zones(spark, sf)
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+    full = F.concat_ws(",", "LocationID", "Borough", quoted("Zone"), "service_zone",
+                       F.coalesce("longitude", F.lit("")), F.coalesce("latitude", F.lit("")))
+    short = F.concat_ws(",", "LocationID", "Borough", quoted("Zone"))
+    lines = z.select(F.when(F.col("LocationID").cast("bigint") % 41 == 0, short).otherwise(full).alias("value"))
+    header = spark.createDataFrame([("locationID,Borough,Zone,service_zone,x,y",)], "value string")
+    path = scratch_path(spark, "zones_csv")
+    header.union(lines).coalesce(1).write.mode("overwrite").text(path)
+    raw = csv_src.scan_lookup_csv(spark, path, ["locationID", "Borough", "Zone", "service_zone", "x", "y"])
+    lk = trips.zone_lookup(raw)
+    return lk.join(raw.select(F.col("locationID").try_cast("bigint").alias("PULocationID"), "Zone"),
+                   "PULocationID")
+
+
+# -------------------------------------------------------------------- sinks
+@register("sink_parquet", sql("SELECT * FROM merged_left", "merged_left"))
+def q_sink_parquet(spark, sf):
+    path = scratch_path(spark, "merged")
+    sinks.write_parquet(inputs.merged_left(spark, sf), path, partition_by=["date"])
+    return spark.read.parquet(path)
+
+
+@register("sink_csv", sql(f"""
+SELECT round(temp_f / 5, 0) * 5 AS temp_bucket, is_taxi,
+       round(avg(trip_duration) + sign(avg(trip_duration)) * 1e-9, 2) AS avg_duration,
+       round(avg(precipitation_mm) + sign(avg(precipitation_mm)) * 1e-9, 2) AS avg_precip,
+       round(avg(windspeed_kmh) + sign(avg(windspeed_kmh)) * 1e-9, 2) AS avg_wind,
+       count(*) AS trip_count
+FROM merged_left GROUP BY 1, 2""", "merged_left"))
+def q_sink_csv(spark, sf):
+    path = scratch_path(spark, "weather_duration_csv")
+    sinks.write_single_file(analytics.weather_duration(inputs.merged_left(spark, sf)), path, fmt="csv")
+    return csv_src.scan_csv(spark, path, schema="temp_bucket double, is_taxi int, avg_duration double, "
+                                                "avg_precip double, avg_wind double, trip_count bigint")
+
+
+@register("sink_table", sql("SELECT * FROM w_pub", "w_pub"))
+def q_sink_table(spark, sf):
+    table = f"{_database(spark)}.weather_{uuid.uuid4().hex[:8]}"
+    sinks.save_table(inputs.published_weather(spark, sf), table)
+    return spark.table(table)
+
+
+@register("sink_many", sql("SELECT * FROM w_pub", "w_pub"))
+def q_sink_many(spark, sf):
+    base = scratch_path(spark, "many")
+    sinks.write_many(inputs.published_weather(spark, sf), [("parquet", f"{base}/a"), ("parquet", f"{base}/b")])
+    return spark.read.parquet(f"{base}/b")
+
+
+@register("external_table", sql("SELECT * FROM w_clean", "w_clean"))
+def q_external_table(spark, sf):
+    path = scratch_path(spark, "weather_cleaned")
+    sinks.write_single_file(weather.cleaned(fixtures.weather_raw(spark, sf)), path)
+    table = f"{_database(spark)}.weather_cleaned_{uuid.uuid4().hex[:8]}"
+    ddl = ("`timestamp` timestamp_ntz, date date, hour int, month int, year string, temp_f double, "
+           "precipitation_mm double, rain_mm double, cloudcover_pct double, windspeed_kmh double, "
+           "wind_direction_deg double")
+    sinks.external_parquet_table(spark, table, ddl, path).collect()
+    return spark.table(table)
+
+
+@register("safe_overwrite", sql("""
+SELECT DISTINCT * FROM merged_left
+WHERE date IS NOT NULL AND time_hours IS NOT NULL AND start_longitude IS NOT NULL AND start_latitude IS NOT NULL
+  AND trip_duration IS NOT NULL AND distance IS NOT NULL AND is_taxi IS NOT NULL AND temp_f IS NOT NULL
+  AND precipitation_mm IS NOT NULL AND rain_mm IS NOT NULL AND cloudcover_pct IS NOT NULL
+  AND windspeed_kmh IS NOT NULL AND wind_direction_deg IS NOT NULL
+  AND trip_duration > 0 AND distance >= 0 AND time_hours BETWEEN 0 AND 23
+  AND start_latitude BETWEEN 40.0 AND 41.5 AND start_longitude BETWEEN -74.5 AND -73.0""", "merged_left"))
+def q_safe_overwrite(spark, sf):
+    path = scratch_path(spark, "merged_in_place")
+    sinks.write_parquet(inputs.merged_left(spark, sf), path)
+    # input path == output path: the cleaned frame reads the folder it replaces
+    sinks.safe_overwrite(merge.clean_strict(spark.read.parquet(path)), path)
+    return spark.read.parquet(path)

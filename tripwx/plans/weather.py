@@ -49,7 +49,11 @@ def typed(raw: DataFrame) -> DataFrame:
     """drop -> rename -> parse/cast -> calendar -> convert and round."""
     df = schema.drop_columns(raw, RAW_DROPPED)
     df = schema.rename(df, RAW_RENAMES)
-    ts = F.try_to_timestamp(F.col("timestamp").cast("string"), F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz")
+    if dict(df.dtypes).get("timestamp", "").startswith("timestamp"):
+        # a CSV reader with inferSchema already parsed it; the pattern would not apply
+        ts = F.col("timestamp").cast("timestamp_ntz")
+    else:
+        ts = F.try_to_timestamp(F.col("timestamp").cast("string"), F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz")
     df = df.withColumn("timestamp", ts)
     df = schema.cast_columns(df, {c: "double" for c in ["temp_c"] + MEASURES})
     df = df.withColumns(C.calendar_columns("timestamp"))
