@@ -14,10 +14,12 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+_KEPT: list[DataFrame] = []
 
 
 def union_positional(*frames: DataFrame) -> DataFrame:
@@ -36,6 +38,26 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) ->
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def _small_or_none(dim: DataFrame, max_rows: int) -> DataFrame | None:
+    """The dimension, kept (memory, spilling to disk) once it is proven to
+    have at most ``max_rows`` rows, so the size check and the broadcast
+    share one computation; None (and nothing kept) when it is larger."""
+    kept = dim.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.limit(max_rows + 1).count() <= max_rows:
+        _KEPT.append(kept)
+        return kept
+    kept.unpersist()
+    return None
+
+
+def release_kept() -> int:
+    """Unpersist every dimension kept by ``join_small``; returns how many."""
+    n = len(_KEPT)
+    while _KEPT:
+        _KEPT.pop().unpersist()
+    return n
+
+
 def join_small(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, salt_buckets: int = 0,
                seed: int = 17) -> DataFrame:
@@ -50,8 +72,9 @@ def join_small(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "l
       with 0, AQE's skew-join split does the same at run time.
     """
     on = list(on)
-    if fits_broadcast(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
+    small = _small_or_none(dim, max_rows)
+    if small is not None:
+        return fact.join(F.broadcast(small), on, how)
     if salt_buckets and salt_buckets > 1:
         salt = "__salt"
         salted_fact = fact.withColumn(salt, F.floor(F.rand(seed) * salt_buckets).cast("int"))

@@ -14,6 +14,7 @@ Scale notes
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -220,37 +221,75 @@ def medians_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(*[_q(c).alias(f"median_{c}") for c in columns])
 
 
-def exact_quantile(df: DataFrame, columns: list[str], p: float, dtype: str = "double",
-                   buckets: int = 256) -> DataFrame:
-    """(column_name, quantile): smallest value v with cume_dist(v) >= p.
-
-    1. value counts per (column, value) - partial aggregation, skew-proof;
-    2. per column, ``buckets - 1`` approximate split points over the
-       distinct values (a sketch, one small row per column) cut the values
-       into ranges; the per-range totals are a (columns x buckets) table,
-       whose running sum gives each range its starting rank;
-    3. the running count inside each range is then local to that range,
-       so no task ever sorts more than one range of distinct values.
+def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 256) -> DataFrame:
+    """(column_name, quantile): per column, the smallest value v whose
+    cume_dist(v) >= p (``percentile_disc``), NULLs ignored.
+
+    A selection, not a global sort:
+    1. one aggregate sketches ``buckets - 1`` split points per column
+       (``percentile_approx``; columns x buckets numbers reach the driver);
+    2. one pass bucketizes every value (``Bucketizer``, a binary search in
+       the JVM) and counts rows per (column, bucket) - a columns x buckets
+       table whose running sum tells which bucket holds rank ceil(p * n);
+    3. one pass keeps only the rows of that bucket, counts them per value
+       and takes a running sum inside the bucket.
+    A value holding a third of all rows simply fills its own bucket; the
+    only sort is of one bucket's distinct values per column.
     """
+    from pyspark.ml.feature import Bucketizer
     from pyspark.sql.window import Window
-    counts = (_long_values(df, columns, dtype).where(F.col("value").isNotNull())
-              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+
+    doubles = df.select([_q(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    names = [f"c{i}" for i in range(len(columns))]
     fractions = [i / buckets for i in range(1, buckets)]
-    splits = counts.groupBy("column_name").agg(
-        F.percentile_approx("value", fractions, 10 * buckets).alias("splits"),
-        F.sum("n").alias("total"))
-    ranged = (counts.join(F.broadcast(splits), "column_name")
-              .withColumn("bucket", F.size(F.filter("splits", lambda s: s < F.col("value")))))
-    sums = ranged.groupBy("column_name", "bucket").agg(F.sum("n").alias("bn"))
-    before = Window.partitionBy("column_name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("column_name", "bucket",
-                          F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("offset"))
-    upto = Window.partitionBy("column_name", "bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cum = (ranged.join(F.broadcast(offsets), ["column_name", "bucket"])
-           .withColumn("cum", F.col("offset") + F.sum("n").over(upto)))
-    hit = cum.where(F.col("cum") >= F.ceil(F.col("total") * F.lit(p)))
-    return hit.groupBy("column_name").agg(F.min("value").alias("quantile"))
+    sketch = doubles.agg(*[F.percentile_approx(n, fractions, 4 * buckets).alias(n) for n in names]).first()
+    inf = float("inf")
+    splits = {n: [-inf] + sorted({v for v in (sketch[n] or []) if v is not None}) + [inf] for n in names}
+    live = [n for n in names if sketch[n]]
+    if not live:
+        return df.sparkSession.createDataFrame([], "column_name string, quantile double")
+    bz = Bucketizer(splitsArray=[splits[n] for n in live], inputCols=live,
+                    outputCols=[f"{n}_b" for n in live], handleInvalid="keep")
+    bucketed = bz.transform(doubles.select(*live))
+
+    def long(frame, with_bucket):
+        parts = ", ".join(f"'{n}', {n}" + (f", {n}_b" if with_bucket else "") for n in live)
+        cols = "(column_name, value, bucket)" if with_bucket else "(column_name, value)"
+        return frame.selectExpr(f"stack({len(live)}, {parts}) as {cols}").where(
+            F.col("value").isNotNull() & ~F.isnan("value"))
+
+    per_bucket = (long(bucketed, True).groupBy("column_name", "bucket")
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+    targets = {}
+    for n in live:
+        rows = sorted((r["bucket"], r["n"]) for r in per_bucket if r["column_name"] == n)
+        total = sum(k for _, k in rows)
+        if total == 0:
+            continue
+        rank, before = max(1, math.ceil(round(p * total, 9))), 0
+        for b, k in rows:
+            if before + k >= rank:
+                targets[n] = (int(b), rank - before)
+                break
+            before += k
+    if not targets:
+        return df.sparkSession.createDataFrame([], "column_name string, quantile double")
+    in_target = None
+    for n, (b, _) in targets.items():
+        lo, hi = splits[n][b], splits[n][b + 1]
+        cond = (F.col("column_name") == n) & (F.col("value") >= lo) & (F.col("value") < hi)
+        in_target = cond if in_target is None else in_target | cond
+    need = df.sparkSession.createDataFrame([(n, r) for n, (_, r) in targets.items()],
+                                           "column_name string, need long")
+    vc = long(doubles.select(*live), False).where(in_target).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("column_name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    hit = (vc.withColumn("cum", F.sum("n").over(upto)).join(F.broadcast(need), "column_name")
+           .where(F.col("cum") >= F.col("need")))
+    label = F.element_at(F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(f"c{i}"), F.lit(c))]),
+                         F.col("column_name"))
+    return hit.groupBy("column_name").agg(F.min("value").alias("quantile")).select(
+        label.alias("column_name"), "quantile")
 
 
 def _pivot_one(long_df: DataFrame, value: str, columns: list[str]) -> DataFrame:
