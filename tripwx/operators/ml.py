@@ -33,10 +33,11 @@ MODE_LABELS = {1.0: "YELLOW TAXI", 0.0: "CITIBIKE"}
 _TWO_32 = 4294967296.0
 
 
-def uniform(key_cols: list[str], seed: int = SEED) -> Column:
+def uniform(key_cols: list[str], seed: int = SEED, purpose: str = "") -> Column:
     """Deterministic number in [0, 1) from the row's key columns: the first
-    32 bits of md5(seed|k1|k2|...)."""
-    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
+    32 bits of md5(purpose|seed|k1|k2|...).  Each decision (balancing,
+    splitting) uses its own ``purpose`` so the draws are independent."""
+    key = F.concat_ws("|", F.lit(purpose), F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / _TWO_32
 
 
@@ -64,14 +65,14 @@ def balance_classes(df: DataFrame, label: str = LABEL, key_cols: list[str] | Non
     if method == "sample":
         kept = major.sample(withReplacement=False, fraction=fraction, seed=seed)
     else:
-        kept = major.filter(uniform(key_cols or df.columns, seed) < fraction)
+        kept = major.filter(uniform(key_cols or df.columns, seed, "balance") < fraction)
     return rest.union(kept)
 
 
 def split_hash(df: DataFrame, key_cols: list[str], train_fraction: float = SPLIT[0],
                seed: int = SEED) -> DataFrame:
     """M2 (reproducible form): adds ``split`` = 'train' / 'test'."""
-    return df.withColumn("split", F.when(uniform(key_cols, seed) < train_fraction, "train").otherwise("test"))
+    return df.withColumn("split", F.when(uniform(key_cols, seed, "split") < train_fraction, "train").otherwise("test"))
 
 
 def split_random(df: DataFrame, weights=SPLIT, seed: int = SEED) -> list[DataFrame]:

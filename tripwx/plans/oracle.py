@@ -15,7 +15,7 @@ DATA_YEAR = 2024  # the driver's event tables cover January 2024
 
 def rs(expr: str, n: int) -> str:
     """SQL twin of ``round_stable``."""
-    return f"round(({expr}) + sign({expr}) * 1e-9, {n})"
+    return f"(round(({expr}) + sign({expr}) * 1e-9, {n}) + 0.0)"
 
 
 def season_sql(month: str) -> str:

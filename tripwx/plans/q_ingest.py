@@ -21,7 +21,7 @@ def _all_not_null(cols):
 
 # ------------------------------------------------------ E15 published analytics
 @register("weather_duration", sql(f"""
-SELECT round(temp_f / 5, 0) * 5 AS temp_bucket, is_taxi,
+SELECT round(temp_f / 5, 0) * 5 + 0.0 AS temp_bucket, is_taxi,
        {rs('avg(trip_duration)', 2)} AS avg_duration,
        {rs('avg(precipitation_mm)', 2)} AS avg_precip,
        {rs('avg(windspeed_kmh)', 2)} AS avg_wind,
@@ -32,7 +32,7 @@ def q_weather_duration(spark, sf):
 
 
 @register("temp_bucket_counts", sql("""
-SELECT round(temp_f / 5, 0) * 5 AS temp_bucket, is_taxi, count(*) AS count
+SELECT round(temp_f / 5, 0) * 5 + 0.0 AS temp_bucket, is_taxi, count(*) AS count
 FROM merged_left GROUP BY 1, 2""", "merged_left"))
 def q_temp_bucket_counts(spark, sf):
     return analytics.temp_bucket_counts(inputs.merged_left(spark, sf))

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tripwx.plans import analytics, fixtures, inputs, merge, trips, weather
-from tripwx.plans.oracle import sql
+from tripwx.plans.oracle import rs, sql
 from tripwx.plans.register import register
 from tripwx.session import scratch_path
 from tripwx.sources import csv as csv_src
@@ -132,10 +132,10 @@ def q_sink_parquet(spark, sf):
 
 
 @register("sink_csv", sql(f"""
-SELECT round(temp_f / 5, 0) * 5 AS temp_bucket, is_taxi,
-       round(avg(trip_duration) + sign(avg(trip_duration)) * 1e-9, 2) AS avg_duration,
-       round(avg(precipitation_mm) + sign(avg(precipitation_mm)) * 1e-9, 2) AS avg_precip,
-       round(avg(windspeed_kmh) + sign(avg(windspeed_kmh)) * 1e-9, 2) AS avg_wind,
+SELECT round(temp_f / 5, 0) * 5 + 0.0 AS temp_bucket, is_taxi,
+       {rs('avg(trip_duration)', 2)} AS avg_duration,
+       {rs('avg(precipitation_mm)', 2)} AS avg_precip,
+       {rs('avg(windspeed_kmh)', 2)} AS avg_wind,
        count(*) AS trip_count
 FROM merged_left GROUP BY 1, 2""", "merged_left"))
 def q_sink_csv(spark, sf):

@@ -11,9 +11,14 @@ from tripwx.plans.q_ingest import MERGED_COLS, _all_not_null
 from tripwx.plans.register import register
 
 KEY = ["date", "time_hours", "start_longitude", "start_latitude", "trip_duration", "distance"]
-_U = ("CAST(('0x' || substr(md5(concat_ws('|', '12345', CAST(date AS VARCHAR), CAST(time_hours AS VARCHAR), "
-      "CAST(start_longitude AS VARCHAR), CAST(start_latitude AS VARCHAR), CAST(trip_duration AS VARCHAR), "
-      "CAST(distance AS VARCHAR))), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0")
+
+
+def _u(purpose):
+    return ("CAST(('0x' || substr(md5(concat_ws('|', '" + purpose + "', '12345', CAST(date AS VARCHAR), "
+            "CAST(time_hours AS VARCHAR), CAST(start_longitude AS VARCHAR), CAST(start_latitude AS VARCHAR), "
+            "CAST(trip_duration AS VARCHAR), CAST(distance AS VARCHAR))), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0")
+
+
 _CLEAN = f"SELECT * FROM merged_left WHERE {_all_not_null(MERGED_COLS)}"
 _BALANCED = f"""
 WITH c AS ({_CLEAN}),
@@ -21,7 +26,7 @@ WITH c AS ({_CLEAN}),
      mj AS (SELECT is_taxi AS major, k AS major_n FROM n ORDER BY k DESC, CAST(is_taxi AS VARCHAR) DESC LIMIT 1),
      mn AS (SELECT min(k) AS minor_n FROM n)
 SELECT c.* FROM c, mj, mn
-WHERE c.is_taxi <> mj.major OR {_U} < least(1.0, CAST(mn.minor_n AS DOUBLE) / mj.major_n)"""
+WHERE c.is_taxi <> mj.major OR {_u('balance')} < least(1.0, CAST(mn.minor_n AS DOUBLE) / mj.major_n)"""
 _RULE = "CASE WHEN distance >= 100 THEN 1.0 ELSE 0.0 END"
 
 
@@ -39,7 +44,7 @@ def q_balance_classes(spark, sf):
 
 
 @register("split_hash", sql(f"""
-SELECT *, CASE WHEN {_U} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ({_BALANCED}) b""", "merged_left"))
+SELECT *, CASE WHEN {_u('split')} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ({_BALANCED}) b""", "merged_left"))
 def q_split_hash(spark, sf):
     return ml.split_hash(ml.balance_classes(_clean(spark, sf), "is_taxi", KEY), KEY)
 
