@@ -99,3 +99,13 @@ def test_stats_table_shape(spark):
     by = {r["Stat_Type"]: r for r in out}
     assert set(by) == {"Mean", "Median", "Mode"}
     assert by["Mode"]["Lat"] == 40.2 and by["Median"]["Lng"] == -73.9
+
+
+def test_exact_quantile_refines_until_small(spark):
+    rnd = random.Random(11)
+    vals = [rnd.random() * 1000 for _ in range(5000)] + [500.0] * 2500
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    xs = np.sort(vals)
+    for p in (0.1, 0.5, 0.77):
+        got = P.exact_quantile(df, ["a"], p, buckets=4, max_sort_values=50).first()["quantile"]
+        assert got == xs[int(np.ceil(p * len(xs))) - 1]

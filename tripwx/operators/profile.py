@@ -221,72 +221,111 @@ def medians_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(*[_q(c).alias(f"median_{c}") for c in columns])
 
 
-def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 256) -> DataFrame:
+def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 256,
+                   max_sort_values: int = 2_000_000, max_rounds: int = 8) -> DataFrame:
     """(column_name, quantile): per column, the smallest value v whose
-    cume_dist(v) >= p (``percentile_disc``), NULLs ignored.
+    cume_dist(v) >= p (``percentile_disc``), NULL and NaN ignored.
 
-    A selection, not a global sort:
+    A distributed selection, not a global sort:
     1. one aggregate sketches ``buckets - 1`` split points per column
        (``percentile_approx``; columns x buckets numbers reach the driver);
-    2. one pass bucketizes every value (``Bucketizer``, a binary search in
-       the JVM) and counts rows per (column, bucket) - a columns x buckets
-       table whose running sum tells which bucket holds rank ceil(p * n);
-    3. one pass keeps only the rows of that bucket, counts them per value
-       and takes a running sum inside the bucket.
-    A value holding a third of all rows simply fills its own bucket; the
-    only sort is of one bucket's distinct values per column.
+    2. one pass bucketizes every value (``Bucketizer``: a binary search in
+       the JVM) and counts rows and approximate distinct values per
+       (column, bucket) - a columns x buckets table; its running sum names
+       the bucket holding rank ceil(p * n) and the rank inside it;
+    3. while that bucket still holds more than ``max_sort_values`` distinct
+       values, steps 1-2 repeat on that bucket's rows only;
+    4. one pass counts the target bucket's rows per value and takes a
+       running sum over at most ``max_sort_values`` distinct values.
+    A value holding a third of all rows fills a bucket on its own (one
+    distinct value), so skew never enlarges the final sort.
     """
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql.window import Window
 
-    doubles = df.select([_q(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    spark = df.sparkSession
     names = [f"c{i}" for i in range(len(columns))]
+    doubles = df.select([_q(c).cast("double").alias(n) for n, c in zip(names, columns)])
     fractions = [i / buckets for i in range(1, buckets)]
-    sketch = doubles.agg(*[F.percentile_approx(n, fractions, 4 * buckets).alias(n) for n in names]).first()
     inf = float("inf")
-    splits = {n: [-inf] + sorted({v for v in (sketch[n] or []) if v is not None}) + [inf] for n in names}
-    live = [n for n in names if sketch[n]]
+    # state per column: (lo, hi, rank wanted inside [lo, hi), rows in range)
+    state: dict[str, tuple[float, float, int | None, int | None]] = {n: (-inf, inf, None, None) for n in names}
+
+    def in_range(n):
+        lo, hi = state[n][:2]
+        c = F.col(n).isNotNull() & ~F.isnan(n)
+        if lo != -inf:
+            c = c & (F.col(n) >= lo)
+        if hi != inf:
+            c = c & (F.col(n) < hi)
+        return c
+
+    open_cols = list(names)
+    for _ in range(max_rounds):
+        if not open_cols:
+            break
+        sk = doubles.agg(*[F.percentile_approx(F.when(in_range(n), F.col(n)), fractions, 4 * buckets).alias(n)
+                           for n in open_cols]).first()
+        splits = {}
+        for n in open_cols:
+            lo, hi = state[n][:2]
+            inner = sorted({v for v in (sk[n] or []) if v is not None and lo < v < hi})
+            if inner:
+                splits[n] = [lo] + inner + [hi]
+            elif state[n][2] is None:
+                state[n] = (0.0, 0.0, None, 0)   # no non-NULL value at all
+            # else: the sketch cannot cut this range further; keep it as is
+        open_cols = [n for n in open_cols if n in splits]
+        if not open_cols:
+            break
+        bz = Bucketizer(splitsArray=[splits[n] for n in open_cols], inputCols=open_cols,
+                        outputCols=[f"{n}_b" for n in open_cols], handleInvalid="keep")
+        marked = bz.transform(doubles.select(*open_cols)).select(
+            *[F.when(in_range(n), F.col(f"{n}_b")).alias(f"{n}_b") for n in open_cols], *open_cols)
+        parts = ", ".join(f"'{n}', {n}_b, {n}" for n in open_cols)
+        stats = (marked.selectExpr(f"stack({len(open_cols)}, {parts}) as (column_name, bucket, value)")
+                 .where(F.col("bucket").isNotNull())
+                 .groupBy("column_name", "bucket")
+                 .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value").alias("d"))
+                 .collect())
+        still_open = []
+        for n in open_cols:
+            rows = sorted((int(r["bucket"]), r["n"], r["d"]) for r in stats if r["column_name"] == n)
+            total = sum(k for _, k, _ in rows)
+            if total == 0:
+                state[n] = (0.0, 0.0, None, 0)
+                continue
+            need = state[n][2] if state[n][2] is not None else max(1, math.ceil(round(p * total, 9)))
+            before = 0
+            for b, k, d in rows:
+                if before + k >= need:
+                    state[n] = (splits[n][b], splits[n][b + 1], need - before, k)
+                    if d > max_sort_values and len(splits[n]) > 2:
+                        still_open.append(n)
+                    break
+                before += k
+        open_cols = still_open
+
+    live = {n: st for n, st in state.items() if st[2] is not None}
     if not live:
-        return df.sparkSession.createDataFrame([], "column_name string, quantile double")
-    bz = Bucketizer(splitsArray=[splits[n] for n in live], inputCols=live,
-                    outputCols=[f"{n}_b" for n in live], handleInvalid="keep")
-    bucketed = bz.transform(doubles.select(*live))
-
-    def long(frame, with_bucket):
-        parts = ", ".join(f"'{n}', {n}" + (f", {n}_b" if with_bucket else "") for n in live)
-        cols = "(column_name, value, bucket)" if with_bucket else "(column_name, value)"
-        return frame.selectExpr(f"stack({len(live)}, {parts}) as {cols}").where(
-            F.col("value").isNotNull() & ~F.isnan("value"))
-
-    per_bucket = (long(bucketed, True).groupBy("column_name", "bucket")
-                  .agg(F.count(F.lit(1)).alias("n")).collect())
-    targets = {}
+        return spark.createDataFrame([], "column_name string, quantile double")
+    cond = None
     for n in live:
-        rows = sorted((r["bucket"], r["n"]) for r in per_bucket if r["column_name"] == n)
-        total = sum(k for _, k in rows)
-        if total == 0:
-            continue
-        rank, before = max(1, math.ceil(round(p * total, 9))), 0
-        for b, k in rows:
-            if before + k >= rank:
-                targets[n] = (int(b), rank - before)
-                break
-            before += k
-    if not targets:
-        return df.sparkSession.createDataFrame([], "column_name string, quantile double")
-    in_target = None
-    for n, (b, _) in targets.items():
-        lo, hi = splits[n][b], splits[n][b + 1]
-        cond = (F.col("column_name") == n) & (F.col("value") >= lo) & (F.col("value") < hi)
-        in_target = cond if in_target is None else in_target | cond
-    need = df.sparkSession.createDataFrame([(n, r) for n, (_, r) in targets.items()],
-                                           "column_name string, need long")
-    vc = long(doubles.select(*live), False).where(in_target).groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("n"))
+        c = (F.col("column_name") == n) & F.col("value").isNotNull() & ~F.isnan("value")
+        lo, hi = live[n][:2]
+        if lo != -inf:
+            c = c & (F.col("value") >= lo)
+        if hi != inf:
+            c = c & (F.col("value") < hi)
+        cond = c if cond is None else cond | c
+    parts = ", ".join(f"'{n}', {n}" for n in live)
+    need = spark.createDataFrame([(n, st[2]) for n, st in live.items()], "column_name string, need long")
+    vc = (doubles.selectExpr(f"stack({len(live)}, {parts}) as (column_name, value)").where(cond)
+          .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
     upto = Window.partitionBy("column_name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     hit = (vc.withColumn("cum", F.sum("n").over(upto)).join(F.broadcast(need), "column_name")
            .where(F.col("cum") >= F.col("need")))
-    label = F.element_at(F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(f"c{i}"), F.lit(c))]),
+    label = F.element_at(F.create_map(*[x for n, c in zip(names, columns) for x in (F.lit(n), F.lit(c))]),
                          F.col("column_name"))
     return hit.groupBy("column_name").agg(F.min("value").alias("quantile")).select(
         label.alias("column_name"), "quantile")
