@@ -11,8 +11,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tripwx.plans import analytics, fixtures, inputs, merge, trips, weather
-from tripwx.plans.oracle import rs, sql
+from tripwx.plans import analytics, fixtures, inputs, jobs, merge, trips, weather
+from tripwx.plans.oracle import DATA_YEAR, rs, sql
 from tripwx.plans.register import register
 from tripwx.session import scratch_path
 from tripwx.sources import csv as csv_src
@@ -101,11 +101,9 @@ def q_scan_csv_glob(spark, sf):
     return trips.bike_trips(raw).withColumn("distance", F.round("distance", 6))
 
 
-@register("lookup_csv", sql("""
-SELECT TRY_CAST(LocationID AS BIGINT) AS PULocationID, Zone, TRY_CAST(longitude AS DOUBLE) AS lookup_longitude,
-       TRY_CAST(latitude AS DOUBLE) AS lookup_latitude
-FROM v_zones WHERE CAST(LocationID AS BIGINT) % 41 <> 0""", "v_zones"))
-def q_lookup_csv(spark, sf):
+def write_zone_csv(spark, sf, path, short_every=41, header="locationID,Borough,Zone,service_zone,x,y"):
+    """Zone lookup as CSV text: quoted names with commas and doubled quotes,
+    and every ``short_every``-th row cut short (to be dropped as malformed)."""
     z = fixtures.zones(spark, sf)
 
     def quoted(c):
@@ -113,10 +111,20 @@ def q_lookup_csv(spark, sf):
     full = F.concat_ws(",", "LocationID", "Borough", quoted("Zone"), "service_zone",
                        F.coalesce("longitude", F.lit("")), F.coalesce("latitude", F.lit("")))
     short = F.concat_ws(",", "LocationID", "Borough", quoted("Zone"))
-    lines = z.select(F.when(F.col("LocationID").cast("bigint") % 41 == 0, short).otherwise(full).alias("value"))
-    header = spark.createDataFrame([("locationID,Borough,Zone,service_zone,x,y",)], "value string")
-    path = scratch_path(spark, "zones_csv")
-    header.union(lines).coalesce(1).write.mode("overwrite").text(path)
+    lines = z.select(F.when(F.col("LocationID").cast("bigint") % short_every == 0, short)
+                     .otherwise(full).alias("value"))
+    head = spark.createDataFrame([(header,)], "value string")
+    # the lookup is small (one row per zone), so one file with the header first
+    head.union(lines).coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+@register("lookup_csv", sql("""
+SELECT TRY_CAST(LocationID AS BIGINT) AS PULocationID, Zone, TRY_CAST(longitude AS DOUBLE) AS lookup_longitude,
+       TRY_CAST(latitude AS DOUBLE) AS lookup_latitude
+FROM v_zones WHERE CAST(LocationID AS BIGINT) % 41 <> 0""", "v_zones"))
+def q_lookup_csv(spark, sf):
+    path = write_zone_csv(spark, sf, scratch_path(spark, "zones_csv"))
     raw = csv_src.scan_lookup_csv(spark, path, ["locationID", "Borough", "Zone", "service_zone", "x", "y"])
     lk = trips.zone_lookup(raw)
     return lk.join(raw.select(F.col("locationID").try_cast("bigint").alias("PULocationID"), "Zone"),
@@ -185,3 +193,48 @@ def q_safe_overwrite(spark, sf):
     # input path == output path: the cleaned frame reads the folder it replaces
     sinks.safe_overwrite(merge.clean_strict(spark.read.parquet(path)), path)
     return spark.read.parquet(path)
+
+
+# ------------------------------------------------------ end-to-end job chains
+@register("pipeline_weather_merge", sql(f"""
+SELECT round(temp_f / 5, 0) * 5 + 0.0 AS temp_bucket, is_taxi,
+       {rs('avg(trip_duration)', 2)} AS avg_duration,
+       {rs('avg(precipitation_mm)', 2)} AS avg_precip,
+       {rs('avg(windspeed_kmh)', 2)} AS avg_wind,
+       count(*) AS trip_count
+FROM merged_left GROUP BY 1, 2""", "merged_left"))
+def q_pipeline_weather_merge(spark, sf):
+    """Files in, files out: weather CSV -> E1 -> E2 -> E3; trip tables ->
+    E10 LEFT merge -> E15 CSV aggregates, read back."""
+    base = scratch_path(spark, "e2e")
+    sinks.write_csv(fixtures.weather_raw(spark, sf), f"{base}/weather_raw")
+    jobs.weather_clean_job(spark, f"{base}/weather_raw", f"{base}/weather_cleaned")
+    jobs.weather_enrich_job(spark, f"{base}/weather_cleaned", f"{base}/weather_enriched", DATA_YEAR)
+    jobs.weather_publish_job(spark, f"{base}/weather_enriched", [f"{base}/weather_a", f"{base}/weather_b"])
+    taxi, bike = inputs.taxi_and_bike(spark, sf)
+    sinks.write_parquet(taxi, f"{base}/taxi")
+    sinks.write_parquet(bike, f"{base}/bike")
+    jobs.merge_left_job(spark, f"{base}/taxi", f"{base}/bike", f"{base}/weather_a", f"{base}/merged")
+    out = jobs.analytics_job(spark, f"{base}/merged", f"{base}/analytics")
+    return csv_src.scan_csv(spark, out["weather_duration"],
+                            schema="temp_bucket double, is_taxi int, avg_duration double, avg_precip double, "
+                                   "avg_wind double, trip_count bigint")
+
+
+@register("pipeline_ingest", sql("""
+SELECT start_longitude, start_latitude, time_hours, date, trip_duration, distance, is_taxi FROM taxi_trips
+UNION ALL
+SELECT start_longitude, start_latitude, time_hours, date, trip_duration, round(distance, 6), is_taxi FROM bike_trips
+""", "taxi_trips", "bike_trips"))
+def q_pipeline_ingest(spark, sf):
+    """E4 (raw taxi Parquet files + zone CSV) and E7 (bike CSV files), read back."""
+    base = scratch_path(spark, "ingest")
+    sinks.write_parquet(fixtures.taxi_raw(spark, sf).repartition(2), f"{base}/taxi_raw")
+    write_zone_csv(spark, sf, f"{base}/zones.csv", short_every=10 ** 9,
+                   header="LocationID,Borough,Zone,service_zone,longitude,latitude")
+    jobs.taxi_ingest_job(spark, f"{base}/taxi_raw", f"{base}/zones.csv", f"{base}/taxi")
+    sinks.write_csv(fixtures.bike_raw(spark, sf).repartition(2), f"{base}/bike_raw")
+    jobs.bike_ingest_job(spark, f"{base}/bike_raw/*.csv", f"{base}/bike")
+    taxi = spark.read.parquet(f"{base}/taxi")
+    bike = spark.read.parquet(f"{base}/bike").withColumn("distance", F.round("distance", 6))
+    return taxi.unionByName(bike)

@@ -9,6 +9,7 @@ from tripwx.plans import inputs
 from tripwx.plans.oracle import sql
 from tripwx.plans.q_ingest import MERGED_COLS, _all_not_null
 from tripwx.plans.register import register
+from tripwx.session import scratch_path
 
 KEY = ["date", "time_hours", "start_longitude", "start_latitude", "trip_duration", "distance"]
 
@@ -93,4 +94,6 @@ def q_ml_train(spark, sf):
 def q_ml_score(spark, sf):
     merged = inputs.merged_left(spark, sf)
     model, _ = ml.train(merged, KEY)
-    return ml.score(model, merged)
+    path = scratch_path(spark, "model")
+    ml.save(model, path)
+    return ml.score(ml.load(path), merged)
