@@ -94,6 +94,24 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(_q(c).isNull()).alias(c) for c in cols])
 
 
+def null_counts_sql(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A24 in the reference's SQL form: the query text is generated from the
+    column names (backtick-quoted, so spaces, dots and backticks are safe)
+    and run against the frame as a view (``spark.sql`` with a DataFrame
+    argument).  ``count_if`` gives 0 on empty input, unlike ``sum(case..)``."""
+    cols = columns or df.columns
+    select = ", ".join(f"count_if({quote(c)} IS NULL) AS {quote(c)}" for c in cols)
+    return df.sparkSession.sql(f"SELECT {select} FROM {{t}}", t=df)
+
+
+def approx_medians_table(df: DataFrame, columns: list[str], rel_err: float) -> DataFrame:
+    """A13 as a one-row table: ``approxQuantile`` medians with the given
+    relative error (the GK sketch; only the scalars reach the driver)."""
+    med = approx_quantiles(df, columns, rel_err)
+    fields = ", ".join(f"{quote('median_' + c)} double" for c in columns)
+    return df.sparkSession.createDataFrame([tuple(med[c] for c in columns)], fields)
+
+
 def distinct_counts(df: DataFrame, columns: list[str], approx: bool = False,
                     count_null: bool = True) -> DataFrame:
     """Distinct values per column in one pass.  With ``count_null`` a NULL

@@ -269,3 +269,20 @@ def q_preview(spark, sf):
 @register("schema_report", None)
 def q_schema_report(spark, sf):
     return schema.schema_report(spark, inputs.merged_left(spark, sf))
+
+
+_BIKE_RAW_COLS = ["tripduration", "starttime", "stoptime", "start station name", "start station latitude",
+                  "start station longitude", "end station name", "end station latitude", "end station longitude",
+                  "bikeid", "usertype"]
+
+
+@register("null_counts_sql", sql(
+    "SELECT " + ", ".join(f'count_if("{c}" IS NULL) AS "{c}"' for c in _BIKE_RAW_COLS) + " FROM v_bike_raw",
+    "v_bike_raw"))
+def q_null_counts_sql(spark, sf):
+    return P.null_counts_sql(fixtures.bike_raw(spark, sf))
+
+
+@register("median_approx_gk", None)
+def q_median_approx_gk(spark, sf):
+    return P.approx_medians_table(fixtures.bike_raw(spark, sf), list(BIKE_STATS), 0.001)
