@@ -72,3 +72,24 @@ def test_string_indexer_frequency_then_alphabet(spark):
     model = ml.string_indexer("s", "i").fit(df)
     got = {r["s"]: r["i"] for r in model.transform(df).collect()}
     assert got == {"c": 0.0, "a": 1.0, "b": 2.0}
+
+
+def test_score_keeps_unscored_rows(spark):
+    rows = []
+    for i in range(400):
+        taxi = i % 2
+        rows.append((-73.9 - 0.01 * (i % 7), 40.7 + 0.01 * (i % 5), 1.0 + (5.0 if taxi else 0.0) + (i % 3),
+                     i % 24, 50.0 + i % 30, 0.0, ["WINTER", "SPRING"][i % 2], "1 - Light Air", taxi))
+    schema = ("start_longitude double, start_latitude double, distance double, time_hours int, temp_f double, "
+              "precipitation_mm double, season string, beaufort_scale string, is_taxi int")
+    train = spark.createDataFrame(rows, schema)
+    model = ml.pipeline(num_trees=5, max_depth=3).fit(train)
+    new = spark.createDataFrame([(-73.95, 40.75, 2.0, 12, 70.0, 0.0, "AUTUMN", "2 - Light Breeze", 0),
+                                 (-73.95, 40.75, 6.0, 12, 70.0, 0.0, "SPRING", "1 - Light Air", 1),
+                                 (-73.95, None, 6.0, 12, 70.0, 0.0, "SPRING", "1 - Light Air", 1)], schema)
+    assert ml.score(model, new).count() == 1                      # published behaviour: silently skipped
+    out = {r["season"] + str(r["start_latitude"]): r for r in ml.score(model, new, keep_unscored=True).collect()}
+    assert len(out) == 3
+    assert out["AUTUMN40.75"]["predicted_mode"] == "UNSCORED" and out["AUTUMN40.75"]["prediction"] is None
+    assert out["SPRINGNone"]["predicted_mode"] == "UNSCORED"
+    assert out["SPRING40.75"]["predicted_mode"] in ("YELLOW TAXI", "CITIBIKE")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,13 +146,30 @@ def train(data: DataFrame, key_cols: list[str], seed: int = SEED, **forest) -> t
     return model, model.transform(test_df)
 
 
-def score(model: PipelineModel, trips: DataFrame) -> DataFrame:
-    """M8: batch scoring of a trips table; rows the pipeline cannot score
-    (unseen category, NULL feature) are skipped by the pipeline."""
-    out = model.transform(trips)
+def score(model: PipelineModel, trips: DataFrame, keep_unscored: bool = False) -> DataFrame:
+    """M8: batch scoring of a trips table.
+
+    The pipeline skips rows it cannot score (a category the indexers never
+    saw, a NULL/NaN feature).  With ``keep_unscored`` those rows are kept
+    with a NULL prediction and ``predicted_mode = 'UNSCORED'``: the test
+    uses each indexer's label list (a few values) and the raw features, so
+    no key and no join is needed."""
     label = F.when(F.col("prediction") == 1.0, MODE_LABELS[1.0]).otherwise(MODE_LABELS[0.0])
-    keep = [c for c in trips.columns] + ["prediction"]
-    return out.select(*keep).withColumn("predicted_mode", label)
+    keep = list(trips.columns) + ["prediction"]
+    if not keep_unscored:
+        return model.transform(trips).select(*keep).withColumn("predicted_mode", label)
+    ok = F.lit(True)
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            ok = ok & F.col(stage.getInputCol()).isin(*stage.labelsArray[0])
+    for c in FEATURES:
+        if c in trips.columns:
+            ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    ok = F.coalesce(ok, F.lit(False))
+    scored = model.transform(trips.filter(ok)).select(*keep).withColumn("predicted_mode", label)
+    unscored = (trips.filter(~ok).withColumn("prediction", F.lit(None).cast("double"))
+                .withColumn("predicted_mode", F.lit("UNSCORED")))
+    return scored.unionByName(unscored)
 
 
 def save(model: PipelineModel, path: str) -> None:

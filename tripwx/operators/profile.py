@@ -129,18 +129,52 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def smallest_distinct(df: DataFrame, column: str, n: int, passes: int = 2, rows_per_pass: int = 64) -> list:
+    """The ``n`` smallest distinct non-NULL values of a column.
+
+    High-cardinality columns (timestamps, amounts): each pass is a
+    ``TakeOrdered`` - every task keeps only its ``n * rows_per_pass``
+    smallest rows above the largest value found so far (a filter that
+    reaches the Parquet scan) - so one pass usually suffices and nothing
+    else moves.  When duplicates fill the lower tail instead, after
+    ``passes`` passes the remainder is a distinct aggregation above the
+    threshold; map-side partial aggregation collapses exactly those
+    duplicates before the shuffle.
+    """
+    found: list = []
+    base = df.select(_q(column).alias("v")).where(F.col("v").isNotNull())
+
+    def above(frame):
+        return frame if not found else frame.where(F.col("v") > F.lit(found[-1]))
+
+    for _ in range(passes):
+        if len(found) >= n:
+            break
+        got = [r["v"] for r in above(base).orderBy("v").limit(n * rows_per_pass).collect()]
+        if not got:
+            return found
+        for v in got:
+            if not found or v != found[-1]:
+                found.append(v)
+    if len(found) < n:
+        rest = above(base).distinct().orderBy("v").limit(n - len(found)).collect()
+        found += [r["v"] for r in rest]
+    return found[:n]
+
+
 def distinct_bounded(df: DataFrame, column: str, limit: int = 10, categorical: bool = False) -> DataFrame:
-    """Sorted non-NULL distinct values; a non-categorical column shows the
-    first ``limit`` and flags ``has_more`` when another value exists."""
-    d = df.select(column).where(_q(column).isNotNull()).distinct()
+    """Sorted non-NULL distinct values.  A categorical column lists all
+    of them (a distinct aggregation over few values); any other column
+    shows the first ``limit`` and flags ``has_more`` when another exists."""
+    d = df.select(column).where(_q(column).isNotNull())
     if categorical:
-        return d.withColumn("has_more", F.lit(False)).orderBy(column)
-    from pyspark.sql.window import Window
-    top = d.orderBy(column).limit(limit + 1)  # TakeOrdered: at most limit+1 rows leave the map side
-    w = Window.orderBy(column)
-    return (top.withColumn("_rn", F.row_number().over(w))
-            .withColumn("has_more", F.max("_rn").over(Window.partitionBy()) > limit)
-            .where(F.col("_rn") <= limit).drop("_rn").orderBy(column))
+        return d.distinct().withColumn("has_more", F.lit(False)).orderBy(column)
+    values = smallest_distinct(df, column, limit + 1)
+    field = df.schema[column]
+    schema = T.StructType([T.StructField(column, field.dataType, True),
+                           T.StructField("has_more", T.BooleanType(), False)])
+    more = len(values) > limit
+    return df.sparkSession.createDataFrame([(v, more) for v in values[:limit]], schema)
 
 
 def top_k(df: DataFrame, key: str, k: int = 10) -> DataFrame:
@@ -173,11 +207,13 @@ def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> Da
 
 
 def distinct_preview(df: DataFrame, columns: list[str], n: int = 3) -> DataFrame:
-    """(column_name, value): the ``n`` smallest non-NULL distinct values of
-    every column, as text."""
-    parts = [df.select(F.lit(c).alias("column_name"), _q(c).cast("string").alias("value"))
-             .where(F.col("value").isNotNull()).distinct().orderBy("value").limit(n) for c in columns]
-    return functools.reduce(DataFrame.unionByName, parts)
+    """(column_name, value): the ``n`` smallest non-NULL distinct
+    values of every column, as text (see ``smallest_distinct``)."""
+    rows = []
+    for c in columns:
+        vals = smallest_distinct(df.select(_q(c).cast("string").alias(c)), c, n)
+        rows += [(c, v) for v in vals]
+    return df.sparkSession.createDataFrame(rows, "column_name string, value string")
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -205,9 +205,10 @@ def train_job(spark: SparkSession, merged_path: str, model_path: str,
     return {"metrics": ml.metrics(pred), "confusion": ml.confusion_matrix(pred)}
 
 
-def score_job(spark: SparkSession, model_path: str, trips_path: str, out_path: str) -> int:
+def score_job(spark: SparkSession, model_path: str, trips_path: str, out_path: str,
+              keep_unscored: bool = False) -> int:
     """Batch scoring of a trips table with a saved model."""
-    scored = ml.score(ml.load(model_path), spark.read.parquet(trips_path))
+    scored = ml.score(ml.load(model_path), spark.read.parquet(trips_path), keep_unscored)
     sinks.write_parquet(scored, out_path)
     return spark.read.parquet(out_path).count()
 

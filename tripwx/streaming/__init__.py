@@ -1,0 +1,11 @@
+"""Structured Streaming.
+
+The reference's jobs are all bounded batch jobs: no ``readStream``,
+``writeStream``, watermark, event-time window or state appears in them, so
+no streaming operator is owed and none is built here.  Every operator in
+this package is a DataFrame function with no action inside the transform
+itself (actions happen only in the size checks, sketches and writes of
+``operators.joins``, ``operators.profile`` and ``sources.sinks``), so the
+column functions, rules and joins can be applied to a streaming DataFrame
+unchanged.
+"""
