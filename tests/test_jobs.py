@@ -36,7 +36,8 @@ def test_job_chain(spark, tmp_dir):
     sinks.write_csv(fixtures.bike_raw(spark, SF).repartition(2), f"{b}/bike_raw")
     n_bike = jobs.bike_ingest_job(spark, f"{b}/bike_raw/*.csv", f"{b}/bike_trips")
     assert 0 < n_bike <= fixtures.bike_raw(spark, SF).count()
-    assert len(jobs.bike_stats_job(spark, f"{b}/bike_raw/*.csv", f"{b}/bike_clean").collect()) == 3
+    bstats = jobs.bike_stats_job(spark, f"{b}/bike_raw/*.csv", f"{b}/bike_clean")
+    assert len(bstats["stats"].collect()) == 3 and bstats["stddev"].first()[0] > 0
     sinks.write_csv(fixtures.bike_new(spark, SF), f"{b}/bike_new")
     assert jobs.bike_new_format_job(spark, f"{b}/bike_new", f"{b}/bike_new_out", 2024) > 0
     # E10 / E11 merges on the event-shaped trips (which overlap the weather hours)

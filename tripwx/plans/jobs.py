@@ -106,16 +106,18 @@ def bike_ingest_job(spark: SparkSession, csv_glob: str, out_path: str, distance_
     return spark.read.parquet(out_path).count()
 
 
-def bike_stats_job(spark: SparkSession, csv_glob: str, out_path: str) -> DataFrame:
+def bike_stats_job(spark: SparkSession, csv_glob: str, out_path: str) -> dict[str, DataFrame]:
     """Normalised names and flags written; returns the Mean/Median/Mode
-    table plus the start-latitude standard deviation."""
+    table and the sample standard deviation of the start latitude."""
     cleaned = trips.bike_profiled(csv_src.scan_csv(spark, csv_glob, infer=True))
     sinks.write_parquet(cleaned, out_path)
-    stats = profile.stats_table(cleaned, {"start station latitude": "Start_Lat",
+    written = spark.read.parquet(out_path)
+    stats = profile.stats_table(written, {"start station latitude": "Start_Lat",
                                           "start station longitude": "Start_Lng",
                                           "end station latitude": "End_Lat",
                                           "end station longitude": "End_Lng"})
-    return stats
+    stddev = written.agg(F.stddev_samp(F.col("`start station latitude`")).alias("stddev_start_lat"))
+    return {"stats": stats, "stddev": stddev}
 
 
 def bike_new_format_job(spark: SparkSession, csv_path: str, out_path: str, data_year: int) -> int:
