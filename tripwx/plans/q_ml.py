@@ -28,7 +28,7 @@ WITH c AS ({_CLEAN}),
      mn AS (SELECT min(k) AS minor_n FROM n)
 SELECT c.* FROM c, mj, mn
 WHERE c.is_taxi <> mj.major OR {_u('balance')} < least(1.0, CAST(mn.minor_n AS DOUBLE) / mj.major_n)"""
-_RULE = "CASE WHEN distance >= 100 THEN 1.0 ELSE 0.0 END"
+_RULE = "CAST(CASE WHEN distance >= 100 THEN 1.0 ELSE 0.0 END AS DOUBLE)"
 
 
 def _clean(spark, sf):
@@ -76,7 +76,7 @@ SELECT * FROM (WITH p AS (SELECT CAST(is_taxi AS DOUBLE) AS label, {_RULE} AS pr
              FROM cls LEFT JOIN prd ON cls.cls = prd.cls),
      f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
                           ELSE 0.0 END AS f1 FROM per)
-SELECT sum(act) AS rows,
+SELECT CAST(sum(act) AS BIGINT) AS rows,
        round(sum(tp) / sum(act) + sign(sum(tp) / sum(act)) * 1e-9, 9) AS accuracy,
        round(sum(f1 * act) / sum(act) + sign(sum(f1 * act) / sum(act)) * 1e-9, 9) AS weighted_f1
 FROM f) m""", "merged_left"))

@@ -234,7 +234,7 @@ def q_distinct_preview(spark, sf):
 
 # ------------------------------------------------------------ null / describe
 @register("profile_null_counts", sql(f"""
-SELECT {', '.join(f'count_if({c} IS NULL) AS {c}' for c in MERGED_COLS)} FROM merged_left""", "merged_left"))
+SELECT {', '.join(f'CAST(count_if({c} IS NULL) AS BIGINT) AS {c}' for c in MERGED_COLS)} FROM merged_left""", "merged_left"))
 def q_profile_null_counts(spark, sf):
     return P.null_counts(inputs.merged_left(spark, sf))
 
@@ -277,7 +277,8 @@ _BIKE_RAW_COLS = ["tripduration", "starttime", "stoptime", "start station name",
 
 
 @register("null_counts_sql", sql(
-    "SELECT " + ", ".join(f'count_if("{c}" IS NULL) AS "{c}"' for c in _BIKE_RAW_COLS) + " FROM v_bike_raw",
+    "SELECT " + ", ".join(f'CAST(count_if("{c}" IS NULL) AS BIGINT) AS "{c}"' for c in _BIKE_RAW_COLS)
+    + " FROM v_bike_raw",
     "v_bike_raw"))
 def q_null_counts_sql(spark, sf):
     return P.null_counts_sql(fixtures.bike_raw(spark, sf))
