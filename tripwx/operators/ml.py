@@ -10,6 +10,7 @@ and after an executor loss, and can be reproduced in plain SQL.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -142,7 +143,13 @@ def train(data: DataFrame, key_cols: list[str], seed: int = SEED, **forest) -> t
     split = split_hash(balanced, key_cols, SPLIT[0], seed)
     train_df = split.filter(F.col("split") == "train").drop("split")
     test_df = split.filter(F.col("split") == "test").drop("split")
-    model = pipeline(seed=seed, **forest).fit(train_df)
+    # the forest reads its input once per tree level: keep it (memory, then
+    # disk) for the fit instead of recomputing the merge for every pass
+    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = pipeline(seed=seed, **forest).fit(train_df)
+    finally:
+        train_df.unpersist()
     return model, model.transform(test_df)
 
 

@@ -39,8 +39,9 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def row_count_by_file(df: DataFrame) -> DataFrame:
-    """(file, rows) per input file; summing ``rows`` gives the total."""
-    return df.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    """(file, rows) per input file; summing ``rows`` gives the total.
+    ``df`` must be a file scan (the hidden ``_metadata`` column)."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:

@@ -46,6 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            # a driver-local folder is invisible to executors: refuse to guess
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                               "before running tripwx jobs on a cluster")
         current = tempfile.mkdtemp(prefix="tripwx-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
