@@ -33,11 +33,6 @@ def union_by_name(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
         lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _small_or_none(dim: DataFrame, max_rows: int) -> DataFrame | None:
     """The dimension, kept (memory, spilling to disk) once it is proven to
     have at most ``max_rows`` rows, so the size check and the broadcast

@@ -425,9 +425,11 @@ def stats_table(df: DataFrame, columns: dict[str, str], digits: int = 6) -> Data
     return mean.unionByName(med).unionByName(mod)
 
 
-def profile(df: DataFrame, numeric: list[str], aggregate_columns: list[str]) -> dict[str, DataFrame]:
+def profile(df: DataFrame, numeric: list[str] | None = None,
+            aggregate_columns: list[str] = ("trip_duration", "distance", "temp_f")) -> dict[str, DataFrame]:
     """The table profile as named DataFrames; a section is present only
-    when its columns exist."""
+    when its columns exist (``numeric`` defaults to every numeric column)."""
+    numeric = numeric_columns(df) if numeric is None else numeric
     out = {
         "rows": row_count(df),
         "nulls": null_counts(df),

@@ -154,7 +154,9 @@ def clean_strict_job(spark: SparkSession, in_path: str, out_path: str | None = N
     Returns (rows_before, rows_after)."""
     raw = spark.read.parquet(in_path)
     before = raw.count()
-    after = sinks.safe_overwrite(merge.clean_strict(raw), out_path or in_path)
+    with sinks.cached(merge.clean_strict(raw)) as cleaned:
+        cleaned.count()                       # rows after cleaning; fills the cache the write reads
+        after = sinks.safe_overwrite(cleaned, out_path or in_path)
     return spark.createDataFrame([(before, after)], "rows_before long, rows_after long")
 
 
