@@ -8,6 +8,7 @@ one ``count()`` job per stage.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,11 +51,11 @@ def drop_nulls(df: DataFrame, subset: list[str] | None = None, existing_only: bo
 
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Filter by every rule (Catalyst merges them into one Filter and pushes
-    the column-only ones into the Parquet scan)."""
-    for r in rules:
-        df = df.filter(r.condition)
-    return df
+    """Keep rows passing every rule: one Filter (its column-only conjuncts
+    reach the Parquet scan as pushed filters)."""
+    if not rules:
+        return df
+    return df.filter(functools.reduce(lambda a, b: a & b, [r.condition for r in rules]))
 
 
 def null_rule(df: DataFrame, names: list[str], label: str = "not_null") -> Rule:

@@ -46,19 +46,20 @@ def validation_rules() -> list[clean.Rule]:
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """drop -> rename -> parse/cast -> calendar -> convert and round."""
-    df = schema.drop_columns(raw, RAW_DROPPED)
-    df = schema.rename(df, RAW_RENAMES)
+    """drop -> rename -> parse/cast -> calendar -> convert and round, as one
+    projection."""
+    df = schema.rename(schema.drop_columns(raw, RAW_DROPPED), RAW_RENAMES)
     if dict(df.dtypes).get("timestamp", "").startswith("timestamp"):
         # a CSV reader with inferSchema already parsed it; the pattern would not apply
         ts = F.col("timestamp").cast("timestamp_ntz")
     else:
         ts = F.try_to_timestamp(F.col("timestamp").cast("string"), F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz")
-    df = df.withColumn("timestamp", ts)
-    df = schema.cast_columns(df, {c: "double" for c in ["temp_c"] + MEASURES})
-    df = df.withColumns(C.calendar_columns("timestamp"))
-    df = df.withColumn("temp_f", C.c_to_f("temp_c"))
-    return df.withColumns({c: F.round(c, 2) for c in MEASURES})
+    temp_c = F.col("temp_c").try_cast("double")
+    out = {"timestamp": ts}
+    out.update({k: v for k, v in C.calendar_columns(ts).items()})
+    out["temp_f"] = C.c_to_f(temp_c)
+    out.update({c: F.round(F.col(c).try_cast("double"), 2) for c in MEASURES})
+    return df.withColumns(out)
 
 
 def cleaned(raw: DataFrame) -> DataFrame:
