@@ -109,3 +109,17 @@ def test_exact_quantile_refines_until_small(spark):
     for p in (0.1, 0.5, 0.77):
         got = P.exact_quantile(df, ["a"], p, buckets=4, max_sort_values=50).first()["quantile"]
         assert got == xs[int(np.ceil(p * len(xs))) - 1]
+
+
+def test_exact_quantile_heavy_tail_and_infinities(spark):
+    rnd = random.Random(3)
+    vals = [rnd.random() for _ in range(3000)] + [1e300, -1e250, float("inf"), float("-inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "a double")
+    xs = np.sort([v for v in vals if not np.isnan(v)])
+    for p in (0.0001, 0.5, 0.9999, 1.0):
+        got = P.exact_quantile(df, ["a"], p, buckets=8, max_sort_values=40).first()["quantile"]
+        assert got == xs[max(0, int(np.ceil(p * len(xs))) - 1)]
+    only_inf = spark.createDataFrame([(float("inf"),), (float("-inf"),), (None,)], "a double")
+    assert P.exact_quantile(only_inf, ["a"], 0.5).first()["quantile"] == float("-inf")
+    empty = spark.createDataFrame([(None,)], "a double")
+    assert P.exact_quantile(empty, ["a"], 0.5).count() == 0

@@ -283,7 +283,9 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
 
     A distributed selection, not a global sort:
     1. one aggregate sketches ``buckets - 1`` split points per column
-       (``percentile_approx``; columns x buckets numbers reach the driver);
+       (equal widths between min and max in the first round,
+       ``percentile_approx`` in later ones; columns x buckets numbers
+       reach the driver);
     2. one pass bucketizes every value (``Bucketizer``: a binary search in
        the JVM) and counts rows and approximate distinct values per
        (column, bucket) - a columns x buckets table; its running sum names
@@ -316,15 +318,33 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
         return c
 
     open_cols = list(names)
-    for _ in range(max_rounds):
+    # round 1 cuts each column's finite range into equal widths (one min/max
+    # aggregate); later rounds, needed only when values crowd into one
+    # bucket (heavy tails), cut at sketched quantiles of that bucket
+    finite = {n: F.when(F.col(n).isNotNull() & ~F.isnan(n) & (F.abs(n) != inf), F.col(n)) for n in names}
+    mm = doubles.agg(*[x for n in names for x in (F.min(finite[n]).alias(f"{n}_lo"),
+                                                  F.max(finite[n]).alias(f"{n}_hi"))]).first()
+    for round_no in range(max_rounds):
         if not open_cols:
             break
-        sk = doubles.agg(*[F.percentile_approx(F.when(in_range(n), F.col(n)), fractions, 4 * buckets).alias(n)
-                           for n in open_cols]).first()
+        if round_no == 0:
+            cuts = {}
+            for n in open_cols:
+                lo, hi = mm[f"{n}_lo"], mm[f"{n}_hi"]
+                if lo is None:      # no finite value: at most -inf / +inf remain
+                    cuts[n] = [0.0]
+                elif lo == hi:
+                    cuts[n] = [lo]
+                else:
+                    cuts[n] = [lo + (hi - lo) * i / buckets for i in range(buckets)]
+        else:
+            sk = doubles.agg(*[F.percentile_approx(F.when(in_range(n), F.col(n)), fractions, 4 * buckets)
+                               .alias(n) for n in open_cols]).first()
+            cuts = {n: sk[n] or [] for n in open_cols}
         splits = {}
         for n in open_cols:
             lo, hi = state[n][:2]
-            inner = sorted({v for v in (sk[n] or []) if v is not None and lo < v < hi})
+            inner = sorted({v for v in cuts[n] if v is not None and lo < v < hi})
             if inner:
                 splits[n] = [lo] + inner + [hi]
             elif state[n][2] is None:
