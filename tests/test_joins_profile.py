@@ -123,3 +123,9 @@ def test_exact_quantile_heavy_tail_and_infinities(spark):
     assert P.exact_quantile(only_inf, ["a"], 0.5).first()["quantile"] == float("-inf")
     empty = spark.createDataFrame([(None,)], "a double")
     assert P.exact_quantile(empty, ["a"], 0.5).count() == 0
+
+
+def test_stats_table_approx_median(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)], "`lat x` double")
+    by = {r["Stat_Type"]: r for r in P.stats_table(df, {"lat x": "Lat"}, median="approx").collect()}
+    assert abs(by["Median"]["Lat"] - 50.0) <= 1.0 and by["Mean"]["Lat"] == 50.0

@@ -432,13 +432,18 @@ def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = N
             .join(F.broadcast(mod), "column_name", "left"))
 
 
-def stats_table(df: DataFrame, columns: dict[str, str], digits: int = 6) -> DataFrame:
+def stats_table(df: DataFrame, columns: dict[str, str], digits: int = 6, median: str = "exact",
+                rel_err: float = 0.001) -> DataFrame:
     """Rows Mean / Median / Mode, one column per (renamed) input column.
-    Medians here are exact; ``approx_quantiles`` gives the published sketch."""
+    ``median="exact"`` is ``percentile_disc(0.5)``; ``"approx"`` is the
+    published ``approxQuantile`` with relative error ``rel_err``."""
     names = list(columns)
     mean = df.agg(F.lit("Mean").alias("Stat_Type"),
                   *[round_stable(F.avg(_q(c)), digits).alias(a) for c, a in columns.items()])
-    med = _pivot_one(exact_quantile(df, names, 0.5), "quantile", names)
+    if median == "approx":
+        med = approx_medians_table(df, names, rel_err).toDF(*names)
+    else:
+        med = _pivot_one(exact_quantile(df, names, 0.5), "quantile", names)
     med = med.select(F.lit("Median").alias("Stat_Type"), *[_q(c).alias(a) for c, a in columns.items()])
     mod = _pivot_one(modes(df, names), "mode", names)
     mod = mod.select(F.lit("Mode").alias("Stat_Type"), *[_q(c).alias(a) for c, a in columns.items()])
