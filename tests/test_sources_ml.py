@@ -93,3 +93,21 @@ def test_score_keeps_unscored_rows(spark):
     assert out["AUTUMN40.75"]["predicted_mode"] == "UNSCORED" and out["AUTUMN40.75"]["prediction"] is None
     assert out["SPRINGNone"]["predicted_mode"] == "UNSCORED"
     assert out["SPRING40.75"]["predicted_mode"] in ("YELLOW TAXI", "CITIBIKE")
+
+
+def test_partitioned_write_bounds_files_per_value(spark, tmp_dir):
+    import glob
+    import os
+    df = spark.range(3000).selectExpr("id", "CAST(id % 3 AS INT) AS d").repartition(12)
+    sinks.write_parquet(df, f"{tmp_dir}/p", partition_by=["d"], files_per_value=2)
+    for d in range(3):
+        files = glob.glob(os.path.join(f"{tmp_dir}/p", f"d={d}", "*.parquet"))
+        assert 1 <= len(files) <= 2
+    assert spark.read.parquet(f"{tmp_dir}/p").count() == 3000
+
+
+def test_partitioned_write_rebalanced(spark, tmp_dir):
+    df = spark.range(3000).selectExpr("id", "CAST(id % 3 AS INT) AS d").repartition(12)
+    sinks.write_parquet(df, f"{tmp_dir}/r", partition_by=["d"])
+    back = spark.read.parquet(f"{tmp_dir}/r")
+    assert back.count() == 3000 and back.select("d").distinct().count() == 3

@@ -129,23 +129,23 @@ def bike_new_format_job(spark: SparkSession, csv_path: str, out_path: str, data_
 
 # ------------------------------------------------------------------- merges
 def merge_left_job(spark: SparkSession, taxi_path: str, bike_path: str, weather_path: str,
-                   out_path: str, table: str | None = None) -> int:
+                   out_path: str, table: str | None = None, files_per_date: int | None = None) -> int:
     """Trips (positional union) LEFT JOIN hourly weather, written
     partitioned by date so later date filters prune files."""
     merged = merge.merge_left(spark.read.parquet(taxi_path), spark.read.parquet(bike_path),
                               spark.read.parquet(weather_path))
-    sinks.write_parquet(merged, out_path, partition_by=["date"])
+    sinks.write_parquet(merged, out_path, partition_by=["date"], files_per_value=files_per_date)
     if table:
         sinks.save_table(spark.read.parquet(out_path), table)
     return spark.read.parquet(out_path).count()
 
 
 def merge_inner_job(spark: SparkSession, bike_path: str, taxi_path: str, weather_path: str,
-                    out_path: str) -> int:
+                    out_path: str, files_per_date: int | None = None) -> int:
     """By-name union, INNER join, NULL drop, dedup."""
     merged = merge.merge_inner(spark.read.parquet(bike_path), spark.read.parquet(taxi_path),
                                spark.read.parquet(weather_path))
-    sinks.write_parquet(merged, out_path, partition_by=["date"])
+    sinks.write_parquet(merged, out_path, partition_by=["date"], files_per_value=files_per_date)
     return spark.read.parquet(out_path).count()
 
 
@@ -161,13 +161,13 @@ def clean_strict_job(spark: SparkSession, in_path: str, out_path: str | None = N
 
 
 def clean_impute_job(spark: SparkSession, in_path: str, out_path: str, year: int,
-                     table: str | None = None) -> dict[str, DataFrame]:
+                     table: str | None = None, files_per_date: int | None = None) -> dict[str, DataFrame]:
     """Outlier filter, mean imputation, month segments; returns the
     stage funnel, the segment counts and the post-clean NULL counts."""
     merged = spark.read.parquet(in_path)
     funnel = merge.clean_impute_funnel(merged, year)
     out = merge.clean_impute(merged, year)
-    sinks.write_parquet(out, out_path, partition_by=["date"])
+    sinks.write_parquet(out, out_path, partition_by=["date"], files_per_value=files_per_date)
     if table:
         sinks.save_table(spark.read.parquet(out_path), table)
     written = spark.read.parquet(out_path)

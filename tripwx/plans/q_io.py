@@ -135,7 +135,7 @@ def q_lookup_csv(spark, sf):
 @register("sink_parquet", sql("SELECT * FROM merged_left", "merged_left"))
 def q_sink_parquet(spark, sf):
     path = scratch_path(spark, "merged")
-    sinks.write_parquet(inputs.merged_left(spark, sf), path, partition_by=["date"])
+    sinks.write_parquet(inputs.merged_left(spark, sf), path, partition_by=["date"], files_per_value=4)
     return spark.read.parquet(path)
 
 

@@ -8,13 +8,28 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  max_records_per_file: int | None = None) -> str:
+                  max_records_per_file: int | None = None, files_per_value: int | None = None,
+                  rebalance: bool = True) -> str:
     """K1: overwrite a Parquet folder.  Large tables are written in parallel
     (optionally partitioned, e.g. by date, for partition pruning later),
-    never funnelled through one task."""
+    never funnelled through one task.
+
+    Written straight from a scan, every task would write one file per
+    partition value it holds (tasks x values files).  By default a
+    partitioned write is first rebalanced on the partition columns (AQE's
+    REBALANCE: partitions sized to the advisory size, a skewed value split
+    over several tasks).  ``files_per_value=k`` instead shuffles rows by
+    (partition values, row hash mod k): at most k files per value, a hot
+    value still spread over k tasks."""
+    if partition_by and files_per_value:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
+    elif partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
