@@ -166,6 +166,13 @@ def q_drop_columns(spark, sf):
     return trips.bike_new_format(fixtures.bike_new(spark, sf), 2024)
 
 
+@register("const_column", sql("""
+SELECT ride_id, 2024 AS data_year, 'Mean' AS stat_type, 0 AS is_taxi FROM v_bike_new""", "v_bike_new"))
+def q_const_column(spark, sf):
+    return fixtures.bike_new(spark, sf).select(
+        "ride_id", F.lit(2024).alias("data_year"), F.lit("Mean").alias("stat_type"), F.lit(0).alias("is_taxi"))
+
+
 # ------------------------------------------------------- projections
 @register("schema_align", sql("""
 SELECT tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance, PULocationID, DOLocationID,
