@@ -111,3 +111,14 @@ def test_partitioned_write_rebalanced(spark, tmp_dir):
     sinks.write_parquet(df, f"{tmp_dir}/r", partition_by=["d"])
     back = spark.read.parquet(f"{tmp_dir}/r")
     assert back.count() == 3000 and back.select("d").distinct().count() == 3
+
+
+def test_year_filter_prunes_date_partitions(spark, tmp_dir):
+    import datetime as dt
+    from tripwx.functions import columns as C
+    rows = [(dt.date(2018 + i % 3, 1 + i % 12, 1), float(i)) for i in range(60)]
+    sinks.write_parquet(spark.createDataFrame(rows, "date date, v double"), f"{tmp_dir}/m", partition_by=["date"])
+    df = spark.read.parquet(f"{tmp_dir}/m").filter(C.year_range("date", 2019))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2019-01-01" in plan
+    assert df.count() == 20
