@@ -277,7 +277,8 @@ def medians_exact(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 256,
-                   max_sort_values: int = 2_000_000, max_rounds: int = 8) -> DataFrame:
+                   max_sort_values: int = 2_000_000, max_rounds: int = 8,
+                   bounds: dict[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
     """(column_name, quantile): per column, the smallest value v whose
     cume_dist(v) >= p (``percentile_disc``), NULL and NaN ignored.
 
@@ -295,7 +296,9 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
     4. one pass counts the target bucket's rows per value and takes a
        running sum over at most ``max_sort_values`` distinct values.
     A value holding a third of all rows fills a bucket on its own (one
-    distinct value), so skew never enlarges the final sort.
+    distinct value), so skew never enlarges the final sort.  ``bounds``
+    (column -> finite (min, max)) lets a caller that already aggregated
+    the columns skip the min/max pass.
     """
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql.window import Window
@@ -321,9 +324,11 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
     # round 1 cuts each column's finite range into equal widths (one min/max
     # aggregate); later rounds, needed only when values crowd into one
     # bucket (heavy tails), cut at sketched quantiles of that bucket
-    finite = {n: F.when(F.col(n).isNotNull() & ~F.isnan(n) & (F.abs(n) != inf), F.col(n)) for n in names}
-    mm = doubles.agg(*[x for n in names for x in (F.min(finite[n]).alias(f"{n}_lo"),
-                                                  F.max(finite[n]).alias(f"{n}_hi"))]).first()
+    if bounds is not None:
+        mm = {f"{n}_{k}": bounds[c][i] for n, c in zip(names, columns) for i, k in enumerate(("lo", "hi"))}
+    else:
+        mm = doubles.agg(*[x for n in names for x in (F.min(finite_only(F.col(n))).alias(f"{n}_lo"),
+                                                      F.max(finite_only(F.col(n))).alias(f"{n}_hi"))]).first()
     for round_no in range(max_rounds):
         if not open_cols:
             break
@@ -406,6 +411,11 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
         label.alias("column_name"), "quantile")
 
 
+def finite_only(c: Column) -> Column:
+    """The value when it is a finite number, else NULL."""
+    return F.when(c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")), c)
+
+
 def _pivot_one(long_df: DataFrame, value: str, columns: list[str]) -> DataFrame:
     """(column_name, value) rows -> one row with a column per name."""
     return long_df.groupBy().pivot("column_name", columns).agg(F.first(value))
@@ -415,18 +425,24 @@ def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = N
                     digits: int = 6) -> DataFrame:
     """(column_name, record_count, <stddev_of>_stddev, mean, median, mode).
 
-    Count, stddev and all means are ONE aggregate; exact medians and modes
-    are one pair of shuffles each over all columns; the three small per-
-    column tables (one row per column) are joined by broadcast."""
+    Count, stddev, all means and the quantile bounds are ONE aggregate (one
+    row to the driver); exact medians and modes take a few passes each over
+    all columns together; the three small per-column tables (one row per
+    column) are joined by broadcast."""
     aggs = [F.count(F.lit(1)).alias("record_count")]
     if stddev_of:
         aggs.append(round_stable(F.stddev_samp(_q(stddev_of)), digits).alias(f"{stddev_of}_stddev"))
-    aggs += [round_stable(F.avg(_q(c)), digits).alias(f"{c}__mean") for c in columns]
-    wide = df.agg(*aggs)
-    keep = ["record_count"] + ([f"{stddev_of}_stddev"] if stddev_of else [])
-    parts = ", ".join(f"'{c}', `{c}__mean`" for c in columns)
-    means = wide.selectExpr(*keep, f"stack({len(columns)}, {parts}) as (column_name, mean)")
-    med = exact_quantile(df, columns, 0.5).withColumnRenamed("quantile", "median")
+    for i, c in enumerate(columns):
+        x = _q(c).cast("double")
+        aggs += [round_stable(F.avg(_q(c)), digits).alias(f"m{i}"),
+                 F.min(finite_only(x)).alias(f"lo{i}"), F.max(finite_only(x)).alias(f"hi{i}")]
+    row = df.agg(*aggs).first()      # one scan: count, stddev, means, and the quantile bounds
+    stddev = [row[f"{stddev_of}_stddev"]] if stddev_of else []
+    fields = "column_name string, record_count bigint" + (f", `{stddev_of}_stddev` double" if stddev_of else "")
+    means = df.sparkSession.createDataFrame(
+        [(c, row["record_count"], *stddev, row[f"m{i}"]) for i, c in enumerate(columns)], fields + ", mean double")
+    bounds = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+    med = exact_quantile(df, columns, 0.5, bounds=bounds).withColumnRenamed("quantile", "median")
     mod = modes(df, columns).select("column_name", "mode")
     return (means.join(F.broadcast(med), "column_name", "left")
             .join(F.broadcast(mod), "column_name", "left"))
