@@ -3,10 +3,10 @@
 Scale notes
 * Counts, means, min/max, stddev, null and distinct counts for many
   columns are folded into ONE aggregate (one scan), not one job per column.
-* Modes are two hash aggregates: (column, value) -> count with map-side
-  combine, then per column ``min(struct(-count, value))``, which is itself
-  partially aggregated.  A value holding a third of all rows costs nothing
-  extra, and no task ever holds all values of a column.
+* Modes are hash aggregates: (column, value) -> count with map-side
+  combine, the maximum count per column, and the smallest value reaching
+  it.  A value holding a third of all rows costs nothing extra, and no
+  task ever holds all values of a column.
 * The exact median is a selection over value counts (see ``exact_quantile``);
   the approximate forms are Spark's GK sketches, as published.
 """
@@ -228,13 +228,22 @@ def _long_values(df: DataFrame, columns: list[str], dtype: str) -> DataFrame:
     return df.selectExpr(f"stack({len(columns)}, {parts}) as (column_name, value)")
 
 
+def _best_per_column(counts: DataFrame) -> DataFrame:
+    """(column_name, value, n) -> (column_name, mode, mode_count): highest
+    count, ties to the smallest value.  Both steps are hash aggregates; the
+    per-column maxima (one row per column) are broadcast back, and Spark
+    reuses the counts' shuffle for both branches."""
+    best = counts.groupBy("column_name").agg(F.max("n").alias("best"))
+    return (counts.join(F.broadcast(best), "column_name").where(F.col("n") == F.col("best"))
+            .groupBy("column_name").agg(F.min("value").alias("mode"), F.max("best").alias("mode_count")))
+
+
 def modes(df: DataFrame, columns: list[str], dtype: str = "double") -> DataFrame:
     """(column_name, mode, mode_count): most frequent non-NULL value per
-    column, ties to the smallest value; all columns in one pair of shuffles."""
+    column, ties to the smallest value; all columns share one scan."""
     counts = (_long_values(df, columns, dtype).where(F.col("value").isNotNull())
               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    best = counts.groupBy("column_name").agg(F.min(F.struct((-F.col("n")).alias("neg"), "value")).alias("b"))
-    return best.select("column_name", F.col("b.value").alias("mode"), (-F.col("b.neg")).alias("mode_count"))
+    return _best_per_column(counts)
 
 
 def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4) -> DataFrame:
@@ -248,9 +257,7 @@ def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4
         for c in columns]).where(F.col("value").isNotNull() & ~F.isnan("value")).distinct()
     vals = _long_values(df, columns, "double")
     matched = vals.join(F.broadcast(cands), ["column_name", "value"], "left_semi")
-    counts = matched.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("column_name").agg(F.min(F.struct((-F.col("n")).alias("neg"), "value")).alias("b"))
-    return best.select("column_name", F.col("b.value").alias("mode"), (-F.col("b.neg")).alias("mode_count"))
+    return _best_per_column(matched.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
 # ----------------------------------------------------------------- medians
@@ -305,7 +312,9 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
 
     spark = df.sparkSession
     names = [f"c{i}" for i in range(len(columns))]
-    doubles = df.select([_q(c).cast("double").alias(n) for n, c in zip(names, columns)])
+    # + 0.0 turns -0.0 into 0.0: Bucketizer's binary search orders -0.0 below
+    # 0.0 while SQL comparisons treat them as equal
+    doubles = df.select([(_q(c).cast("double") + F.lit(0.0)).alias(n) for n, c in zip(names, columns)])
     fractions = [i / buckets for i in range(1, buckets)]
     inf = float("inf")
     # state per column: (lo, hi, rank wanted inside [lo, hi), rows in range)
