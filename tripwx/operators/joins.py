@@ -49,7 +49,11 @@ def release_kept() -> int:
     """Unpersist every dimension kept by ``join_small``; returns how many."""
     n = len(_KEPT)
     while _KEPT:
-        _KEPT.pop().unpersist()
+        frame = _KEPT.pop()
+        try:
+            frame.unpersist()
+        except Exception:  # its session is already stopped: nothing is held any more
+            pass
     return n
 
 
