@@ -39,3 +39,47 @@ def test_modes_match_counting(spark, vals):
     best = max(counts.values())
     assert got[0]["mode_count"] == best
     assert got[0]["mode"] == min(v for v, c in counts.items() if c == best)
+
+
+rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 20)), st.one_of(st.none(), st.integers(0, 3))),
+                min_size=0, max_size=60)
+
+
+@SETTINGS
+@given(data=rows)
+def test_funnel_matches_sequential_filters(spark, data):
+    from pyspark.sql import functions as F
+
+    from tripwx.operators import clean
+    df = spark.createDataFrame(data, "a int, b int")
+    rules = [clean.Rule("a_pos", F.col("a") > 0), clean.Rule("b_not_null", F.col("b").isNotNull()),
+             clean.Rule("a_small", F.col("a") < 15)]
+    got = [r["rows"] for r in clean.funnel(df, rules).orderBy("stage_no").collect()]
+    expected, keep = [len(data)], data
+    for f in (lambda r: r[0] is not None and r[0] > 0, lambda r: r[1] is not None,
+              lambda r: r[0] is not None and r[0] < 15):
+        keep = [r for r in keep if f(r)]
+        expected.append(len(keep))
+    assert got == expected
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-30, 30)), max_size=80), n=st.integers(1, 6))
+def test_smallest_distinct_matches_sorted_set(spark, vals, n):
+    df = spark.createDataFrame([(v,) for v in vals], "a int")
+    assert P.smallest_distinct(df, "a", n, passes=1, rows_per_pass=1) == sorted({v for v in vals if v is not None})[:n]
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-400, 400).map(lambda x: x / 100)), min_size=1, max_size=50))
+def test_exact_scale_mean_imputation(spark, vals):
+    from tripwx.operators import clean
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    out = [r["a"] for r in clean.impute_mean(df, ["a"], exact_scale=2).collect()]
+    present = [v for v in vals if v is not None]
+    if not present:
+        assert out == vals
+    else:
+        cents = sum(round(v * 100) for v in present)
+        mean = (cents / 100) / len(present)
+        assert out == [v if v is not None else mean for v in vals]
