@@ -15,10 +15,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def cluster_settings(shuffle_bytes: int = 100 * 2 ** 40, target_partition_bytes: int = 256 * 2 ** 20) -> dict:
+    """Settings for a large cluster job, sized from the expected shuffle
+    volume: enough shuffle partitions that each holds about
+    ``target_partition_bytes`` (AQE then merges the small ones and splits
+    skewed ones), and scan splits of 512 MB so a 100 TB scan is ~200k tasks
+    rather than ~800k."""
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, shuffle_bytes // target_partition_bytes)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(512 * 2 ** 20),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "tripwx") -> SparkSession:
+                  app_name: str = "tripwx", extra_conf: dict | None = None) -> SparkSession:
+    """Local session for tests, the bench and the entry module; pass
+    ``extra_conf=cluster_settings(...)`` (with a cluster master) for a
+    large job."""
     master = master or os.environ.get("TRIPWX_MASTER", "local[*]")
-    spark = (
+    builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -33,8 +53,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Python call-site capture on every Column call only feeds error messages
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    for k, v in (extra_conf or {}).items():   # cluster settings override the local defaults
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
