@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tripwx.operators import joins
 from tripwx.operators import profile as P
@@ -129,3 +128,31 @@ def test_stats_table_approx_median(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "`lat x` double")
     by = {r["Stat_Type"]: r for r in P.stats_table(df, {"lat x": "Lat"}, median="approx").collect()}
     assert abs(by["Median"]["Lat"] - 50.0) <= 1.0 and by["Mean"]["Lat"] == 50.0
+
+
+def test_fallback_join_splits_hot_key(spark):
+    """Dimension above the broadcast bound: shuffle join; a key holding a
+    third of the fact rows is split by AQE's skew-join handling."""
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        n = 30000
+        fact = spark.range(n).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v")
+        dim = spark.range(n).selectExpr("id AS k", "concat('d', id) AS name")
+        out = joins.join_small(fact, dim, ["k"], "left", max_rows=10)
+        assert len(out.collect()) == n                # runs this plan, so AQE finalizes it
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+        joins.release_kept()
