@@ -295,11 +295,11 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
        ``percentile_approx`` in later ones; columns x buckets numbers
        reach the driver);
     2. one pass bucketizes every value (``Bucketizer``: a binary search in
-       the JVM) and counts rows and approximate distinct values per
-       (column, bucket) - a columns x buckets table; its running sum names
-       the bucket holding rank ceil(p * n) and the rank inside it;
-    3. while that bucket still holds more than ``max_sort_values`` distinct
-       values, steps 1-2 repeat on that bucket's rows only;
+       the JVM) and takes rows, min and max per (column, bucket) - a
+       columns x buckets table; its running sum names the bucket holding
+       rank ceil(p * n) and the rank inside it;
+    3. while that bucket still holds more than ``max_sort_values`` rows of
+       more than one distinct value, steps 1-2 repeat on its rows only;
     4. one pass counts the target bucket's rows per value and takes a
        running sum over at most ``max_sort_values`` distinct values.
     A value holding a third of all rows fills a bucket on its own (one
@@ -375,11 +375,14 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
         stats = (marked.selectExpr(f"stack({len(open_cols)}, {parts}) as (column_name, bucket, value)")
                  .where(F.col("bucket").isNotNull())
                  .groupBy("column_name", "bucket")
-                 .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value").alias("d"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("vmin"), F.max("value").alias("vmax"))
                  .collect())
         still_open = []
         for n in open_cols:
-            rows = sorted((int(r["bucket"]), r["n"], r["d"]) for r in stats if r["column_name"] == n)
+            # a bucket needs another round only if it has more rows than may be
+            # sorted AND more than one distinct value (min < max)
+            rows = sorted((int(r["bucket"]), r["n"], r["n"] if r["vmin"] < r["vmax"] else 1)
+                          for r in stats if r["column_name"] == n)
             total = sum(k for _, k, _ in rows)
             if total == 0:
                 state[n] = (0.0, 0.0, None, 0)
