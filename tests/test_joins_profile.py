@@ -156,3 +156,11 @@ def test_fallback_join_splits_hot_key(spark):
             else:
                 spark.conf.set(k, v)
         joins.release_kept()
+
+
+def test_modes_reuse_the_counts_shuffle(spark):
+    df = spark.range(5000).selectExpr("CAST(id % 37 AS DOUBLE) AS a", "CAST(id % 11 AS DOUBLE) AS b")
+    out = P.modes(df, ["a", "b"])
+    assert len(out.collect()) == 2                     # runs this plan, so AQE finalizes it
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "SortAggregate" not in plan
