@@ -33,3 +33,14 @@ def test_query_matches_oracle(spark, name):
     from check_oracle import compare, duck
     con = duck(SF)
     assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_flagship_plan_broadcasts_and_pushes_down(spark):
+    df = entry.queries()["weather_duration"](spark, SF)
+    df.collect()                                   # finalize the adaptive plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "PushedFilters: [In(event_type" in plan or "In(event_type" in plan
+    from tripwx.operators import joins
+    joins.release_kept()
