@@ -122,3 +122,13 @@ def test_year_filter_prunes_date_partitions(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "2019-01-01" in plan
     assert df.count() == 20
+
+
+def test_safe_overwrite_keeps_old_output_when_write_fails(spark, tmp_dir):
+    path = f"{tmp_dir}/keep"
+    spark.range(7).write.parquet(path)
+    bad = spark.read.parquet(path).withColumn(
+        "boom", F.when(F.col("id") == 3, F.raise_error(F.lit("fail on purpose"))).otherwise(F.lit("ok")))
+    with pytest.raises(Exception):
+        sinks.safe_overwrite(bad, path)
+    assert spark.read.parquet(path).count() == 7      # the old output is untouched
