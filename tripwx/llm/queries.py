@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwx.llm import chat_format, jaccard_join, license_scan, mixing, pii
+from tripwx.llm import ann, chat_format, decontam, jaccard_join, license_scan, mixing, pii, suffix_tree
 from tripwx.llm.oracle import ORACLE
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,19 @@ def op2_chat_format(spark, sf_dir):
     return chat_format.digest(chat_format.format_conversations(turns.unionByName(probe)))
 
 
+@query
+def op3_decontamination(spark, sf_dir):
+    found = decontam.leaked(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select("doc_id", F.transform("items", lambda i: i.cast("long")).alias("items"), "coverage")
+
+
+@query
+def op4_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op5_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -61,6 +74,11 @@ def op7_jaccard_join(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op8_suffix_tree(spark, sf_dir):
+    return suffix_tree.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
