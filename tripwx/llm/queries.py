@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwx.llm import ann, chat_format, decontam, jaccard_join, license_scan, mixing, pii, suffix_tree
+from tripwx.llm import ann, chat_format, decontam, jaccard_join, language_id, license_scan, mixing, pii, quality, suffix_tree
 from tripwx.llm.oracle import ORACLE
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,18 @@ def op8_suffix_tree(spark, sf_dir):
     return suffix_tree.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op9_quality(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs)
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
