@@ -15,8 +15,9 @@ BITS = 23
 
 
 def build(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    """Words of the bitmap whose bit ``top bits of column`` is set."""
-    slot = F.shiftrightunsigned(F.col(column), 64 - bits)
+    """Words of the bitmap whose bits ``column modulo 2**bits`` are set; the
+    low bits of the column must be those of a hash."""
+    slot = F.col(column).bitwiseAND((1 << bits) - 1)
     word, bit = F.shiftright(slot, 6), slot.bitwiseAND(63).cast("int")
     rows = (df.filter(F.col(column).isNotNull()).groupBy(word.alias("w"))
             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("v")).toArrow())
@@ -28,5 +29,5 @@ def build(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
 def holds(words: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the unsigned ``values`` may be in the bitmap."""
     bits = int(len(words)).bit_length() - 1 + 6
-    slot = values >> np.uint64(64 - bits)
+    slot = values & np.uint64((1 << bits) - 1)
     return (words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0

@@ -5,19 +5,21 @@ Documents are sets of word shingles; two link when
 component.  Equal sets are one node.  The steps:
 
 1. A fixed-size sketch of shingle counts fixes one global order, frequent
-   shingles last.  Only a set's first ``n - ceil(num n / den) + 1`` shingles
-   (its head) can start a link: two linked sets share a shingle of both heads.
+   shingles last.  Only a set's first ``n - ceil(num n / den) + DEEP``
+   shingles (its head) take part in the search: two linked sets share
+   ``DEEP`` shingles of both heads (all they have in common, if that is less).
 2. Shingles in the heads of two nodes or more are the tokens.  A node's group
    is its least token by hash, so similar nodes fall into one group; the
-   matrix holds, per token, the groups whose members have it.
-3. A group's leader is compared with every member (one row each); the members
-   it links form the group's core, one component, whose inner pairs need no
-   look.  The rest of the group and the nodes of other groups that share a
-   token are its queries.
-4. Queries meet the members in cells of bounded size.  A cell stores the union
-   of its members' shingles; a query opens it only if its overlap with that
-   union reaches ``num / den`` of the query, and only then single members are
-   counted, exactly.  A group of any size is many cells.
+   matrix holds, per token, the groups whose members have it.  A node looks
+   at a group only if their heads share ``DEEP`` tokens.
+3. A cell stores the union of its members' shingles; a query opens it only if
+   its overlap with that union reaches ``num / den`` of the query, and only
+   then single members are counted, exactly.  A group of bounded size is one
+   cell: its members and the nodes that look at it from other groups query it.
+4. A larger group is many cells.  Its leader is first compared with every
+   member (one row each); the members it links form the core, one component,
+   whose inner pairs need no look.  The rest of the group and its visitors,
+   in blocks, then meet the members, in blocks.
 5. Components of the links found; inside a cell only links that join two
    components of the cell are passed on.
 
@@ -39,11 +41,13 @@ from tripwx.llm.graph import components
 from tripwx.llm.store import cut
 from tripwx.llm.text import LOWER, SPACE, U64, edges, mix, pieces, shingles, signed, word_hashes
 
-SKETCH_BITS = 16
-CELL_QUERIES = 512
-CELL_MEMBERS = 512
+SKETCH_BITS = 20
+SKETCH_ROW = 1 << 12
+DEEP = 6
+CELL_ROWS = 512
 CELL_BYTES = 8 << 20
-_LOW = U64((1 << 48) - 1)
+_REST = U64(64 - SKETCH_BITS)
+_LOW = U64((1 << (64 - SKETCH_BITS)) - 1)
 
 
 def _sets(data, off, size, rank=None):
@@ -52,7 +56,7 @@ def _sets(data, off, size, rank=None):
     start, end, first = edges(data, off, SPACE[data])
     keys, at = shingles(word_hashes(data, start, end), first, size)
     if rank is not None:
-        keys = (rank[(keys >> U64(48)).astype(np.int64)] << U64(48)) | (keys & _LOW)
+        keys = (rank[(keys >> _REST).astype(np.int64)].astype(U64) << _REST) | (keys & _LOW)
     for a, b in zip(at[:-1], at[1:]):
         keys[a:b].sort()
     fresh = np.ones(len(keys), bool)
@@ -72,24 +76,38 @@ def _names(keys, at):
 
 
 def _count(size):
+    """The task's sketch, in rows of SKETCH_ROW counters."""
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for _, data, off in pieces(batches):
             keys, _ = _sets(data, off, size)
-            total += np.bincount((keys >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
-        slot = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], ["slot", "c"])
+            total += np.bincount((keys >> _REST).astype(np.int64), minlength=len(total))
+        parts = total.reshape(-1, SKETCH_ROW)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)),
+                                          pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
     return run
 
 
+def _add(batches):
+    """Sums of equal parts, one row each; a partition holds a few parts."""
+    total: dict = {}
+    for batch in batches:
+        for part, raw in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+            total[part] = total.get(part, 0) + np.frombuffer(raw, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                      pa.array([v.tobytes() for v in total.values()], pa.binary())], ["part", "counts"])
+
+
 def shingle_order(texts: DataFrame, size: int) -> np.ndarray:
-    """Rank of each of the 2**16 sketch slots by how many sets use it.
-    The driver gets one row per slot."""
-    rows = texts.mapInArrow(_count(size), "slot int, c bigint").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    counts[rows["slot"].to_numpy()] = rows["c"].to_numpy()
-    rank = np.empty(len(counts), U64)
-    rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts), dtype=U64)
+    """Rank of each of the 2**20 sketch slots by how many sets use it.
+    The driver gets one counter per slot."""
+    kind = "part int, counts binary"
+    rows = texts.mapInArrow(_count(size), kind).repartition("part").mapInArrow(_add, kind).toArrow()
+    counts = np.zeros((1 << SKETCH_BITS) // SKETCH_ROW * SKETCH_ROW, np.int64).reshape(-1, SKETCH_ROW)
+    for part, raw in zip(rows["part"].to_pylist(), rows["counts"].to_pylist()):
+        counts[part] = np.frombuffer(raw, np.int64)
+    rank = np.empty(counts.size, np.uint32)
+    rank[np.argsort(counts.ravel(), kind="stable")] = np.arange(counts.size, dtype=np.uint32)
     return rank
 
 
@@ -101,7 +119,7 @@ def _heads(size, num, den, rank):
             keys, at = _sets(data, off, size, rank.value)
             lo, hi = _names(keys, at)
             n = np.diff(at)
-            take = np.where(n > 0, n + -(-num * n // den) * -1 + 1, 0)
+            take = np.where(n > 0, np.minimum(n, n - -(-num * n // den) + DEEP), 0)
             for i, name in enumerate(zip(lo.tolist(), hi.tolist())):
                 if name in seen:
                     take[i] = 0
@@ -116,6 +134,23 @@ def _heads(size, num, den, rank):
     return run
 
 
+def _tokens(words, num, den):
+    """token, lo, hi, n of the head shingles that the bitmap may hold, of
+    nodes with enough of them for a link."""
+    def run(batches):
+        for batch in batches:
+            head, n = batch.column("head"), batch.column("n").to_numpy()
+            flat = head.flatten().to_numpy().view(U64)
+            owner = np.repeat(np.arange(len(head)), np.diff(head.offsets.to_numpy()))
+            some = bitmap.holds(words.value, flat)
+            shared = np.bincount(owner[some], minlength=len(head))
+            some &= (shared >= np.minimum(DEEP, -(-num * n // den)))[owner]
+            at = pa.array(owner[some])
+            yield pa.RecordBatch.from_arrays([signed(flat[some]), *[batch.column(c).take(at) for c in ("lo", "hi", "n")]],
+                                             ["token", "lo", "hi", "n"])
+    return run
+
+
 def _wanted(size, rank, words):
     """lo, hi, n, keys of the sets whose name the bitmap may hold."""
     def run(batches):
@@ -138,18 +173,17 @@ def _linked(common, a, b, num, den):
 
 
 def _led(num, den):
-    """Marks the members that their group's leader links."""
+    """Marks the members that their group's leader links, itself included."""
     def run(batches):
         for batch in batches:
             own, leader = batch.column("keys").to_pylist(), batch.column("leader_keys").to_pylist()
             core = []
             for x, y in zip(own, leader):
                 x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                common = len(x) + len(y) - len(np.union1d(x, y)) if len(x) * den >= num * len(y) else 0
+                common = len(x) + len(y) - len(np.union1d(x, y))
                 core.append(bool(_linked(common, len(x), len(y), num, den)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("g", "lo", "hi", "n", "keys")] + [pa.array(core)],
-                ["g", "lo", "hi", "n", "keys", "core"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("g", "lo", "hi", "keys")] + [pa.array(core)],
+                                             ["g", "lo", "hi", "keys", "core"])
     return run
 
 
@@ -198,12 +232,13 @@ def open_cell(members: list, queries: list, core: list, num: int, den: int):
                 yield i, j
 
 
-def _cells(num, den):
-    """Streams rows sorted by cell and side; holds one cell at a time."""
+def _cells(num, den, whole):
+    """Streams rows sorted by cell; holds one cell at a time.  ``whole``:
+    the cell is a whole group, whose members are queries too."""
     def links(rows):
         members = [r for r in rows if r[0] == 0]
-        queries = [r for r in rows if r[0] == 1]
-        if not members or not queries:
+        queries = [r for r in rows if r[0] == 1] + (members if whole else [])
+        if not members or not queries or len(rows) < 2:
             return
         load = lambda rs: [np.frombuffer(r[3], U64) for r in rs]
         for i, j in open_cell(load(members), load(queries), [r[4] for r in members], num, den):
@@ -211,19 +246,17 @@ def _cells(num, den):
                 yield (*queries[i][1:3], *members[j][1:3])
 
     def run(batches):
-        last, rows, out = None, [], []
+        last, rows = None, []
         for batch in batches:
+            out = []
             cols = [batch.column(c).to_pylist() for c in ("g", "i", "j", "side", "lo", "hi", "keys", "core")]
             for g, i, j, *row in zip(*cols):
                 if (g, i, j) != last:
                     out.extend(links(rows))
                     last, rows = (g, i, j), []
                 rows.append(row)
-            if out:
-                yield _links_batch(out)
-                out = []
-        out.extend(links(rows))
-        yield _links_batch(out)
+            yield _links_batch(out)
+        yield _links_batch(list(links(rows)))
     return run
 
 
@@ -240,55 +273,75 @@ def find_links(texts: DataFrame, heads: DataFrame, size: int, num: int, den: int
     """(a, b): links between set names that connect every pair of linked
     sets of different content, directly or over others."""
     spark: SparkSession = texts.sparkSession
-    tokens = heads.select(F.explode("head").alias("token"), "lo", "hi", "n")
+    tokens = heads.select(F.explode("head").alias("token"), "lo")
     shared = (tokens.groupBy("token").agg(F.min("lo").alias("least"), F.max("lo").alias("most"))
               .filter(F.col("least") != F.col("most")).select("token"))
-    rows = tokens.join(shared, "token").groupBy("token", "lo", "hi", "n").agg(F.lit(1).alias("one")).drop("one")
-    rows = cut(rows, "tokens")
+    shared = cut(shared, "shared")
+    words = spark.sparkContext.broadcast(bitmap.build(shared, "token"))
+    rows = heads.select("head", "lo", "hi", "n").mapInArrow(
+        _tokens(words, num, den), "token bigint, lo bigint, hi bigint, n bigint")
+    rows = cut(rows.join(shared, "token").distinct(), "tokens")
     # token values are ordered by frequency: hash them so that the least one is an even choice
-    group = rows.groupBy("lo", "hi", "n").agg(F.min(F.xxhash64("token")).alias("g"))
-    group = cut(group, "groups")
-    words = spark.sparkContext.broadcast(bitmap.build(group, "lo"))
+    group = rows.groupBy("lo", "hi", "n").agg(F.min(F.xxhash64("token")).alias("own"))
+    # the matrix: token x group, with how many members have the token and their sizes
+    cells = rows.join(group, ["lo", "hi", "n"])
+    matrix = cells.groupBy("token", F.col("own").alias("g")).agg(
+        F.count("*").alias("m"), F.min("n").alias("small"), F.max("n").alias("large"))
+    hits = cells.join(matrix, "token").filter(
+        ((F.col("g") != F.col("own")) | (F.col("m") > 1))
+        & (F.col("large") * den >= F.col("n") * num) & (F.col("small") * num <= F.col("n") * den))
+    asked = F.least(F.lit(DEEP), F.ceil(F.col("n") * num / den))
+    opens = hits.groupBy("lo", "hi", "n", "own", "g").agg(F.count("*").alias("overlap")).filter(F.col("overlap") >= asked)
+    opens = cut(opens.drop("overlap"), "opens")
+    # members of the groups (side 0) and their visitors (side 1), still without their sets
+    roles = opens.select("lo", "hi", "n", F.col("own").alias("g"), F.lit(0).alias("side")).distinct().unionByName(
+        opens.filter("g < own").select("lo", "hi", "n", "g", F.lit(1).alias("side")))
+    groups = roles.groupBy("g").agg(
+        F.count("*").alias("rows"), F.sum(F.col("n") * 8).alias("bytes"),
+        F.min(F.when(F.col("side") == 0, F.struct("lo", "hi"))).alias("lead")).filter("rows > 1")
+    roles = roles.join(groups, "g").select(
+        "g", "side", "lo", "hi", "n", ((F.col("rows") > CELL_ROWS) | (F.col("bytes") > CELL_BYTES)).alias("big"),
+        ((F.col("side") == 0) & (F.struct("lo", "hi") == F.col("lead"))).alias("lead"))
+    roles = cut(roles, "roles")
+    words = spark.sparkContext.broadcast(bitmap.build(roles, "lo"))
     sets = texts.mapInArrow(_wanted(size, rank, words), "lo bigint, hi bigint, n bigint, keys binary")
-    placed = sets.join(group, ["lo", "hi", "n"]).dropDuplicates(["lo", "hi"])
-    placed = cut(placed.select("g", "lo", "hi", "n", "keys"), "sets")
-
-    leaders = group.groupBy("g").agg(F.min(F.struct("lo", "hi")).alias("l"), F.count("*").alias("members"))
-    leaders = leaders.filter("members > 1").select(F.col("g"), F.col("l.lo").alias("lo"), F.col("l.hi").alias("hi"))
-    leader_sets = placed.join(leaders, ["g", "lo", "hi"]).select(
-        "g", F.col("lo").alias("leader_lo"), F.col("hi").alias("leader_hi"), F.col("keys").alias("leader_keys"))
-    led = placed.join(leader_sets, "g").mapInArrow(
-        _led(num, den), "g bigint, lo bigint, hi bigint, n bigint, keys binary, core boolean")
-    alone = placed.join(leaders.select("g"), "g", "left_anti").withColumn("core", F.lit(True))
-    members = cut(led.unionByName(alone.select("g", "lo", "hi", "n", "keys", "core")), "members")
-    star = members.filter("core").join(leaders.select(
-        "g", F.col("lo").alias("blo"), F.col("hi").alias("bhi")), "g").select(
+    sets = sets.dropDuplicates(["lo", "hi", "n"]).join(roles, ["lo", "hi", "n"])
+    sets = cut(sets.select("g", "side", "lo", "hi", "keys", "big", "lead"), "sets")
+
+    links = "alo bigint, ahi bigint, blo bigint, bhi bigint"
+    one = F.lit(0).cast("long")
+    small = sets.filter("not big").select("g", one.alias("i"), one.alias("j"), "side", "lo", "hi", "keys", F.lit(False).alias("core"))
+    found = small.repartition("g").sortWithinPartitions("g").mapInArrow(_cells(num, den, True), links)
+    if sets.filter("big").isEmpty():
+        return _named(found)
+
+    big = sets.filter("big")
+    leaders = big.filter("lead").select("g", F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.col("keys").alias("leader_keys"))
+    members = cut(big.filter("side = 0").select("g", "lo", "hi", "keys").join(leaders.select("g", "leader_keys"), "g").mapInArrow(
+        _led(num, den), "g bigint, lo bigint, hi bigint, keys binary, core boolean"), "members")
+    star = members.filter("core").join(leaders.drop("leader_keys"), "g").select(
         F.col("lo").alias("alo"), F.col("hi").alias("ahi"), "blo", "bhi")
+    asks = big.filter("side = 1").select("g", "lo", "hi", "keys").unionByName(
+        members.filter("not core").select("g", "lo", "hi", "keys"))
 
-    # the matrix: token x group, with the sizes of the members that have the token
-    cells = rows.join(group, ["lo", "hi", "n"])
-    matrix = cells.groupBy("token", "g").agg(F.min("n").alias("small"), F.max("n").alias("large"))
-    opens = cells.select("token", "lo", "hi", "n", F.col("g").alias("own")).join(matrix, "token").filter(
-        (F.col("g") < F.col("own")) & (F.col("large") * den >= F.col("n") * num) & (F.col("small") * num <= F.col("n") * den))
-    opens = opens.groupBy("lo", "hi", "g").agg(F.lit(1).alias("one")).drop("one")
-    visits = opens.join(members.select("lo", "hi", "keys"), ["lo", "hi"]).select("g", "lo", "hi", "keys")
-    rest = members.filter("not core").select("g", "lo", "hi", "keys")
-    asks = cut(visits.unionByName(rest), "queries")
-
-    def blocks(df, limit, name):
+    def blocks(df, name):
         return df.groupBy("g").agg(F.ceil(F.greatest(
-            F.count("*") / limit, F.sum(F.length("keys")) / CELL_BYTES)).cast("long").alias(name))
-    grid = blocks(asks, CELL_QUERIES, "qi").join(blocks(members, CELL_MEMBERS, "mj"), "g")
+            F.count("*") / CELL_ROWS, F.sum(F.length("keys")) / CELL_BYTES)).cast("long").alias(name))
+
+    def upto(name):
+        return F.explode(F.sequence(one, F.col(name) - 1))
+    grid = blocks(asks, "qi").join(blocks(members, "mj"), "g")
     spot = F.xxhash64("lo", "hi")
-    q = asks.join(grid, "g").select(
-        "g", F.pmod(spot, F.col("qi")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("mj") - 1)).alias("j"),
-        F.lit(1).alias("side"), "lo", "hi", "keys", F.lit(False).alias("core"))
-    m = members.join(grid, "g").select(
-        "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qi") - 1)).alias("i"), F.pmod(spot, F.col("mj")).alias("j"),
-        F.lit(0).alias("side"), "lo", "hi", "keys", "core")
-    both = m.unionByName(q).repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side")
-    found = both.mapInArrow(_cells(num, den), "alo bigint, ahi bigint, blo bigint, bhi bigint")
-    return found.unionByName(star).select(_name("alo", "ahi").alias("a"), _name("blo", "bhi").alias("b"))
+    q = asks.join(grid, "g").select("g", F.pmod(spot, F.col("qi")).alias("i"), upto("mj").alias("j"),
+                                    F.lit(1).alias("side"), "lo", "hi", "keys", F.lit(False).alias("core"))
+    m = members.join(grid, "g").select("g", upto("qi").alias("i"), F.pmod(spot, F.col("mj")).alias("j"),
+                                       F.lit(0).alias("side"), "lo", "hi", "keys", "core")
+    both = m.unionByName(q).repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return _named(found.unionByName(both.mapInArrow(_cells(num, den, False), links)).unionByName(star))
+
+
+def _named(links: DataFrame) -> DataFrame:
+    return links.select(_name("alo", "ahi").alias("a"), _name("blo", "bhi").alias("b"))
 
 
 def join_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:

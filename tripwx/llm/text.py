@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _byte_table() -> np.ndarray:
