@@ -36,6 +36,7 @@ from tripwx.llm.text import PLAIN, pieces
 ORDER = 4
 TRAIN_DOCS = 1500
 MAX_LANGUAGES = 256
+SLICES = 64
 CALIBRATION_PARTS = 5
 REJECT_QUANTILE = 0.995
 UNDETERMINED = "und"
@@ -193,11 +194,13 @@ def fit(labelled: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS, m
     if not languages:
         return [], [], 1.0, []
     rows = rows.filter(F.col("lang").isin(languages)).withColumn("_h", F.xxhash64("doc_id", "lang"))
-    # the rank keeps few rows per language and partition before they are shuffled
-    rank = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    ids = rows.select("lang", "_h", "doc_id").withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= train_docs)
+    # ranked inside slices of a language first: a frequent language is no single task's work
+    ids = rows.select("lang", "_h", "doc_id")
+    for slice_ in ([F.pmod("_h", F.lit(SLICES))], []):
+        rank = Window.partitionBy("lang", *slice_).orderBy("_h", "doc_id")
+        ids = ids.withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= train_docs).drop("_r")
     # at most train_docs * max_languages narrow rows
-    few = F.broadcast(ids.select("lang", "_h", "doc_id"))
+    few = F.broadcast(ids)
     sample = rows.join(few, ["lang", "_h", "doc_id"], "left_semi").select(F.col("text").cast("binary").alias("t"), "lang", "_h")
     learn = F.pmod("_h", F.lit(CALIBRATION_PARTS)) != 0
     counts = (sample.filter(learn).select("t", "lang").mapInArrow(_count(order), "lang string, gram bigint, c bigint")

@@ -30,7 +30,7 @@ TREES = 60
 DEPTH = 4
 BINS = 64
 RATE = 0.2
-LEAF = 20.0
+LEAF = 5
 RIDGE = 1.0
 CUTOFF = 0.3
 
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, train
     body = F.coalesce("text", F.lit("")).cast("binary").alias("t")
     sample = docs.select("doc_id", body).join(F.broadcast(chosen), "doc_id").select("t", "quality")
     got = sample.mapInArrow(_measure, "quality int, x array<float>").toArrow()
-    x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, -1)
+    x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, -1 if got.num_rows else 1)
     y = got["quality"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y)) if len(y) else np.zeros(0, np.int64)   # the same model whatever order rows come in
     return train(x[order], y[order])
