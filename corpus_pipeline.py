@@ -30,10 +30,18 @@ def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(_key().alias("doc_id"), *columns)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, prefixed until no column of ``docs`` has it."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name = "_" + name
+    return name
+
+
 def _join(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """``docs`` joined to ``keys`` (_k: their key, and other columns)."""
-    right = keys.select(F.col("_k.id").alias("_kid"), F.col("_k.h").alias("_kh"), *[c for c in keys.columns if c != "_k"])
-    return docs.join(right, docs["doc_id"].eqNullSafe(right["_kid"]) & (F.xxhash64(docs["text"]) == right["_kh"]), how)
+    id_, h = _free(docs, "_kid"), _free(docs, "_kh")
+    right = keys.select(F.col("_k.id").alias(id_), F.col("_k.h").alias(h), *[c for c in keys.columns if c != "_k"])
+    return docs.join(right, docs["doc_id"].eqNullSafe(right[id_]) & (F.xxhash64(docs["text"]) == right[h]), how)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +57,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_k")).distinct()
     kept = _join(docs, stay, "left_semi")
     once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
-    return kept.withColumn("_once", F.row_number().over(once)).filter(F.col("_once") <= 1).select(*docs.columns)
+    rank = _free(docs, "_once")
+    return kept.withColumn(rank, F.row_number().over(once)).filter(F.col(rank) <= 1).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,9 +81,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with their share of it: size,
     source_size, target, epochs (whole passes) and taken (tokens)."""
     mixed = mixing.mix(_keyed(docs, "text", "source")).filter("taken > 0")
-    shares = mixed.select(F.col("doc_id").alias("_k"), *[F.col(c).alias(f"_{c}") for c in MIX]).dropDuplicates(["_k"])
+    named = {c: _free(docs, f"_{c}") for c in MIX}
+    shares = mixed.select(F.col("doc_id").alias("_k"), *[F.col(c).alias(n) for c, n in named.items()]).dropDuplicates(["_k"])
     out = _join(docs, shares, "inner")
-    return out.select(*docs.columns, *[F.col(f"_{c}").alias(c) for c in MIX if c not in docs.columns])
+    return out.select(*docs.columns, *[F.col(n).alias(c) for c, n in named.items() if c not in docs.columns])
 
 
 MIX = ("size", "source_size", "target", "epochs", "taken")
