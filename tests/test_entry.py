@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 import __spark_entry__ as entry  # noqa: E402
 
-SLOW = {"ml_train", "ml_score"}
+SLOW = {"ml_train", "ml_score", "ml_test_rows"}
 
 
 def test_entry_returns_rows(spark):
@@ -42,5 +42,3 @@ def test_flagship_plan_broadcasts_and_pushes_down(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "PushedFilters: [In(event_type" in plan or "In(event_type" in plan
-    from tripwx.operators import joins
-    joins.release_kept()

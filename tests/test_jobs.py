@@ -75,4 +75,3 @@ def test_job_chain(spark, tmp_dir):
     sinks.write_csv(fixtures.sensor_raw(spark, SF), f"{b}/sensor_raw")
     srep = jobs.sensor_job(spark, f"{b}/sensor_raw", f"{b}/sensor_clean", f"{b}/sensor_enr", 2019)
     assert srep["by_borough"].count() > 0 and srep["means"].count() == 1
-    jobs.release(spark)

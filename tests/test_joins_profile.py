@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tripwx.operators import joins
 from tripwx.operators import profile as P
@@ -12,17 +13,47 @@ def _plan(df):
 
 def test_join_small_broadcast_and_fallbacks_agree(spark):
     fact = spark.createDataFrame([(i % 7, i) for i in range(500)] + [(3, -1)] * 400, "k int, v int")
-    dim = spark.createDataFrame([(k, f"d{k}") for k in range(5)], "k int, name string")
+    dim = spark.range(5).selectExpr("CAST(id AS int) AS k", "concat('d', id) AS name")
     b = joins.join_small(fact, dim, ["k"], "left")
     assert "BroadcastHashJoin" in b._jdf.queryExecution().sparkPlan().toString()
-    shuffle = joins.join_small(fact, dim, ["k"], "left", max_rows=2)
-    salted = joins.join_small(fact, dim, ["k"], "left", max_rows=2, salt_buckets=4)
+    shuffle = joins.join_small(fact, dim, ["k"], "left", max_bytes=0)
+    salted = joins.join_small(fact, dim, ["k"], "left", max_bytes=0, salt_buckets=4)
     expected = sorted(map(tuple, b.collect()), key=str)
     assert sorted(map(tuple, shuffle.collect()), key=str) == expected
     assert sorted(map(tuple, salted.collect()), key=str) == expected
     assert b.count() == fact.count()          # unique dim keys: LEFT keeps every fact row
     assert b.columns[0] == "k"                 # USING semantics: key first, once
-    joins.release_kept()
+    with pytest.raises(ValueError):
+        joins.join_small(fact, dim, ["k"], "right", max_bytes=0, salt_buckets=4)
+
+
+def test_join_small_runs_and_keeps_nothing(spark):
+    fact = spark.range(100).selectExpr("id % 7 AS k", "id AS v")
+    dim = spark.range(7).selectExpr("id AS k", "id * 2 AS w").repartition(4)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "join_small")
+    joins.join_small(fact, dim, ["k"], "left")
+    assert len(tracker.getJobIdsForGroup("planning")) == 0
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_modes_exact_types(spark):
+    big = 9007199254740992
+    df = spark.createDataFrame([(big + 1, float("nan")), (big + 1, float("nan")), (big, float("nan")), (None, 1.0), (None, 1.0)],
+                               "b bigint, d double")
+    assert [tuple(r) for r in P.modes(df, ["b"]).collect()] == [("b", big + 1, 2)]
+    assert [tuple(r) for r in P.modes(df, ["d"]).collect()] == [("d", 1.0, 2)]
+
+
+def test_table_profile_and_sample(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, s string")
+    assert [tuple(r)[:6] for r in P.table_profile(df).collect()] == [("a", 1, "int", 2, 2, 0), ("s", 2, "string", 2, 2, 1)]
+    assert P.sample_rows(df, -3).count() == 0 and P.sample_rows(df, 1).count() == 1
+
+
+def test_summary_of_an_empty_table(spark):
+    out = P.dataset_summary(spark.createDataFrame([], "a double"), ["a"], stddev_of="a").first()
+    assert out["record_count"] == 0 and all(np.isnan(out[c]) for c in ("mean", "median", "mode", "a_stddev"))
 
 
 def test_unions(spark):
@@ -145,7 +176,7 @@ def test_fallback_join_splits_hot_key(spark):
         n = 30000
         fact = spark.range(n).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v")
         dim = spark.range(n).selectExpr("id AS k", "concat('d', id) AS name")
-        out = joins.join_small(fact, dim, ["k"], "left", max_rows=10)
+        out = joins.join_small(fact, dim, ["k"], "left", max_bytes=0)
         assert len(out.collect()) == n                # runs this plan, so AQE finalizes it
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan
@@ -155,7 +186,6 @@ def test_fallback_join_splits_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-        joins.release_kept()
 
 
 def test_modes_reuse_the_counts_shuffle(spark):

@@ -58,8 +58,10 @@ def test_impute_mean_and_all_null_column(spark):
     out = clean.impute_mean(df, ["a", "b", "absent"])
     assert [r["a"] for r in out.collect()] == [1.0, 2.0, 3.0]
     assert all(r["b"] is None for r in out.collect())
-    exact = clean.impute_mean(df, ["a"], exact_scale=2)
+    exact = clean.impute_mean(df, ["a"], exact_scale=15)
     assert [r["a"] for r in exact.collect()] == [1.0, 2.0, 3.0]
+    fine = spark.createDataFrame([(0.004,), (0.004,), (None,)], "a double")
+    assert [r["a"] for r in clean.impute_mean(fine, ["a"], exact_scale=15).collect()] == [0.004] * 3
 
 
 def test_dedup_collapses_hot_duplicate(spark):

@@ -15,10 +15,66 @@ def test_scan_aligned_both_strategies(spark, tmp_dir):
     files = [f for d in "xyz" for f in pq.discover(spark, f"{tmp_dir}/{d}")]
     specs = [ColumnSpec("a", "bigint"), ColumnSpec("n", "double")]
     one = sorted(map(tuple, pq.scan_aligned(spark, files, specs).collect()))
-    per = sorted(map(tuple, pq.scan_aligned(spark, files, specs, strategy="per_file").collect()))
+    per = sorted(map(tuple, pq.scan_aligned(spark, files, specs, strategy="schema").collect()))
     assert one == per == [(1, 2.0), (2, 2.5), (3, None)]
 
 
+def test_scan_aligned_wide_drift(spark, tmp_dir):
+    for name, ddl, rows in [("i", "a int, n int", [(1, 1)]), ("l", "a bigint, n bigint", [(2, 2)]), ("d", "a double, n double", [(3.0, 2.5)]),
+                            ("t", "a string, n string", [("4", "x")]), ("m", "a bigint", [(5,)])]:
+        spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_dir}/{name}")
+    files = [f for d in "ildtm" for f in pq.discover(spark, f"{tmp_dir}/{d}")]
+    got = pq.scan_aligned(spark, files, [ColumnSpec("a", "bigint"), ColumnSpec("n", "double")])
+    assert sorted(map(tuple, got.collect())) == [(1, 1.0), (2, 2.0), (3, 2.5), (4, None), (5, None)]
+
+
+def test_lookup_csv_by_header(spark, tmp_dir):
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    spark.createDataFrame([("latitude,longitude,LocationID",), ("40.7,-73.9,1",)], "value string").coalesce(1).write.text(f"{tmp_dir}/zz")
+    row = csv_src.scan_lookup_csv(spark, f"{tmp_dir}/zz", ["LocationID", "latitude"]).first()
+    assert (row.LocationID, row.latitude) == ("1", "40.7")
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before
+
+
+def test_bike_text_that_is_no_time(spark):
+    from tripwx.plans import trips
+    ddl = ("tripduration int, starttime string, stoptime string, `start station name` string, `start station latitude` double, "
+           "`start station longitude` double, `end station name` string, `end station latitude` double, "
+           "`end station longitude` double, bikeid int, usertype string")
+    rows = [(60, t, t, " A ", 40.7, -73.9, "B", 40.8, -73.8, 1, "Subscriber")
+            for t in ("2024-01-02 03:04:05", "not a time", "2024-01-02T03:04:05")]
+    df = spark.createDataFrame(rows, ddl)
+    assert trips.bike_trips(df).count() == 2
+    assert [r.starttime is None for r in trips.bike_profiled(df).collect()] == [False, True, False]
+
+
+def test_external_table_elsewhere(spark, tmp_dir):
+    from tripwx.sources import sinks
+    spark.range(3).write.parquet(f"{tmp_dir}/one")
+    spark.range(9).write.parquet(f"{tmp_dir}/two")
+    sinks.external_parquet_table(spark, "elsewhere_t", "id bigint", f"{tmp_dir}/one")
+    sinks.external_parquet_table(spark, "elsewhere_t", "id bigint", f"{tmp_dir}/one")
+    with pytest.raises(ValueError):
+        sinks.external_parquet_table(spark, "elsewhere_t", "id bigint", f"{tmp_dir}/two")
+    spark.sql("DROP TABLE elsewhere_t")
+
+
+def test_safe_overwrite_keeps_partitions(spark, tmp_dir):
+    from tripwx.sources import sinks
+    path = f"{tmp_dir}/parts"
+    spark.range(20).selectExpr("id", "id % 4 AS date").write.partitionBy("date").parquet(path)
+    assert sinks.safe_overwrite(spark.read.parquet(path).where("id > 3"), path) == 16
+    with pytest.raises(RuntimeError):
+        sinks.safe_overwrite(spark.read.parquet(path), path, expected_rows=3)
+    assert sinks.partition_columns(spark, path) == ["date"]
+    assert spark.read.parquet(path).where("date = 1").count() == 4
+
+
+def test_perfect_prediction_scores_one(spark):
+    m = ml.metrics(spark.createDataFrame([(1, 1.0), (0, 0.0), (0, 0.0)], "is_taxi int, prediction double")).first()
+    assert (m["accuracy"], m["weighted_f1"]) == (1.0, 1.0)
+
+
 def test_discover_errors(spark, tmp_dir):
     with pytest.raises(ValueError):
         pq.discover(spark, f"{tmp_dir}/missing")
@@ -62,8 +118,8 @@ def test_metrics_match_evaluator(spark):
     pred = spark.createDataFrame(rows, "is_taxi int, prediction double")
     m = ml.metrics(pred).first()
     ev = ml.evaluate(pred.withColumn("is_taxi", F.col("is_taxi").cast("double")))
-    assert abs(m["accuracy"] - ev["accuracy"]) < 1e-8
-    assert abs(m["weighted_f1"] - ev["f1"]) < 1e-8
+    assert abs(m["accuracy"] - ev["accuracy"]) < 1e-12
+    assert abs(m["weighted_f1"] - ev["f1"]) < 1e-12
     assert m["rows"] == 110
 
 

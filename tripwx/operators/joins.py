@@ -2,11 +2,11 @@
 
 The reference joins trips to a 265-row zone table and to hourly weather,
 both tiny next to the trips.  A broadcast hash join avoids shuffling the
-trips at all, but only while the dimension really is small, so the
-dimension's row count is checked first (``limit(max+1).count()`` reads at
-most ``max+1`` rows).  Beyond the bound the join is a shuffle join; hot
-keys on the fact side are then split by AQE's skew-join handling, or by an
-explicit salt.
+trips, but only while the dimension really is small: its size in bytes, as
+the optimizer estimates it, is checked against a bound.  Nothing runs to
+find it out.  Beyond the bound the join is planned as any other: adaptive
+execution still turns it into a broadcast if the dimension proves small at
+run time, and splits hot keys of the fact side.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-_KEPT: list[DataFrame] = []
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 2 ** 20
+SALTED = ("inner", "left", "leftouter", "left_outer", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti")
 
 
 def union_positional(*frames: DataFrame) -> DataFrame:
@@ -33,50 +32,34 @@ def union_by_name(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
         lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
-def _small_or_none(dim: DataFrame, max_rows: int) -> DataFrame | None:
-    """The dimension, kept (memory, spilling to disk) once it is proven to
-    have at most ``max_rows`` rows, so the size check and the broadcast
-    share one computation; None (and nothing kept) when it is larger."""
-    kept = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        _KEPT.append(kept)
-        return kept
-    kept.unpersist()
-    return None
-
-
-def release_kept() -> int:
-    """Unpersist every dimension kept by ``join_small``; returns how many."""
-    n = len(_KEPT)
-    while _KEPT:
-        frame = _KEPT.pop()
-        try:
-            frame.unpersist()
-        except Exception:  # its session is already stopped: nothing is held any more
-            pass
-    return n
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df``; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def join_small(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, salt_buckets: int = 0,
-               seed: int = 17) -> DataFrame:
+               max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, salt_buckets: int = 0) -> DataFrame:
     """Equi-join ``fact`` to a dimension with USING semantics (keys once,
     first in the output).
 
-    * dimension within ``max_rows``: broadcast hash join, no shuffle of
-      the fact side;
-    * otherwise a shuffle join.  With ``salt_buckets > 1`` the fact rows
-      are spread over ``salt_buckets`` sub-keys and the dimension is
-      replicated per sub-key, so no single key lands in one task;
-      with 0, AQE's skew-join split does the same at run time.
+    * dimension estimated within ``max_bytes``: broadcast hash join, no
+      shuffle of the fact side;
+    * otherwise a join as adaptive execution chooses it.  With
+      ``salt_buckets > 1`` the fact rows are spread over that many sub-keys
+      by a hash of the row (the same for a retried task) and the dimension
+      is replicated per sub-key, so no single key lands in one task.  That
+      holds for joins that keep no unmatched dimension row; others are
+      refused.
     """
     on = list(on)
-    small = _small_or_none(dim, max_rows)
-    if small is not None:
-        return fact.join(F.broadcast(small), on, how)
+    if estimated_bytes(dim) <= max_bytes:
+        return fact.join(F.broadcast(dim), on, how)
     if salt_buckets and salt_buckets > 1:
+        if how.lower() not in SALTED:
+            raise ValueError(f"a {how} join would repeat unmatched dimension rows per salt")
         salt = "__salt"
-        salted_fact = fact.withColumn(salt, F.floor(F.rand(seed) * salt_buckets).cast("int"))
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+        salted_fact = fact.withColumn(salt, F.pmod(row, F.lit(salt_buckets)).cast("int"))
         salted_dim = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
         return salted_fact.join(salted_dim, on + [salt], how).drop(salt)
     return fact.join(dim, on, how)

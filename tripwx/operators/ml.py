@@ -18,7 +18,6 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwx.functions.columns import round_stable
 
 # --- fixed values: published model configuration -----------------------------
 FEATURES = ["start_longitude", "start_latitude", "distance", "time_hours", "temp_f",
@@ -104,8 +103,7 @@ def confusion_matrix(pred: DataFrame, label: str = LABEL, prediction: str = "pre
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction",
-            digits: int = 9) -> DataFrame:
+def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """M7 as a DataFrame: rows, accuracy and weighted F1 (weights = true
     class shares), computed from the confusion counts."""
     cm = confusion_matrix(pred, label, prediction)
@@ -122,8 +120,8 @@ def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction",
     total = F.sum("act")
     return per.agg(
         total.alias("rows"),
-        round_stable(F.sum("tp") / total, digits).alias("accuracy"),
-        round_stable(F.sum(F.col("f1") * F.col("act")) / total, digits).alias("weighted_f1"))
+        (F.sum("tp") / total).alias("accuracy"),
+        (F.sum(F.col("f1") * F.col("act")) / total).alias("weighted_f1"))
 
 
 def evaluate(pred: DataFrame, label: str = LABEL) -> dict[str, float]:

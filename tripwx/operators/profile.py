@@ -209,11 +209,20 @@ def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> Da
 
 def distinct_preview(df: DataFrame, columns: list[str], n: int = 3) -> DataFrame:
     """(column_name, value): the ``n`` smallest non-NULL distinct
-    values of every column, as text (see ``smallest_distinct``)."""
+    values of every column, as text.  One aggregate per rank, for all
+    columns together: the least value above the one before."""
+    text = {c: _q(c).cast("string") for c in columns}
+    last: dict[str, str | None] = {}
     rows = []
-    for c in columns:
-        vals = smallest_distinct(df.select(_q(c).cast("string").alias(c)), c, n)
-        rows += [(c, v) for v in vals]
+    for _ in range(n):
+        found = df.agg(*[F.min(F.when(text[c] > F.lit(last[c]), text[c]) if last.get(c) is not None else text[c]).alias(f"v{i}")
+                         for i, c in enumerate(columns) if last.get(c, "") is not None]).first().asDict()
+        for i, c in enumerate(columns):
+            if last.get(c, "") is not None:
+                last[c] = found[f"v{i}"]
+                rows += [(c, last[c])] if last[c] is not None else []
+        if all(last[c] is None for c in columns):
+            break
     return df.sparkSession.createDataFrame(rows, "column_name string, value string")
 
 
@@ -238,18 +247,45 @@ def _best_per_column(counts: DataFrame) -> DataFrame:
             .groupBy("column_name").agg(F.min("value").alias("mode"), F.max("best").alias("mode_count")))
 
 
-def modes(df: DataFrame, columns: list[str], dtype: str = "double") -> DataFrame:
-    """(column_name, mode, mode_count): most frequent non-NULL value per
-    column, ties to the smallest value; all columns share one scan."""
-    counts = (_long_values(df, columns, dtype).where(F.col("value").isNotNull())
-              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    return _best_per_column(counts)
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _counted_as(dtype: str) -> str:
+    if dtype in _WHOLE:
+        return "bigint"
+    return "double" if dtype in ("float", "double") else dtype
+
+
+def modes(df: DataFrame, columns: list[str], dtype: str | None = None) -> DataFrame:
+    """(column_name, mode, mode_count): most frequent value per column,
+    NULL and NaN apart, ties to the smallest value.
+
+    Values are counted in their own type (columns of one type share a
+    scan), so that big integers a double cannot hold stay apart; the result
+    is ``dtype``, by default bigint if all columns are whole, else double."""
+    own = dict(df.dtypes)
+    groups: dict[str, list[str]] = {}
+    for c in columns:
+        groups.setdefault("string" if dtype == "string" else _counted_as(own[c]), []).append(c)
+    out = dtype or ("bigint" if set(groups) == {"bigint"} else "double")
+    parts = []
+    for kind, names in groups.items():
+        values = _long_values(df, names, kind).where(F.col("value").isNotNull())
+        if kind == "double":
+            values = values.where(~F.isnan("value"))
+        counts = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(_best_per_column(counts).withColumn("mode", F.col("mode").cast(out)))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4) -> DataFrame:
     """Two-pass mode: ``freqItems`` proposes at most 1/support candidates
     per column (a proven size bound, so they are broadcast), then one pass
-    recounts the candidates exactly and keeps the best, ties smallest."""
+    recounts the candidates exactly and keeps the best, ties smallest.
+
+    Every value above ``support`` of the rows is among the candidates, so a
+    best count above that share is the mode.  Columns without such a value
+    (near-unique ones) are counted in full."""
     fi = df.freqItems(columns, support)
     cands = functools.reduce(DataFrame.unionByName, [
         fi.select(F.lit(c).alias("column_name"), F.explode(f"{c}_freqItems").alias("value"))
@@ -257,7 +293,12 @@ def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4
         for c in columns]).where(F.col("value").isNotNull() & ~F.isnan("value")).distinct()
     vals = _long_values(df, columns, "double")
     matched = vals.join(F.broadcast(cands), ["column_name", "value"], "left_semi")
-    return _best_per_column(matched.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    best = _best_per_column(matched.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))).collect()
+    rows = df.count()
+    sure = [r for r in best if r["mode_count"] > support * rows]
+    found = df.sparkSession.createDataFrame(sure, "column_name string, mode double, mode_count bigint")
+    rest = [c for c in columns if c not in {r["column_name"] for r in sure}]
+    return found.unionByName(modes(df, rest, "double")) if rest else found
 
 
 # ----------------------------------------------------------------- medians
@@ -433,9 +474,15 @@ def _pivot_one(long_df: DataFrame, value: str, columns: list[str]) -> DataFrame:
     return long_df.groupBy().pivot("column_name", columns).agg(F.first(value))
 
 
+def _shown(c: Column, digits: int | None) -> Column:
+    return c if digits is None else round_stable(c, digits)
+
+
 def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = None,
-                    digits: int = 6) -> DataFrame:
-    """(column_name, record_count, <stddev_of>_stddev, mean, median, mode).
+                    digits: int | None = None) -> DataFrame:
+    """(column_name, record_count, <stddev_of>_stddev, mean, median,
+    mode); NaN for what a column without values has none of.  ``digits``
+    rounds the means and the stddev (not by default).
 
     Count, stddev, all means and the quantile bounds are ONE aggregate (one
     row to the driver); exact medians and modes take a few passes each over
@@ -443,10 +490,10 @@ def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = N
     column) are joined by broadcast."""
     aggs = [F.count(F.lit(1)).alias("record_count")]
     if stddev_of:
-        aggs.append(round_stable(F.stddev_samp(_q(stddev_of)), digits).alias(f"{stddev_of}_stddev"))
+        aggs.append(_shown(F.stddev_samp(_q(stddev_of)), digits).alias(f"{stddev_of}_stddev"))
     for i, c in enumerate(columns):
         x = _q(c).cast("double")
-        aggs += [round_stable(F.avg(_q(c)), digits).alias(f"m{i}"),
+        aggs += [_shown(F.avg(_q(c)), digits).alias(f"m{i}"),
                  F.min(finite_only(x)).alias(f"lo{i}"), F.max(finite_only(x)).alias(f"hi{i}")]
     row = df.agg(*aggs).first()      # one scan: count, stddev, means, and the quantile bounds
     stddev = [row[f"{stddev_of}_stddev"]] if stddev_of else []
@@ -455,29 +502,47 @@ def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = N
         [(c, row["record_count"], *stddev, row[f"m{i}"]) for i, c in enumerate(columns)], fields + ", mean double")
     bounds = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
     med = exact_quantile(df, columns, 0.5, bounds=bounds).withColumnRenamed("quantile", "median")
-    mod = modes(df, columns).select("column_name", "mode")
-    return (means.join(F.broadcast(med), "column_name", "left")
-            .join(F.broadcast(mod), "column_name", "left"))
+    mod = modes(df, columns, "double").select("column_name", "mode")
+    out = means.join(F.broadcast(med), "column_name", "left").join(F.broadcast(mod), "column_name", "left")
+    gaps = [c for c in (f"{stddev_of}_stddev", "mean", "median", "mode") if c in out.columns]
+    return out.withColumns({c: F.coalesce(_q(c), F.lit(float("nan"))) for c in gaps})
 
 
-def stats_table(df: DataFrame, columns: dict[str, str], digits: int = 6, median: str = "exact",
+def stats_table(df: DataFrame, columns: dict[str, str], digits: int | None = None, median: str = "exact",
                 rel_err: float = 0.001) -> DataFrame:
     """Rows Mean / Median / Mode, one column per (renamed) input column.
     ``median="exact"`` is ``percentile_disc(0.5)``; ``"approx"`` is the
     published ``approxQuantile`` with relative error ``rel_err``."""
     names = list(columns)
     mean = df.agg(F.lit("Mean").alias("Stat_Type"),
-                  *[round_stable(F.avg(_q(c)), digits).alias(a) for c, a in columns.items()])
+                  *[_shown(F.avg(_q(c)), digits).alias(a) for c, a in columns.items()])
     if median == "approx":
         med = approx_medians_table(df, names, rel_err).toDF(*names)
     else:
         med = _pivot_one(exact_quantile(df, names, 0.5), "quantile", names)
     med = med.select(F.lit("Median").alias("Stat_Type"), *[_q(c).alias(a) for c, a in columns.items()])
-    mod = _pivot_one(modes(df, names), "mode", names)
+    mod = _pivot_one(modes(df, names, "double"), "mode", names)
     mod = mod.select(F.lit("Mode").alias("Stat_Type"), *[_q(c).alias(a) for c, a in columns.items()])
     return mean.unionByName(med).unionByName(mod)
 
 
+def table_profile(df: DataFrame) -> DataFrame:
+    """A29 as one result, one aggregate: (column_name, position, dtype,
+    rows, columns, nulls, distinct_approx) per column."""
+    names = df.columns
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[x for i, c in enumerate(names) for x in (
+        F.count_if(_q(c).isNull()).alias(f"n{i}"), F.approx_count_distinct(_q(c)).alias(f"d{i}"))]).first()
+    out = [(c, i + 1, t, row["rows"], len(names), row[f"n{i}"], row[f"d{i}"]) for i, (c, t) in enumerate(df.dtypes)]
+    return df.sparkSession.createDataFrame(
+        out, "column_name string, position int, dtype string, rows bigint, columns int, nulls bigint, distinct_approx bigint")
+
+
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows, reading no more than it must; none if ``n`` is
+    not positive."""
+    return df.limit(max(0, n))
+
+
 def profile(df: DataFrame, numeric: list[str] | None = None,
             aggregate_columns: list[str] = ("trip_duration", "distance", "temp_f")) -> dict[str, DataFrame]:
     """The table profile as named DataFrames; a section is present only
@@ -485,6 +550,7 @@ def profile(df: DataFrame, numeric: list[str] | None = None,
     numeric = numeric_columns(df) if numeric is None else numeric
     out = {
         "rows": row_count(df),
+        "columns": df.sparkSession.createDataFrame([(len(df.columns),)], "columns int"),
         "nulls": null_counts(df),
         "sample": df.limit(10),
     }

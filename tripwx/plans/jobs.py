@@ -12,13 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwx.operators import joins, ml, profile, schema
+from tripwx.operators import ml, profile, schema
 from tripwx.plans import analytics, merge, sensor, trips, weather
 from tripwx.sources import csv as csv_src
 from tripwx.sources import parquet as pq
 from tripwx.sources import sinks
 
-ZONE_COLUMNS = ["LocationID", "Borough", "Zone", "service_zone", "longitude", "latitude"]
 WEATHER_TABLE_DDL = ("`timestamp` timestamp_ntz, date date, hour int, month int, year string, temp_f double, "
                      "precipitation_mm double, rain_mm double, cloudcover_pct double, windspeed_kmh double, "
                      "wind_direction_deg double")
@@ -26,9 +25,10 @@ WEATHER_TABLE_DDL = ("`timestamp` timestamp_ntz, date date, hour int, month int,
 
 # ------------------------------------------------------------------ weather
 def weather_clean_job(spark: SparkSession, csv_path: str, out_path: str,
-                      table: str | None = None) -> int:
-    """Raw hourly CSV -> cleaned Parquet (+ optional external table)."""
-    cleaned = weather.cleaned(csv_src.scan_csv(spark, csv_path, infer=True))
+                      table: str | None = None, schema_ddl: str | None = None) -> int:
+    """Raw hourly CSV -> cleaned Parquet (+ optional external table).
+    ``schema_ddl`` (here and below) saves the pass that infers the types."""
+    cleaned = weather.cleaned(csv_src.scan_csv(spark, csv_path, infer=True, schema=schema_ddl))
     sinks.write_single_file(cleaned, out_path)        # hourly rows: bounded by the time span
     if table:
         sinks.external_parquet_table(spark, table, WEATHER_TABLE_DDL, out_path)
@@ -63,7 +63,7 @@ def weather_enrich_job(spark: SparkSession, cleaned_path: str, out_path: str, ye
 def weather_publish_job(spark: SparkSession, enriched_path: str, out_paths: list[str]) -> int:
     """Join-ready hourly weather written to every target."""
     ready = weather.join_ready(spark.read.parquet(enriched_path))
-    sinks.write_many(ready.coalesce(1), [("parquet", p) for p in out_paths])
+    sinks.write_many(ready.repartition(1), [("parquet", p) for p in out_paths])
     return spark.read.parquet(out_paths[0]).count()
 
 
@@ -71,17 +71,11 @@ def weather_publish_job(spark: SparkSession, enriched_path: str, out_paths: list
 def taxi_ingest_job(spark: SparkSession, input_path: str, lookup_csv: str, out_path: str) -> int:
     """Raw taxi Parquet + zone CSV -> canonical trips."""
     raw = pq.scan_aligned(spark, pq.discover(spark, input_path), trips.TAXI_SOURCE)
-    zones = csv_src.scan_lookup_csv(spark, lookup_csv, _csv_header(spark, lookup_csv))
+    zones = csv_src.scan_lookup_csv(spark, lookup_csv)
     sinks.write_parquet(trips.taxi_trips(raw, zones), out_path)
     return spark.read.parquet(out_path).count()
 
 
-def _csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the CSV header line (one line read)."""
-    first = spark.read.text(path).limit(1).first()
-    return [c.strip().strip('"') for c in first[0].split(",")] if first else ZONE_COLUMNS
-
-
 def taxi_clean_job(spark: SparkSession, input_path: str, out_path: str) -> int:
     """E5: drifting monthly files -> one aligned table of the kept columns."""
     df = pq.scan_aligned(spark, pq.discover(spark, input_path), trips.TAXI_KEPT)
@@ -99,17 +93,17 @@ def taxi_summary_job(spark: SparkSession, input_path: str, out_path: str) -> Dat
 
 # -------------------------------------------------------------------- bike
 def bike_ingest_job(spark: SparkSession, csv_glob: str, out_path: str, distance_unit: str = "km",
-                    duration_unit: str = "s", dropna_scope: str = "all") -> int:
+                    duration_unit: str = "s", dropna_scope: str = "all", schema_ddl: str | None = None) -> int:
     """Monthly CSVs -> canonical trips (haversine distance)."""
-    raw = csv_src.scan_csv(spark, csv_glob, infer=True)
+    raw = csv_src.scan_csv(spark, csv_glob, infer=True, schema=schema_ddl)
     sinks.write_parquet(trips.bike_trips(raw, dropna_scope, distance_unit, duration_unit), out_path)
     return spark.read.parquet(out_path).count()
 
 
-def bike_stats_job(spark: SparkSession, csv_glob: str, out_path: str) -> dict[str, DataFrame]:
+def bike_stats_job(spark: SparkSession, csv_glob: str, out_path: str, schema_ddl: str | None = None) -> dict[str, DataFrame]:
     """Normalised names and flags written; returns the Mean/Median/Mode
     table and the sample standard deviation of the start latitude."""
-    cleaned = trips.bike_profiled(csv_src.scan_csv(spark, csv_glob, infer=True))
+    cleaned = trips.bike_profiled(csv_src.scan_csv(spark, csv_glob, infer=True, schema=schema_ddl))
     sinks.write_parquet(cleaned, out_path)
     written = spark.read.parquet(out_path)
     stats = profile.stats_table(written, {"start station latitude": "Start_Lat",
@@ -120,9 +114,9 @@ def bike_stats_job(spark: SparkSession, csv_glob: str, out_path: str) -> dict[st
     return {"stats": stats, "stddev": stddev}
 
 
-def bike_new_format_job(spark: SparkSession, csv_path: str, out_path: str, data_year: int) -> int:
+def bike_new_format_job(spark: SparkSession, csv_path: str, out_path: str, data_year: int, schema_ddl: str | None = None) -> int:
     """New-format bike CSV -> cleaned CSV."""
-    df = trips.bike_new_format(csv_src.scan_csv(spark, csv_path, infer=True), data_year)
+    df = trips.bike_new_format(csv_src.scan_csv(spark, csv_path, infer=True, schema=schema_ddl), data_year)
     sinks.write_csv(df, out_path)
     return spark.read.option("header", "true").csv(out_path).count()
 
@@ -154,9 +148,7 @@ def clean_strict_job(spark: SparkSession, in_path: str, out_path: str | None = N
     Returns (rows_before, rows_after)."""
     raw = spark.read.parquet(in_path)
     before = raw.count()
-    with sinks.cached(merge.clean_strict(raw)) as cleaned:
-        cleaned.count()                       # rows after cleaning; fills the cache the write reads
-        after = sinks.safe_overwrite(cleaned, out_path or in_path)
+    after = sinks.safe_overwrite(merge.clean_strict(raw), out_path or in_path)
     return spark.createDataFrame([(before, after)], "rows_before long, rows_after long")
 
 
@@ -219,9 +211,9 @@ def score_job(spark: SparkSession, model_path: str, trips_path: str, out_path: s
 
 # ------------------------------------------------------------------- sensor
 def sensor_job(spark: SparkSession, csv_path: str, cleaned_path: str, enriched_path: str,
-               year: int) -> dict[str, DataFrame]:
+               year: int, schema_ddl: str | None = None) -> dict[str, DataFrame]:
     """Sensor clean -> profile -> enrich."""
-    cleaned = sensor.cleaned(csv_src.scan_csv(spark, csv_path, infer=True))
+    cleaned = sensor.cleaned(csv_src.scan_csv(spark, csv_path, infer=True, schema=schema_ddl))
     sinks.write_parquet(cleaned, cleaned_path)
     c = spark.read.parquet(cleaned_path)
     enriched = sensor.enriched(c, year)
@@ -239,7 +231,3 @@ def sensor_job(spark: SparkSession, csv_path: str, cleaned_path: str, enriched_p
         "by_borough_mean": profile.grouped_mean(e, "borough", "airtemp", alias="avg_airtemp"),
     }
 
-
-def release(spark: SparkSession) -> None:
-    """Drop the dimensions kept by broadcast joins in this session."""
-    joins.release_kept()

@@ -26,18 +26,18 @@ HOURS = (0, 23)
 
 
 def merge_left(taxi: DataFrame, bike: DataFrame, weather: DataFrame,
-               max_broadcast_rows: int = joins.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = joins.DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Positional union of the trip sources, LEFT join to hourly
     weather on (date, time_hours); trips without weather keep NULLs."""
     trips = joins.union_positional(taxi, bike)
-    return joins.join_small(trips, weather, JOIN_KEYS, "left", max_broadcast_rows)
+    return joins.join_small(trips, weather, JOIN_KEYS, "left", max_broadcast_bytes)
 
 
 def merge_inner(bike: DataFrame, taxi: DataFrame, weather: DataFrame,
-                max_broadcast_rows: int = joins.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                max_broadcast_bytes: int = joins.DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """By-name union, INNER join, drop any-NULL rows, deduplicate."""
     trips = joins.union_by_name(bike, taxi)
-    merged = joins.join_small(trips, weather, JOIN_KEYS, "inner", max_broadcast_rows)
+    merged = joins.join_small(trips, weather, JOIN_KEYS, "inner", max_broadcast_bytes)
     return clean.dedup(clean.drop_nulls(merged))
 
 
@@ -57,6 +57,11 @@ def strict_rules(df: DataFrame) -> list[clean.Rule]:
     ] + bbox_rules()
 
 
+#: Decimals kept by the exact sums behind the imputed means: more than a
+#: measurement's double holds.
+MEAN_SCALE = 15
+
+
 def clean_strict(merged: DataFrame) -> DataFrame:
     """Required columns (those present) non-NULL, trip sanity, NYC box,
     whole-row dedup."""
@@ -83,8 +88,7 @@ def clean_impute(merged: DataFrame, year: int) -> DataFrame:
     the weather measures, day/month/segment columns."""
     rules = [year_rule(year)] + outlier_rules(merged)
     valid = clean.apply_rules(merged, rules)
-    # the measures were rounded to 2 decimals by the weather clean step
-    filled = clean.impute_mean(valid, WEATHER_MEASURES, exact_scale=2)
+    filled = clean.impute_mean(valid, WEATHER_MEASURES, exact_scale=MEAN_SCALE)
     return filled.withColumns({
         "day_of_month": F.dayofmonth("date"),
         "month": F.month("date"),

@@ -7,7 +7,6 @@ the same sign-aware 1e-9 nudge as ``functions.columns.round_stable``.
 
 from __future__ import annotations
 
-from tripwx.functions import columns as C
 from tripwx.plans import fixtures
 
 DATA_YEAR = 2024  # the driver's event tables cover January 2024
@@ -19,17 +18,19 @@ def rs(expr: str, n: int) -> str:
 
 
 def season_sql(month: str) -> str:
-    parts = [f"WHEN {month} IN ({', '.join(str(m) for m in ms)}) THEN '{label}'"
-             for label, ms in C.SEASON_MONTHS]
-    return f"CASE {' '.join(parts)} ELSE '{C.SEASON_OTHERWISE}' END"
+    return (f"CASE WHEN {month} IN (12, 1, 2) THEN 'WINTER' WHEN {month} IN (3, 4, 5) THEN 'SPRING' "
+            f"WHEN {month} IN (6, 7, 8) THEN 'SUMMER' ELSE 'FALL' END")
 
 
 def beaufort_sql(w: str) -> str:
-    parts = [f"WHEN {w} < 1 THEN '{C.BEAUFORT_CALM}'"]
-    parts += [f"WHEN {w} BETWEEN {lo} AND {hi} THEN '{label}'" for label, lo, hi in C.BEAUFORT_BANDS]
-    label, lo = C.BEAUFORT_HURRICANE
-    parts.append(f"WHEN {w} >= {lo} THEN '{label}'")
-    return f"CASE {' '.join(parts)} ELSE '{C.BEAUFORT_UNKNOWN}' END"
+    return f"""CASE WHEN {w} < 1 THEN '0 - Calm'
+         WHEN {w} >= 1 AND {w} <= 5 THEN '1 - Light Air' WHEN {w} >= 6 AND {w} <= 11 THEN '2 - Light Breeze'
+         WHEN {w} >= 12 AND {w} <= 19 THEN '3 - Gentle Breeze' WHEN {w} >= 20 AND {w} <= 28 THEN '4 - Moderate Breeze'
+         WHEN {w} >= 29 AND {w} <= 38 THEN '5 - Fresh Breeze' WHEN {w} >= 39 AND {w} <= 49 THEN '6 - Strong Breeze'
+         WHEN {w} >= 50 AND {w} <= 61 THEN '7 - Near Gale' WHEN {w} >= 62 AND {w} <= 74 THEN '8 - Gale'
+         WHEN {w} >= 75 AND {w} <= 88 THEN '9 - Strong Gale' WHEN {w} >= 89 AND {w} <= 102 THEN '10 - Storm'
+         WHEN {w} >= 103 AND {w} <= 117 THEN '11 - Violent Storm' WHEN {w} >= 118 THEN '12 - Hurricane'
+         ELSE 'Unknown' END"""
 
 
 def haversine_sql(lat1, lon1, lat2, lon2, radius) -> str:
@@ -101,7 +102,7 @@ SELECT * FROM (
   SELECT "start station longitude" AS start_longitude, "start station latitude" AS start_latitude,
          CAST(hour(starttime) AS INTEGER) AS time_hours, CAST(starttime AS DATE) AS date,
          CAST(tripduration AS DOUBLE) AS trip_duration,
-         {haversine_sql('"start station latitude"', '"start station longitude"', '"end station latitude"', '"end station longitude"', C.EARTH_RADIUS_KM)} AS distance,
+         {haversine_sql('"start station latitude"', '"start station longitude"', '"end station latitude"', '"end station longitude"', 6371.0)} AS distance,
          0 AS is_taxi
   FROM v_bike_raw
   WHERE tripduration IS NOT NULL AND starttime IS NOT NULL AND stoptime IS NOT NULL
@@ -126,7 +127,7 @@ WHERE date IS NOT NULL AND time_hours IS NOT NULL AND start_longitude IS NOT NUL
   AND isHot IS NOT NULL AND isWindy IS NOT NULL"""),
     "sensor_clean": (["v_sensor_raw"], f"""
 SELECT * FROM (
-  SELECT {rs('AirTemp', 2)} AS airtemp, CAST(try_strptime("Day", '%m/%d/%Y') AS DATE) AS day,
+  SELECT CAST(round(CAST(CAST(AirTemp AS VARCHAR) AS DECIMAL(38, 15)), 2) AS DOUBLE) AS airtemp, CAST(try_strptime("Day", '%m/%d/%Y') AS DATE) AS day,
          CAST("Hour" AS INTEGER) AS hour, Latitude AS latitude, Longitude AS longitude,
          CAST("Year" AS VARCHAR) AS year, Borough AS borough, ntacode
   FROM v_sensor_raw) s

@@ -329,7 +329,7 @@ _IMPUTED = ", ".join(f"coalesce(m.{c}, a.{c}) AS {c}" for c in merge.WEATHER_MEA
 @register("clean_impute", sql(f"""
 SELECT * FROM (
   WITH v AS (SELECT * FROM merged_left WHERE {' AND '.join('(' + c + ')' for c in _OUTLIER)}),
-       a AS (SELECT {', '.join(f'CAST(sum(CAST({c} AS DECIMAL(38, 2))) AS DOUBLE) / count({c}) AS {c}' for c in merge.WEATHER_MEASURES)} FROM v)
+       a AS (SELECT {', '.join(f'CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38, 15))) AS DOUBLE) / count({c}) AS {c}' for c in merge.WEATHER_MEASURES)} FROM v)
   SELECT m.date, m.time_hours, m.start_longitude, m.start_latitude, m.trip_duration, m.distance, m.is_taxi,
          {_IMPUTED}, m.season, m.beaufort_scale, m.isHot, m.isWindy,
          CAST(day(m.date) AS INTEGER) AS day_of_month, CAST(month(m.date) AS INTEGER) AS month,
@@ -351,10 +351,10 @@ def q_month_segment(spark, sf):
 @register("impute_mean", sql(f"""
 SELECT m.date, m.time_hours, m.start_longitude, m.start_latitude, m.trip_duration, m.distance, m.is_taxi,
        {_IMPUTED}, m.season, m.beaufort_scale, m.isHot, m.isWindy
-FROM merged_left m, (SELECT {', '.join(f'CAST(sum(CAST({c} AS DECIMAL(38, 2))) AS DOUBLE) / count({c}) AS {c}' for c in merge.WEATHER_MEASURES)} FROM merged_left) a""",
+FROM merged_left m, (SELECT {', '.join(f'CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38, 15))) AS DOUBLE) / count({c}) AS {c}' for c in merge.WEATHER_MEASURES)} FROM merged_left) a""",
                             "merged_left"))
 def q_impute_mean(spark, sf):
-    return clean.impute_mean(inputs.merged_left(spark, sf), merge.WEATHER_MEASURES, exact_scale=2)
+    return clean.impute_mean(inputs.merged_left(spark, sf), merge.WEATHER_MEASURES, exact_scale=merge.MEAN_SCALE)
 
 
 @register("dedup_rows", sql("""

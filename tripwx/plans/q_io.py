@@ -33,12 +33,11 @@ def _database(spark):
 
 # ------------------------------------------------------------------ sources
 @register("scan_parquet", sql("""
-SELECT event_id, event_type, value FROM events WHERE event_type = 'error'"""))
+SELECT event_id, event_type, value FROM events"""))
 def q_scan_parquet(spark, sf):
     # header / inferSchema are CSV options: the Parquet reader ignores them
-    ev = pq.scan(spark, f"{sf}/events.parquet", columns=["event_id", "event_type", "value"],
-                 header="true", inferSchema="true")
-    return ev.where(F.col("event_type") == "error")
+    return pq.scan(spark, f"{sf}/events.parquet", columns=["event_id", "event_type", "value"],
+                   header="true", inferSchema="true")
 
 
 @register("scan_multi_path", sql("SELECT * FROM v_trips", "v_trips"))
@@ -68,18 +67,19 @@ def q_scan_glob(spark, sf):
 
 @register("scan_schema_drift", sql("""
 SELECT tpep_pickup_datetime, tpep_dropoff_datetime, fare_amount, tip_amount, total_amount,
-       CASE WHEN PULocationID % 3 = 2 THEN NULL ELSE passenger_count END AS passenger_count, trip_distance
+       CASE WHEN PULocationID % 5 = 4 THEN NULL ELSE passenger_count END AS passenger_count, trip_distance
 FROM v_taxi_raw""", "v_taxi_raw"))
 def q_scan_schema_drift(spark, sf):
     raw = fixtures.taxi_raw(spark, sf).withColumns(
         {c: F.col(c).cast("timestamp") for c in ["tpep_pickup_datetime", "tpep_dropoff_datetime"]})
     base = scratch_path(spark, "drift")
-    k = F.col("PULocationID") % 3
-    sinks.write_parquet(raw.filter(k == 0).withColumn("passenger_count", F.col("passenger_count").cast("int")),
-                        f"{base}/a")
-    sinks.write_parquet(raw.filter(k == 1), f"{base}/b")
-    sinks.write_parquet(raw.filter(k == 2).drop("passenger_count"), f"{base}/c")
-    files = [f for d in ("a", "b", "c") for f in pq.discover(spark, f"{base}/{d}")]
+    k, n = F.col("PULocationID") % 5, F.col("passenger_count")
+    kinds = {"int": n.cast("int"), "bigint": n.cast("bigint"), "double": n.cast("double"), "string": n.cast("string"), "none": None}
+    for i, (kind, column) in enumerate(kinds.items()):
+        part = raw.filter(k == i)
+        part = part.drop("passenger_count") if column is None else part.withColumn("passenger_count", column)
+        sinks.write_parquet(part, f"{base}/{kind}")
+    files = [f for kind in kinds for f in pq.discover(spark, f"{base}/{kind}")]
     df = pq.scan_aligned(spark, files, trips.TAXI_SUMMARY)
     return _ntz(df, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
 
@@ -160,11 +160,11 @@ def q_sink_table(spark, sf):
     return spark.table(table)
 
 
-@register("sink_many", sql("SELECT * FROM w_pub", "w_pub"))
+@register("sink_many", sql("SELECT * FROM w_pub UNION ALL SELECT * FROM w_pub", "w_pub"))
 def q_sink_many(spark, sf):
     base = scratch_path(spark, "many")
     sinks.write_many(inputs.published_weather(spark, sf), [("parquet", f"{base}/a"), ("parquet", f"{base}/b")])
-    return spark.read.parquet(f"{base}/b")
+    return spark.read.parquet(f"{base}/a").unionByName(spark.read.parquet(f"{base}/b"))
 
 
 @register("external_table", sql("SELECT * FROM w_clean", "w_clean"))
@@ -179,6 +179,17 @@ def q_external_table(spark, sf):
     return spark.table(table)
 
 
+@register("describe_table", """
+SELECT * FROM (VALUES ('timestamp', 'timestamp_ntz'), ('date', 'date'), ('hour', 'int'), ('month', 'int'), ('year', 'string'),
+  ('temp_f', 'double'), ('precipitation_mm', 'double'), ('rain_mm', 'double'), ('cloudcover_pct', 'double'),
+  ('windspeed_kmh', 'double'), ('wind_direction_deg', 'double')) AS t(col_name, data_type)""")
+def q_describe_table(spark, sf):
+    path = scratch_path(spark, "weather_described")
+    sinks.write_parquet(weather.cleaned(fixtures.weather_raw(spark, sf)), path)
+    table = f"{_database(spark)}.weather_described_{uuid.uuid4().hex[:8]}"
+    return sinks.external_parquet_table(spark, table, jobs.WEATHER_TABLE_DDL, path).select("col_name", "data_type")
+
+
 @register("safe_overwrite", sql("""
 SELECT DISTINCT * FROM merged_left
 WHERE date IS NOT NULL AND time_hours IS NOT NULL AND start_longitude IS NOT NULL AND start_latitude IS NOT NULL

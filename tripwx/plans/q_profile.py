@@ -141,7 +141,7 @@ def q_mode_text(spark, sf):
     return P.modes(inputs.enriched_weather(spark, sf), ["season", "beaufort_scale"], dtype="string")
 
 
-_HH = ["passenger_count", "trip_distance", "tip_amount"]
+_HH = ["fare_amount", "tip_amount", "total_amount", "passenger_count", "trip_distance"]
 
 
 @register("mode_heavy_hitters", sql(_mode_sql("v_taxi_raw", _HH), "v_taxi_raw"))
@@ -222,7 +222,8 @@ def q_distinct_categorical(spark, sf):
     return P.distinct_bounded(trips.taxi_kept(fixtures.taxi_raw(spark, sf)), "PULocationID", categorical=True)
 
 
-_PREVIEW = ["ride_id", "rideable_type", "start_station_name", "end_station_name", "start_lat", "start_lng"]
+_PREVIEW = ["ride_id", "rideable_type", "start_station_name", "end_station_name", "start_lat", "start_lng",
+            "end_lat", "end_lng"]
 
 
 @register("distinct_preview", sql(" UNION ALL ".join(
@@ -287,3 +288,41 @@ def q_null_counts_sql(spark, sf):
 @register("median_approx_gk", None)
 def q_median_approx_gk(spark, sf):
     return P.approx_medians_table(fixtures.bike_raw(spark, sf), list(BIKE_STATS), 0.001)
+
+
+@register("table_profile", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {i} AS position, count(*) AS rows, {len(MERGED_COLS)} AS columns, "
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS nulls FROM merged_left" for i, c in enumerate(MERGED_COLS, 1)), "merged_left"))
+def q_table_profile(spark, sf):
+    return P.table_profile(inputs.merged_left(spark, sf)).drop("dtype", "distinct_approx")
+
+
+@register("sample_rows", sql("SELECT count(*) AS sampled, 0::BIGINT AS strangers FROM (SELECT * FROM v_bike_new LIMIT 15) s",
+                             "v_bike_new"))
+def q_sample_rows(spark, sf):
+    """Which rows come is open: how many, and that all are the table's, is not."""
+    df = fixtures.bike_new(spark, sf)
+    some = P.sample_rows(df, 15)
+    known = df.select("ride_id").withColumn("known", F.lit(1)).distinct()
+    return some.join(known, "ride_id", "left").agg(
+        F.count(F.lit(1)).alias("sampled"), F.count_if(F.col("known").isNull()).alias("strangers"))
+
+
+_TRIP_NUMBERS = ["trip_duration", "distance", "start_latitude", "start_longitude"]
+
+
+@register("median_trips", sql("SELECT " + ", ".join(
+    f"CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median_{c}" for c in _TRIP_NUMBERS) + " FROM v_trips", "v_trips"))
+def q_median_trips(spark, sf):
+    return P.medians_exact(fixtures.trips(spark, sf), _TRIP_NUMBERS)
+
+
+@register("mode_trips", sql(_mode_sql("v_trips", _TRIP_NUMBERS), "v_trips"))
+def q_mode_trips(spark, sf):
+    return P.modes(fixtures.trips(spark, sf), _TRIP_NUMBERS)
+
+
+@register("distinct_trips", sql("SELECT " + ", ".join(
+    f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS distinct_{c}" for c in _TRIP_NUMBERS) + " FROM v_trips", "v_trips"))
+def q_distinct_trips(spark, sf):
+    return P.distinct_counts(fixtures.trips(spark, sf), _TRIP_NUMBERS)

@@ -21,7 +21,7 @@ AIRTEMP_RANGE = (-20.0, 130.0)
 def cleaned(raw: DataFrame) -> DataFrame:
     df = schema.rename(schema.drop_columns(raw, DROPPED), RENAMES)
     df = df.withColumns({
-        "airtemp": C.round_stable(F.col("airtemp").try_cast("double"), 2),
+        "airtemp": F.round(F.col("airtemp").try_cast("double"), 2),
         "day": F.try_to_date(F.col("day").cast("string"), DAY_FORMAT),
         "hour": F.col("hour").try_cast("int"),
         "latitude": F.col("latitude").try_cast("double"),

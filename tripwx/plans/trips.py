@@ -57,11 +57,11 @@ def zone_lookup(raw_zones: DataFrame) -> DataFrame:
 
 
 def taxi_trips(raw_taxi: DataFrame, raw_zones: DataFrame,
-               max_broadcast_rows: int = joins.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = joins.DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Align the raw columns, LEFT join the zone centroids (zones
     without coordinates and unknown ids keep NULLs), derive trip columns."""
     src = schema.align(raw_taxi, TAXI_SOURCE)
-    joined = joins.join_small(src, zone_lookup(raw_zones), ["PULocationID"], "left", max_broadcast_rows)
+    joined = joins.join_small(src, zone_lookup(raw_zones), ["PULocationID"], "left", max_broadcast_bytes)
     pickup = F.col("tpep_pickup_datetime")
     derived = joined.select(
         F.col("lookup_longitude").alias("start_longitude"),
@@ -75,6 +75,13 @@ def taxi_trips(raw_taxi: DataFrame, raw_zones: DataFrame,
     return schema.align(derived, TRIP)
 
 
+def bike_time(name: str):
+    """A trip time: a timestamp, or text in the default or the second
+    format; text that is neither is NULL, never an error."""
+    return F.coalesce(F.col(name).try_cast("timestamp"),
+                      F.try_to_timestamp(F.col(name).cast("string"), F.lit(SECOND_FORMAT)))
+
+
 def bike_trips(raw_bike: DataFrame, dropna_scope: str = "all", distance_unit: str = "km",
                duration_unit: str = "s") -> DataFrame:
     """Drop incomplete rows (all raw columns by default, as published,
@@ -82,7 +89,7 @@ def bike_trips(raw_bike: DataFrame, dropna_scope: str = "all", distance_unit: st
     used = ["tripduration", "starttime"] + BIKE_COORDS
     df = clean.drop_nulls(raw_bike, None if dropna_scope == "all" else used)
     df = schema.rename(df, BIKE_RENAMES)
-    start = F.col("starttime").cast("timestamp")
+    start = bike_time("starttime")
     df = df.select(
         F.col("start_longitude"), F.col("start_latitude"),
         F.hour(start).alias("time_hours"),
@@ -98,9 +105,7 @@ def bike_trips(raw_bike: DataFrame, dropna_scope: str = "all", distance_unit: st
 def bike_profiled(raw_bike: DataFrame) -> DataFrame:
     """E8 cleaning half: normalised station names, parsed times, subscriber flag."""
     df = raw_bike.withColumns({n: C.normalize_lower(F.col(schema.quote(n))) for n in BIKE_STATION_COLUMNS})
-    df = df.withColumns({t: F.coalesce(F.col(t).cast("timestamp"),
-                                       F.try_to_timestamp(F.col(t).cast("string"), F.lit(SECOND_FORMAT)))
-                         for t in ["starttime", "stoptime"]})
+    df = df.withColumns({t: bike_time(t) for t in ["starttime", "stoptime"]})
     return df.withColumn("is_subscriber", C.flag(F.col("usertype") == "Subscriber"))
 
 

@@ -20,16 +20,15 @@ def scan_csv(spark: SparkSession, path: str, infer: bool = True, schema: str | N
     return reader.csv(path)
 
 
-def scan_lookup_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Small lookup CSV, every column a string.
+def scan_lookup_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Small lookup CSV, every column a string, named by the file's header
+    (``columns``: those to keep, in any order).
 
     ``""`` inside quotes is an escaped quote, and a row whose field count
-    differs from the header is dropped (DROPMALFORMED against an explicit
-    all-string schema).  Spark's CSV column pruning would otherwise let a
-    short row survive a narrow select, so it is switched off for this
-    session before the read.
+    differs from the header is dropped (DROPMALFORMED).  Column pruning
+    would let a short row survive a narrow select, so this read does
+    without it.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    ddl = ", ".join(f"`{c}` string" for c in columns)
-    return (spark.read.schema(ddl).option("header", "true").option("quote", '"')
-            .option("escape", '"').option("mode", "DROPMALFORMED").csv(path))
+    df = (spark.read.option("header", "true").option("quote", '"').option("escape", '"')
+          .option("mode", "DROPMALFORMED").option("columnPruning", "false").csv(path))
+    return df.select(*[f"`{c}`" for c in columns]) if columns else df

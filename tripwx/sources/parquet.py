@@ -34,13 +34,13 @@ def discover(spark: SparkSession, path: str, suffix: str = ".parquet") -> list[s
     Only file names are listed on the driver, no data is read."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
-        raise ValueError(f"Dataset path not found: {path}")
+        raise ValueError(f"no such file or folder: {path}")
     if fs.isFile(p):
         return [p.toString()]
     files = sorted(s.getPath().toString() for s in fs.listStatus(p)
                    if s.isFile() and s.getPath().getName().endswith(suffix))
     if not files:
-        raise ValueError(f"No {suffix} files found at {path}")
+        raise ValueError(f"{path} holds no *{suffix} file")
     return files
 
 
@@ -50,19 +50,21 @@ def scan_dataset(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_aligned(spark: SparkSession, paths: list[str], specs: list[ColumnSpec],
-                 strategy: str = "schema") -> DataFrame:
-    """Read files whose column types drift (int in one, double in
-    another; a column missing from some) as one table of ``specs``.
+                 strategy: str = "groups") -> DataFrame:
+    """Read files whose column types drift (int in one, double or text
+    in another; a column missing from some) as one table of ``specs``.
 
-    ``strategy="schema"`` is one scan with the declared schema: Spark's
-    Parquet reader widens int/long/float to the requested type and fills
-    absent columns with NULL, so thousands of files stay one splittable
-    scan.  ``strategy="per_file"`` reads each file alone, aligns it with
-    ``try_cast`` and unions - for drift the reader cannot widen (e.g. text
-    numbers); its plan grows with the file count.
+    ``strategy="groups"`` looks at each file's schema (footers only), reads
+    the files of equal schema as one splittable scan, aligns each group with
+    ``try_cast`` and unions the groups: the plan grows with the number of
+    different schemas, not of files.  ``strategy="schema"`` is one scan with
+    the declared schema, for drift that the Parquet reader can widen itself.
     """
     if strategy == "schema":
         ddl = ", ".join(f"{schema.quote(s.name)} {s.dtype}" for s in specs)
         return spark.read.schema(ddl).parquet(*paths)
-    frames = [schema.align(spark.read.parquet(p), specs) for p in paths]
+    groups: dict[str, list[str]] = {}
+    for p in paths:
+        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    frames = [schema.align(spark.read.parquet(*files), specs) for files in groups.values()]
     return functools.reduce(DataFrame.unionByName, frames)

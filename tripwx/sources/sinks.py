@@ -40,9 +40,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_single_file(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> str:
-    """K2/K3: one output file.  Only for small results (aggregates,
-    lookups): ``coalesce(1)`` pulls the final stage into one task."""
-    w = df.coalesce(1).write.mode("overwrite")
+    """K2/K3: one output file.  Only for small results (aggregates, lookups,
+    hourly rows): the work before runs in parallel, one task writes."""
+    w = df.repartition(1).write.mode("overwrite")
     if fmt == "csv":
         w.option("header", str(header).lower()).csv(path)
     else:
@@ -85,24 +85,50 @@ def save_table(df: DataFrame, table: str, drop_first: bool = True) -> str:
 
 
 def external_parquet_table(spark: SparkSession, table: str, ddl_columns: str, location: str) -> DataFrame:
-    """Declare a table over an existing Parquet folder and describe it."""
+    """Declare a table over an existing Parquet folder and describe
+    it.  A table of that name over another folder is an error."""
+    if spark.catalog.tableExists(table):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+        there = rows[0]["data_type"] if rows else ""
+        if _plain(there) != _plain(location):
+            raise ValueError(f"table {table} exists over {there}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl_columns}) USING parquet LOCATION '{location}'")
     return spark.sql(f"DESCRIBE TABLE {table}")
 
 
+def _plain(location: str) -> str:
+    """A location without ``file:`` and surplus slashes."""
+    return "/" + location.removeprefix("file:").strip("/")
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a folder, by its ``name=value`` subfolders."""
+    _, p, fs = _fs(spark, path)
+    names = []
+    while fs.exists(p):
+        parts = [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not parts:
+            break
+        p = parts[0]
+        names.append(p.getName().split("=", 1)[0])
+    return names
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def safe_overwrite(df: DataFrame, output: str, staging: str | None = None) -> int:
+def safe_overwrite(df: DataFrame, output: str, staging: str | None = None, expected_rows: int | None = None) -> int:
     """K6: replace ``output`` with ``df`` even when ``df`` reads ``output``.
 
-    The result is first written to a staging folder next to the output
-    and its row count read back from the written files; only then is the
-    old output renamed aside, the staging folder renamed into place and
-    the old copy deleted.  A failure before the swap leaves the old output
+    The result is first written to a staging folder next to the output,
+    partitioned as the old output is, and its row count read back from the
+    written files (it must be ``expected_rows``, if the caller knows them);
+    only then is the old output renamed aside, the staging folder renamed
+    into place and the old copy deleted.  (An ``Observation`` would count
+    while writing, but a session that holds one cannot ship ML models.)  A failure before the swap leaves the old output
     intact; a failed rename raises.  Returns the rows written.
     """
     spark = df.sparkSession
@@ -112,15 +138,17 @@ def safe_overwrite(df: DataFrame, output: str, staging: str | None = None) -> in
     _, old_p, _ = _fs(spark, f"{output.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
     if fs.exists(stage_p):
         fs.delete(stage_p, True)
-    df.write.mode("overwrite").parquet(staging)
+    write_parquet(df, staging, partition_by=[c for c in partition_columns(spark, output) if c in df.columns] or None)
     rows = spark.read.parquet(staging).count()
+    if expected_rows is not None and rows != expected_rows:
+        raise RuntimeError(f"{staging} holds {rows} rows, not {expected_rows}")
     had_old = fs.exists(out_p)
     if had_old and not fs.rename(out_p, old_p):
-        raise RuntimeError(f"Failed to move {output} aside")
+        raise RuntimeError(f"{output} could not be renamed; nothing was changed")
     if not fs.rename(stage_p, out_p):
         if had_old:
             fs.rename(old_p, out_p)
-        raise RuntimeError(f"Failed to move {staging} to {output}")
+        raise RuntimeError(f"{staging} could not take the place of {output}")
     if had_old:
         fs.delete(old_p, True)
     return rows
