@@ -325,7 +325,7 @@ def medians_exact(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 256,
-                   max_sort_values: int = 2_000_000, max_rounds: int = 8,
+                   max_sort_values: int = 2_000_000, max_rounds: int = 80,
                    bounds: dict[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
     """(column_name, quantile): per column, the smallest value v whose
     cume_dist(v) >= p (``percentile_disc``), NULL and NaN ignored.
@@ -370,6 +370,12 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
             c = c & (F.col(n) < hi)
         return c
 
+    def middle(n):
+        """A cut that halves the range, so that every round narrows it and a
+        bucket of several values always ends below ``max_sort_values``."""
+        lo, hi = max(state[n][0], mm[f"{n}_lo"]), min(state[n][1], mm[f"{n}_hi"])
+        return lo + (hi - lo) / 2
+
     open_cols = list(names)
     # round 1 cuts each column's finite range into equal widths (one min/max
     # aggregate); later rounds, needed only when values crowd into one
@@ -395,7 +401,7 @@ def exact_quantile(df: DataFrame, columns: list[str], p: float, buckets: int = 2
         else:
             sk = doubles.agg(*[F.percentile_approx(F.when(in_range(n), F.col(n)), fractions, 4 * buckets)
                                .alias(n) for n in open_cols]).first()
-            cuts = {n: sk[n] or [] for n in open_cols}
+            cuts = {n: [*(sk[n] or []), middle(n)] for n in open_cols}
         splits = {}
         for n in open_cols:
             lo, hi = state[n][:2]

@@ -8,7 +8,9 @@ partition coalescing and skew-join splitting, UI off.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -75,6 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
                                "before running tripwx jobs on a cluster")
         current = tempfile.mkdtemp(prefix="tripwx-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
