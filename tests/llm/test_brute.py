@@ -263,6 +263,15 @@ def test_reordered_passage_is_caught(spark):
     assert [(r.doc_id, r["items"], r.coverage) for r in decontam.leaked(docs, bench).collect()] == [(1, [9], 1.0)]
 
 
+def test_repeating_item_is_caught(spark):
+    """Few distinct seeds may cover all of an item."""
+    item = "row row row your boat " * 8
+    docs = spark.createDataFrame([(1, f"they sang {item} all day"), (2, "la " * 40), (3, "row row row your boat")],
+                                 "doc_id int, text string")
+    bench = spark.createDataFrame([(5, item), (6, "la " * 30)], "item_id int, text string")
+    assert {r.doc_id: r["items"] for r in decontam.leaked(docs, bench).collect()} == {1: [5], 2: [6]}
+
+
 def test_decontamination_pairs(spark, texts):
     def tok(t):
         return [x for x in re.split(rb"[^a-z0-9\x80-\xff]+", t.encode().lower()) if x]

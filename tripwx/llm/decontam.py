@@ -5,8 +5,8 @@
    document only the stretches covered by possible seeds go on (words of a
    tile are covered by seeds, so nothing else can be in one).
 2. Shared-seed join: document seeds meet item seeds by hash.  A pair lives
-   on if its shared seeds could cover the threshold share of the item:
-   ``s`` seeds cover ``SEED * s`` words at most.
+   on if its shared seeds could cover the threshold share of the item: seeds
+   that stand ``s`` times in the item cover ``SEED * s`` of its words at most.
 3. Greedy string tiling per pair: find the longest unmarked common run by
    Karp-Rabin window hashes, mark its non-overlapping occurrences, repeat
    down to ``SEED`` words.  Tiles may stand in any order in the document.
@@ -62,15 +62,16 @@ def _items(batches):
 
 def _item_seeds(batches):
     for batch in batches:
-        ids, seeds = [], []
+        ids, seeds, times = [], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
         for i, raw in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist()):
             words = np.frombuffer(raw, U64)
-            found = np.unique(seed_hashes(words, min(SEED, len(words)))) if len(words) else []
+            found, often = np.unique(seed_hashes(words, min(SEED, len(words))), return_counts=True)
             ids += [i] * len(found)
-            seeds.append(np.asarray(found, U64))
-        flat = np.concatenate(seeds) if seeds else np.zeros(0, U64)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("item_id").type), signed(flat)],
-                                         ["item_id", "seed"])
+            seeds.append(found)
+            times.append(often)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, batch.schema.field("item_id").type), signed(np.concatenate(seeds)), pa.array(np.concatenate(times))],
+            ["item_id", "seed", "times"])
 
 
 def _stretches(sizes, words_map):
@@ -190,7 +191,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
     items = cut(benchmark.filter(F.col("item_id").isNotNull()).select(F.col("text").cast("binary").alias("t"), F.col("item_id").alias("id"))
                 .mapInArrow(_items, f"item_id {item_type}, words binary").distinct()
                 .withColumn("n", F.expr("length(words) div 8")).filter("n > 0"), "items")
-    seeds = items.mapInArrow(_item_seeds, f"item_id {item_type}, seed bigint")
+    seeds = items.mapInArrow(_item_seeds, f"item_id {item_type}, seed bigint, times bigint")
     words = spark.sparkContext.broadcast(bitmap.build(seeds, "seed"))
     sizes = [r[0] for r in items.select(F.least("n", F.lit(SEED)).cast("int").alias("s")).distinct().orderBy("s").collect()] or [SEED]
     texts = docs.select(F.col("text").cast("binary").alias("t"), F.col("doc_id").alias("id"),
@@ -199,7 +200,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
                                 f"doc_id {doc_type}, row bigint, doc_words binary, seeds array<bigint>"), "stretches")
     need = F.ceil(F.col("n") * threshold)
     shared = (near.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
-              .groupBy("row", "item_id").agg(F.count("*").alias("shared"))
+              .groupBy("row", "item_id").agg(F.sum("times").alias("shared"))
               .join(items.select("item_id", "n", "words"), "item_id")
               .filter(F.col("shared") * SEED >= need))
     pairs = shared.select("row", "item_id", "n", "words").join(near.select("row", "doc_id", "doc_words"), "row")
