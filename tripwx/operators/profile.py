@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripwx.functions.columns import round_stable
-from tripwx.operators.schema import quote
+from tripwx.operators.schema import quote, schema_report
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -178,6 +178,15 @@ def distinct_bounded(df: DataFrame, column: str, limit: int = 10, categorical: b
     return df.sparkSession.createDataFrame([(v, more) for v in values[:limit]], schema)
 
 
+def distinct_report(df: DataFrame, columns: dict[str, bool], limit: int = 10) -> DataFrame:
+    """A21 over many columns (name -> categorical): (column_name, value as
+    text, has_more)."""
+    return functools.reduce(DataFrame.unionByName, [
+        distinct_bounded(df, c, limit, categorical).select(
+            F.lit(c).alias("column_name"), _q(c).cast("string").alias("value"), "has_more")
+        for c, categorical in columns.items()])
+
+
 def top_k(df: DataFrame, key: str, k: int = 10) -> DataFrame:
     """The k most frequent keys, ties by key ascending."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
@@ -543,6 +552,14 @@ def table_profile(df: DataFrame) -> DataFrame:
         out, "column_name string, position int, dtype string, rows bigint, columns int, nulls bigint, distinct_approx bigint")
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """A30 with what the rows show: the schema report and, per column, how
+    many rows hold no value (one aggregate over the table)."""
+    report = schema_report(df.sparkSession, df)
+    found = table_profile(df).select("column_name", "rows", "nulls")
+    return report.join(F.broadcast(found), "column_name")
+
+
 def sample_rows(df: DataFrame, n: int) -> DataFrame:
     """Any ``n`` rows, reading no more than it must; none if ``n`` is
     not positive."""

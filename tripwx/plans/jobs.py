@@ -1,8 +1,8 @@
 """Path-to-path jobs, one per published pipeline.
 
 Every path, year and threshold is a parameter.  Large outputs are written
-in parallel (optionally partitioned by date); ``coalesce(1)`` is used only
-for outputs whose size is bounded by construction (hourly weather, the
+in parallel (optionally partitioned by date); a single file is written
+only for outputs whose size is bounded by construction (hourly weather, the
 bucket aggregates, the zone lookup).  Jobs return small reports
 (DataFrames or row counts), never the data itself.
 """
@@ -92,9 +92,10 @@ def taxi_summary_job(spark: SparkSession, input_path: str, out_path: str) -> Dat
 
 
 # -------------------------------------------------------------------- bike
-def bike_ingest_job(spark: SparkSession, csv_glob: str, out_path: str, distance_unit: str = "km",
+def bike_ingest_job(spark: SparkSession, csv_glob: str, out_path: str, distance_unit: str = "mi",
                     duration_unit: str = "s", dropna_scope: str = "all", schema_ddl: str | None = None) -> int:
-    """Monthly CSVs -> canonical trips (haversine distance)."""
+    """Monthly CSVs -> canonical trips (haversine distance, in miles as
+    the taxi trips have theirs; ``distance_unit="km"`` is the published form)."""
     raw = csv_src.scan_csv(spark, csv_glob, infer=True, schema=schema_ddl)
     sinks.write_parquet(trips.bike_trips(raw, dropna_scope, distance_unit, duration_unit), out_path)
     return spark.read.parquet(out_path).count()

@@ -245,7 +245,7 @@ def q_pipeline_ingest(spark, sf):
                    header="LocationID,Borough,Zone,service_zone,longitude,latitude")
     jobs.taxi_ingest_job(spark, f"{base}/taxi_raw", f"{base}/zones.csv", f"{base}/taxi")
     sinks.write_csv(fixtures.bike_raw(spark, sf).repartition(2), f"{base}/bike_raw")
-    jobs.bike_ingest_job(spark, f"{base}/bike_raw/*.csv", f"{base}/bike")
+    jobs.bike_ingest_job(spark, f"{base}/bike_raw/*.csv", f"{base}/bike", distance_unit="km")
     taxi = spark.read.parquet(f"{base}/taxi")
     bike = spark.read.parquet(f"{base}/bike").withColumn("distance", F.round("distance", 6))
     return taxi.unionByName(bike)

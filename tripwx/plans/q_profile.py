@@ -222,6 +222,24 @@ def q_distinct_categorical(spark, sf):
     return P.distinct_bounded(trips.taxi_kept(fixtures.taxi_raw(spark, sf)), "PULocationID", categorical=True)
 
 
+# fixed values: the published columns, and which are categorical
+_TAXI_DISTINCT = {"tpep_pickup_datetime": False, "tpep_dropoff_datetime": False, "trip_distance": False,
+                  "PULocationID": True, "DOLocationID": True}
+
+
+def _distinct_sql(c, categorical, limit=10):
+    values = f"SELECT DISTINCT {c} AS v FROM v_taxi_raw WHERE {c} IS NOT NULL"
+    if categorical:
+        return f"SELECT '{c}' AS column_name, CAST(v AS VARCHAR) AS value, false AS has_more FROM ({values}) d"
+    return f"""SELECT '{c}' AS column_name, CAST(v AS VARCHAR) AS value, (SELECT count(*) FROM ({values}) n) > {limit} AS has_more
+        FROM ({values} ORDER BY 1 LIMIT {limit}) d"""
+
+
+@register("distinct_report", sql(" UNION ALL ".join(_distinct_sql(c, k) for c, k in _TAXI_DISTINCT.items()), "v_taxi_raw"))
+def q_distinct_report(spark, sf):
+    return P.distinct_report(trips.taxi_kept(fixtures.taxi_raw(spark, sf)), _TAXI_DISTINCT, 10)
+
+
 _PREVIEW = ["ride_id", "rideable_type", "start_station_name", "end_station_name", "start_lat", "start_lng",
             "end_lat", "end_lng"]
 
@@ -267,9 +285,15 @@ def q_preview(spark, sf):
     return P.preview(inputs.merged_left(spark, sf), 20)
 
 
-@register("schema_report", None)
+_MERGED_TYPES = {"date": "date", "time_hours": "int", "is_taxi": "int", "season": "string", "beaufort_scale": "string",
+                 "isHot": "int", "isWindy": "int"}
+
+
+@register("schema_report", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {i} AS position, '{_MERGED_TYPES.get(c, 'double')}' AS data_type, {c != 'is_taxi'} AS nullable, "
+    f"count(*) AS rows, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls FROM merged_left" for i, c in enumerate(MERGED_COLS)), "merged_left"))
 def q_schema_report(spark, sf):
-    return schema.schema_report(spark, inputs.merged_left(spark, sf))
+    return P.schema_profile(inputs.merged_left(spark, sf))
 
 
 _BIKE_RAW_COLS = ["tripduration", "starttime", "stoptime", "start station name", "start station latitude",
