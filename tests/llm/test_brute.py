@@ -137,6 +137,39 @@ def test_suffix_tree_baseline(spark, texts):
     assert np.mean(better) > 0.8
 
 
+@pytest.mark.parametrize("min_share", [1e-9, 2e-4, 3e-3])
+def test_one_word_contexts(spark, texts, min_share):
+    """All transitions seen twice count, whether broadcast or in the table."""
+    from tripwx.llm import suffix_tree as s
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.score for r in s.score(docs, depth=1, min_share=min_share).collect()}
+    lines = {d: [None, *words(t), None] for d, t in texts.items()}
+    train = [x for d, x in lines.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    count = collections.Counter(w for x in train for w in x[1:])
+    pair = collections.Counter(p for x in train for p in zip(x, x[1:]))
+    total = sum(count.values())
+    once, twice = (sum(c == k for c in count.values()) for k in (1, 2))
+    d = min(0.9, max(0.1, once / (once + 2 * twice)))
+    states = collections.defaultdict(dict)
+    for (b, w), c in pair.items():
+        if c >= 2 and count[b] > total * min_share:
+            states[b][w] = c
+
+    def root(w):
+        return (count[w] - d) / total if w in count else d * len(count) / total
+    rest = {}
+    for b, seen in states.items():
+        left = 1 - sum(c - d for c in seen.values()) / count[b]
+        gain = sum(c * np.log(((c - d) / count[b] + left * root(w)) / root(w)) for w, c in seen.items())
+        if gain + (count[b] - sum(seen.values())) * np.log(left) >= s.MIN_GAIN:
+            rest[b] = left
+    assert rest
+    for i, x in lines.items():
+        want = sum(np.log10(max(states[b].get(w, d) - d, 0) / count[b] + rest[b] * root(w)) if b in rest else np.log10(root(w))
+                   for b, w in zip(x, x[1:]))
+        assert abs(want - got[i]) < 1e-6 * max(1, abs(want))
+
+
 def test_states_sum_to_one():
     """Root and interpolated states are distributions."""
     from tripwx.llm import suffix_tree as s
@@ -146,7 +179,7 @@ def test_states_sum_to_one():
     tree = s.Tree(np.arange(30), (counts - d) / total)
     keys = np.unique((rng.integers(0, 30, 60) << s.ID_BITS) | rng.integers(0, 30, 60))
     seen = rng.integers(2, 5, len(keys)).astype(float)
-    tree.levels.append(s._level(tree, 1, keys, seen, np.full(30, 60.0), d, -1e9))
+    tree.levels.append(s._level(tree, 1, keys, seen, np.full(30, 60.0), d, -1e9)[0])
     unknown = d * 30 / total
     for context in np.flatnonzero(~np.isnan(tree.levels[0].rest)):
         p = s._chain(tree, 1, np.full(30, context), np.arange(30))
