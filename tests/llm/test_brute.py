@@ -139,7 +139,7 @@ def test_suffix_tree_baseline(spark, texts):
 
 @pytest.mark.parametrize("min_share", [1e-9, 2e-4, 3e-3])
 def test_one_word_contexts(spark, texts, min_share):
-    """All transitions seen twice count, whether broadcast or in the table."""
+    """All transitions between frequent words seen twice count, whether broadcast or in the table."""
     from tripwx.llm import suffix_tree as s
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = {r.doc_id: r.score for r in s.score(docs, depth=1, min_share=min_share).collect()}
@@ -152,7 +152,7 @@ def test_one_word_contexts(spark, texts, min_share):
     d = min(0.9, max(0.1, once / (once + 2 * twice)))
     states = collections.defaultdict(dict)
     for (b, w), c in pair.items():
-        if c >= 2 and count[b] > total * min_share:
+        if c >= 2 and min(count[b], count[w]) > total * min_share:
             states[b][w] = c
 
     def root(w):
