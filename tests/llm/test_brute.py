@@ -170,6 +170,52 @@ def test_one_word_contexts(spark, texts, min_share):
         assert abs(want - got[i]) < 1e-6 * max(1, abs(want))
 
 
+@pytest.mark.parametrize("min_share", [1e-9, 2e-4])
+def test_two_word_contexts(spark, texts, min_share):
+    """Every two-word context, of rare words too, and each of its transitions seen twice count, whatever their share."""
+    from tripwx.llm import suffix_tree as s
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.score for r in s.score(docs, min_share=min_share).collect()}
+    lines = {d: [None, *words(t), None] for d, t in texts.items()}
+    train = [x for d, x in lines.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    count = collections.Counter(w for x in train for w in x[1:])
+    pair = collections.Counter(p for x in train for p in zip(x, x[1:]))
+    triple = collections.Counter(p for x in train for p in zip(x, x[1:], x[2:]))
+    total = sum(count.values())
+    once, twice = (sum(c == k for c in count.values()) for k in (1, 2))
+    d = min(0.9, max(0.1, once / (once + 2 * twice)))
+
+    def root(w):
+        return (count[w] - d) / total if w in count else d * len(count) / total
+
+    def states(found, sizes, below, live):
+        """State -> its transitions; state -> what it leaves; the states that pass the test."""
+        after = collections.defaultdict(dict)
+        for key, c in found.items():
+            if c >= 2 and live(key):
+                after[key[:-1]][key[-1]] = c
+        left = {b: 1 - sum(c - d for c in seen.values()) / sizes(b) for b, seen in after.items()}
+        gain = {b: sum(c * np.log(((c - d) / sizes(b) + left[b] * below(b, w)) / below(b, w)) for w, c in seen.items())
+                + (sizes(b) - sum(seen.values())) * np.log(max(left[b], 1e-12)) for b, seen in after.items()}
+        return after, left, {b for b in after if gain[b] >= s.MIN_GAIN}
+
+    def frequent(w):
+        return count[w] > total * min_share
+    one, left1, kept1 = states(pair, lambda b: count[b[0]], lambda b, w: root(w), lambda k: frequent(k[0]) and frequent(k[1]))
+
+    def p1(b, w):
+        return max(one[b].get(w, d) - d, 0) / count[b[0]] + left1.get(b, 1) * root(w) if b in kept1 else root(w)
+    two, left2, kept2 = states(triple, lambda b: pair[b], lambda b, w: p1(b[1:], w), lambda k: True)
+    assert kept2 and (min_share < 1e-4 or any(not frequent(w) for b in kept2 for w in b))
+    kept1 |= {b[1:] for b in kept2 if frequent(b[1])}
+
+    def p2(b, w):
+        return max(two[b].get(w, d) - d, 0) / pair[b] + left2[b] * p1(b[1:], w) if b in kept2 else p1(b[1:], w)
+    for i, x in lines.items():
+        want = np.log10(p1((x[0],), x[1])) + sum(np.log10(p2(k[:2], k[2])) for k in zip(x, x[1:], x[2:]))
+        assert abs(want - got[i]) < 1e-6 * max(1, abs(want))
+
+
 def test_states_sum_to_one():
     """Root and interpolated states are distributions."""
     from tripwx.llm import suffix_tree as s
