@@ -409,6 +409,28 @@ def test_licence_rules(spark):
     assert got == {1: ["MIT"], 2: ["BSD-2-Clause"], 3: ["MIT"], 4: ["Apache-2.0", "CC-BY-NC-4.0"], 5: []}
 
 
+def test_licence_lines_beside_wrapped_ones(spark):
+    """A sentence counts whether it ends with its line or runs over lines, wherever the other kind stands."""
+    grant = ("Permission is hereby granted, free of\ncharge, to any person obtaining a copy of this\n"
+             "software and associated documentation files (the \"Software\"), to deal\nin the Software.")
+    named, prose = "Licensed under CC BY-NC 4.0", "some prose follows here"
+    asis = ("Neither the name of the company nor\nthe names of others may be used to endorse or\npromote products derived from\n"
+            "this software without leave.")
+    made = [(1, f"{named}\n{prose}\n\n{grant}"), (2, f"{grant}\n\n{named}\n{prose}"), (3, f"{named}\n{grant}"),
+            (4, f"{prose}\n{named}\n{prose}\n{grant}\n{prose}\n{named}\n"), (5, f"# {named}\n# {grant}".replace("\n", "\r\n")),
+            (6, "Released under the GNU General\nPublic License, version\n3.\n12\nReleased under the MIT\nLicense\n"),
+            (7, f"Copyright (c) 2020 A\n{prose}\nAll rights reserved"), (8, f"{asis} {named}"), (9, f"{named}, they {prose}"),
+            (10, "Copyright (c) 2020 A and\nmany others. All rights\nreserved.")]
+    df = spark.createDataFrame(made, "doc_id int, text string")
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    assert {i: r.licences for i, r in got.items()} == {
+        1: ["CC-BY-NC-4.0", "MIT"], 2: ["MIT", "CC-BY-NC-4.0"], 3: ["CC-BY-NC-4.0", "MIT"],
+        4: ["CC-BY-NC-4.0", "MIT", "CC-BY-NC-4.0"], 5: ["CC-BY-NC-4.0", "MIT"], 6: ["GPL", "MIT"], 7: [],
+        8: ["CC-BY-NC-4.0"], 9: [], 10: ["Proprietary"]}
+    assert got[1].sentence_ids == ["ccbync_name", "-", "mit_grant"] and got[7].sentence_ids == ["copyright", "-", "reserved"]
+    assert got[8].sentence_ids == ["bsd_endorse", "ccbync_name"]
+
+
 def test_licence_lines_of_the_table(spark, texts):
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
              "This work is licensed under the GNU General Public License, version 3.": "GPL",
