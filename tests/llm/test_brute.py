@@ -431,6 +431,22 @@ def test_licence_lines_beside_wrapped_ones(spark):
     assert got[8].sentence_ids == ["bsd_endorse", "ccbync_name"]
 
 
+def test_licence_names(spark):
+    made = {"Licensed under the GNU Affero General Public License v3.": "AGPL",
+            "Released under the GNU General Public License v3.0.": "GPL", "Licensed under GPLv2 or later.": "GPL",
+            "This work is licensed under the GNU General Public License, version 3.": "GPL",
+            "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC BY-ND 4.0": "CC-BY-ND-4.0",
+            "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+            "Licensed under the ISC License.": "ISC", "Licensed under the MIT License (see LICENSE).": "MIT",
+            "Distributed under the Eclipse Public License v2.0.": "EPL-2.0", "Licensed under the Apache License v2.0": "Apache-2.0",
+            "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "# SPDX-License-Identifier: GPL-3.0-or-later\n# Text": "GPL",
+            "Released under CC0 1.0 Universal.": "CC0-1.0", "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+            "Licensed under the terms of a contract.": "", "SPDX-License-Identifier: none of these": ""}
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id int, text string")
+    got = {r.doc_id: ",".join(r.licences) for r in license_scan.scan(df).collect()}
+    assert {x: got[i] for i, x in enumerate(made)} == made
+
+
 def test_licence_lines_of_the_table(spark, texts):
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
              "This work is licensed under the GNU General Public License, version 3.": "GPL",
