@@ -287,6 +287,30 @@ def test_neighbours(spark):
         assert got[int(ids[i])] == [(k + 1, int(ids[j]), s[j]) for k, j in enumerate(best)]
 
 
+def test_repeated_ids_fill_no_cell(spark, monkeypatch):
+    """Rows of one id are spread over the fragments and blocks; the neighbours stay exact."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(1200, 8))
+    made = [(7 if i % 2 else 50 if i % 4 else i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(made, "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(ann, "FRAGMENT", 64)
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").alias("id"), F.col("embedding").alias("v"),
+                     F.col("vec_id").isin(7, 50).alias("q"), F.lit(8).alias("dim"))
+    most = {r.side: r.n for r in ann.cells(rows).groupBy("dim", "f", "b", "side").agg(F.count("*").alias("n")).groupBy("side").agg(F.max("n").alias("n")).collect()}
+    assert most[0] < 3 * 64 and most[1] < 3 * 32
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids = np.array([i for i, _ in made])
+    got = {}
+    for r in ann.search(df, F.col("vec_id").isin(7, 50), k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (7, 50):
+        pairs = sorted((-float(unit[a] @ unit[b]), ids[b]) for a in np.flatnonzero(ids == q) for b in np.flatnonzero(ids != q))[:5]
+        assert [i for _, i, _ in sorted(got[q])] == [i for _, i in pairs]
+        assert np.allclose([x for *_, x in sorted(got[q])], [-x for x, _ in pairs])
+
+
 def test_quantisation_bound():
     rng = np.random.default_rng(0)
     a, b = rng.normal(size=(40, 1500)), rng.normal(size=(50, 1500)) * 1e6

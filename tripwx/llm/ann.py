@@ -122,16 +122,14 @@ def _cells(k):
     return run
 
 
-def search(vectors: DataFrame, queries: Column, k: int = 5, vector: str = "embedding", id_: str = "vec_id") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows of each row for
-    which ``queries`` holds."""
-    rows = vectors.select(F.col(id_).cast("long").alias("id"), F.col(vector).alias("v"), queries.alias("q")).filter(
-        usable("v") & F.col("id").isNotNull()).withColumn("dim", F.size("v"))
-    rows = cut(rows.withColumn("v", F.col("v").cast("array<double>")), "vectors")
+def cells(rows: DataFrame) -> DataFrame:
+    """Candidates (side 0) and queries (side 1) by cell.  ``rows``: row, id,
+    v, q, dim; rows are dealt by their own number, so that neither ids nor
+    vectors that repeat can fill a cell."""
     grid = rows.groupBy("dim").agg(
         F.ceil(F.count("*") / FRAGMENT).cast("long").alias("nf"),
         F.ceil(F.count_if("q") / BLOCK).cast("long").alias("nb")).filter("nb > 0")
-    spot = F.xxhash64("id")
+    spot = F.xxhash64("row")
     rows = rows.join(grid, "dim")
 
     def upto(n):
@@ -139,8 +137,17 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, vector: str = "embed
     given = rows.select("dim", F.pmod(spot, F.col("nf")).alias("f"), upto("nb").alias("b"), F.lit(0).alias("side"), "id", "v")
     asked = rows.filter("q").select("dim", upto("nf").alias("f"), F.pmod(spot, F.col("nb")).alias("b"),
                                     F.lit(1).alias("side"), "id", "v")
-    cells = given.unionByName(asked).repartition("dim", "f", "b").sortWithinPartitions("dim", "f", "b")
-    best = cells.mapInArrow(_cells(k), "query_id bigint, vec_id bigint, score double")
+    return given.unionByName(asked)
+
+
+def search(vectors: DataFrame, queries: Column, k: int = 5, vector: str = "embedding", id_: str = "vec_id") -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows of each row for
+    which ``queries`` holds."""
+    rows = vectors.select(F.col(id_).cast("long").alias("id"), F.col(vector).alias("v"), queries.alias("q")).filter(
+        usable("v") & F.col("id").isNotNull()).withColumn("dim", F.size("v"))
+    rows = cut(rows.withColumns({"v": F.col("v").cast("array<double>"), "row": F.monotonically_increasing_id()}), "vectors")
+    dealt = cells(rows).repartition("dim", "f", "b").sortWithinPartitions("dim", "f", "b")
+    best = dealt.mapInArrow(_cells(k), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
