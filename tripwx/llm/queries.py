@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwx.llm import ann, chat_format, decontam, jaccard_join, language_id, license_scan, mixing, pii, quality, suffix_tree
+from tripwx.llm import (ann, chat_format, decontam, jaccard_join, language_id, license_scan, line_runs, mixing, period_runs, pii,
+                        quality, source_audit, suffix_tree)
 from tripwx.llm.oracle import ORACLE
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,35 @@ def op10_language_id(spark, sf_dir):
     return language_id.identify(docs)
 
 
+def plant_periods(docs: DataFrame) -> DataFrame:
+    """The periods that the contract plants in every tenth text: from word a
+    on, its first p words repeat; a and p follow from a hash of the id."""
+    g = F.floor(F.crc32(F.col("doc_id").cast("string")) / 10).cast("long")
+    hashed = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string"))).withColumn("g", g)
+    planted = hashed.withColumn("w", F.when(F.col("h") % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")))
+    planted = planted.withColumn("a", F.expr("if(size(w) > 0, g % size(w), 0)"))
+    planted = planted.withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)"))
+    again = F.expr("transform(w, (x, i) -> if(i < a, x, w[int(a + (i - a) % p)]))")
+    return planted.select("doc_id", F.when(F.size("w") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_period_runs(spark, sf_dir):
+    docs = plant_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return period_runs.digest(period_runs.find_runs(docs))
+
+
+@query
+def op12_source_audit(spark, sf_dir):
+    return source_audit.report(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    found = line_runs.dedup_lines(table(spark, sf_dir, "documents"), min_docs=3, min_chars=20)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
