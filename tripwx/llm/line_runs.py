@@ -35,6 +35,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -192,10 +193,12 @@ def _cut_lines(hot, min_chars):
     def run(batches):
         for piece, data, off in pieces(batches):
             kept, lines, dropped = [], [], []
-            ids, gone = piece.column(1).to_pylist(), piece.column(2).to_pylist()
-            for t, (doc, drop) in enumerate(zip(ids, gone)):
+            ids, gone = piece.column(1).to_pylist(), piece.column(2)
+            stop = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(gone), 0).to_numpy())])
+            pairs = np.stack([gone.flatten().field(k).to_numpy() for k in range(2)], 1)
+            for t, doc in enumerate(ids):
                 text = data[off[t]:off[t + 1]].tobytes()
-                drop = set(drop or ())
+                drop = {pair.tobytes() for pair in pairs[stop[t]:stop[t + 1]]}
                 stay = [line for line, key in zip(text.split(b"\n"), line_keys(text, min_chars))
                         if key is None or not (key in drop or hot.value.get(key, doc) != doc)]
                 kept.append(b"\n".join(stay))
@@ -241,9 +244,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, batches
     texts = docs.select(F.col("text").cast("binary").alias("t"), "doc_id", F.xxhash64("text").alias("th"))
     found = texts.mapInArrow(_suspects(words, hot, min_chars), f"doc_id {kind}, th bigint, h bigint, g bigint")
     found = found.join(cold.select(*KEY, "last"), KEY).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
-    name = F.concat(*[F.reverse(F.unhex(F.lpad(F.hex(c), 16, "0"))) for c in KEY])
     # a text's list is no longer than the text
-    lists = found.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(name).alias("gone"))
+    lists = found.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct(*KEY)).alias("gone"))
     joined = texts.join(lists, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
     out = joined.select("t", "doc_id", "gone").mapInArrow(
         _cut_lines(hot, min_chars), f"doc_id {kind}, kept binary, n_lines bigint, n_dropped bigint")

@@ -51,7 +51,7 @@ def _counted(batches):
     def rows():
         for (lang, source), terms in found.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array(list(terms), pa.binary()),
+                [*(pa.array([name] * len(terms), pa.string()) for name in (lang, source)), pa.array(list(terms), pa.binary()),
                  pa.array(list(terms.values()), pa.int64()),
                  pa.array([held[lang, source][t] for t in terms], pa.int64())], ["lang", "source", "term", "n", "docs"])
 
