@@ -72,15 +72,16 @@ def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return dots / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
-def cell_best(qid, queries, cid, candidates, k: int):
-    """(query id, candidate id, score) of the k best candidates per query."""
+def cell_best(qrow, queries, crow, cid, candidates, k: int):
+    """(query row, candidate id, score) of the k best candidates per query
+    row; a row is no candidate of its own."""
     cq, cs, cn, ce = quantise(candidates)
     qq, qs, qn, qe = quantise(queries)
     for a in range(0, len(queries), TILE):
         part = slice(a, a + TILE)
         near = tile_products(qq[part], cq) * qs[part, None] * cs[None, :]
         slack = qn[part, None] * ce[None, :] + qe[part, None] + 1e-9
-        own = qid[part, None] == cid[None, :]
+        own = qrow[part, None] == crow[None, :]
         low = np.where(own, -np.inf, near - slack)
         best = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(low), -np.inf)
         open_ = (near + slack >= best[:, None]) & ~own
@@ -90,33 +91,34 @@ def cell_best(qid, queries, cid, candidates, k: int):
                 score = cosine(queries[a + r], candidates[some])
                 top = heapq.nsmallest(k, zip((-score).tolist(), cid[some].tolist()))
                 for s, c in top:
-                    yield qid[a + r], c, -s
+                    yield a + r, c, -s
 
 
 def _cells(k):
     def solve(rows):
         sides = [[r for r in rows if r[0] == s] for s in (0, 1)]
         if sides[0] and sides[1]:
-            (cid, cand), (qid, quer) = [
-                (np.array([r[1] for r in s], np.int64), np.array([r[2] for r in s], np.float64)) for s in sides]
-            yield from cell_best(qid, quer, cid, cand, k)
+            (crow, cid, cand), (qrow, qid, quer) = [
+                (*(np.array([r[i] for r in s], np.int64) for i in (1, 2)), np.array([r[3] for r in s], np.float64)) for s in sides]
+            for q, c, score in cell_best(qrow, quer, crow, cid, cand, k):
+                yield qrow[q], qid[q], c, score
 
     def pack(out):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
-             pa.array([r[2] for r in out], pa.float64())], ["query_id", "vec_id", "score"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
+                                          ["query_row", "query_id", "vec_id", "score"])
 
     def run(batches):
         last, rows = None, []
         for batch in batches:
-            cols = [batch.column(c) for c in ("dim", "f", "b", "side", "id", "v")]
-            flat = cols[5].flatten().to_numpy(zero_copy_only=False)
+            cols = [batch.column(c) for c in ("dim", "f", "b", "side", "row", "id", "v")]
+            flat = cols[6].flatten().to_numpy(zero_copy_only=False)
             stop = 0
-            for *at, side, i in zip(*[c.to_pylist() for c in cols[:5]]):
+            for *at, side, row, i in zip(*[c.to_pylist() for c in cols[:6]]):
                 if at != last:
                     yield pack(list(solve(rows)))
                     last, rows = at, []
-                rows.append((side, i, flat[stop:stop + at[0]]))
+                rows.append((side, row, i, flat[stop:stop + at[0]]))
                 stop += at[0]
         yield pack(list(solve(rows)))
     return run
@@ -134,9 +136,9 @@ def cells(rows: DataFrame) -> DataFrame:
 
     def upto(n):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    given = rows.select("dim", F.pmod(spot, F.col("nf")).alias("f"), upto("nb").alias("b"), F.lit(0).alias("side"), "id", "v")
+    given = rows.select("dim", F.pmod(spot, F.col("nf")).alias("f"), upto("nb").alias("b"), F.lit(0).alias("side"), "row", "id", "v")
     asked = rows.filter("q").select("dim", upto("nf").alias("f"), F.pmod(spot, F.col("nb")).alias("b"),
-                                    F.lit(1).alias("side"), "id", "v")
+                                    F.lit(1).alias("side"), "row", "id", "v")
     return given.unionByName(asked)
 
 
@@ -147,7 +149,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, vector: str = "embed
         usable("v") & F.col("id").isNotNull()).withColumn("dim", F.size("v"))
     rows = cut(rows.withColumns({"v": F.col("v").cast("array<double>"), "row": F.monotonically_increasing_id()}), "vectors")
     dealt = cells(rows).repartition("dim", "f", "b").sortWithinPartitions("dim", "f", "b")
-    best = dealt.mapInArrow(_cells(k), "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = dealt.mapInArrow(_cells(k), "query_row bigint, query_id bigint, vec_id bigint, score double")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
