@@ -163,7 +163,7 @@ def predict(model, x: np.ndarray) -> np.ndarray:
 def _measure(batches):
     for rows, data, off in pieces(batches):
         x = statistics(data, off)
-        yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(list(x), pa.list_(pa.float32()))], ["quality", "x"])
+        yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), pa.array(list(x), pa.list_(pa.float32()))], ["quality", "h", "x"])
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -176,8 +176,9 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, train
     chosen = known.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(
         F.xxhash64("doc_id"), "doc_id", "quality").limit(train_rows)          # at most train_rows narrow rows
     body = F.coalesce("text", F.lit("")).cast("binary").alias("t")
-    sample = docs.select("doc_id", body).join(F.broadcast(chosen), "doc_id").select("t", "quality")
-    got = sample.mapInArrow(_measure, "quality int, x array<float>").toArrow()
+    sample = docs.select("doc_id", body).join(F.broadcast(chosen), "doc_id").select("t", "quality", F.xxhash64("doc_id", "t").alias("h"))
+    rows = sample.mapInArrow(_measure, "quality int, h bigint, x array<float>")
+    got = rows.orderBy("h", "quality").limit(train_rows).toArrow()          # rows that share a labelled id count too
     x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, -1 if got.num_rows else 1)
     y = got["quality"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y)) if len(y) else np.zeros(0, np.int64)   # the same model whatever order rows come in
