@@ -7,6 +7,10 @@
 2. Shared-seed join: document seeds meet item seeds by hash.  A pair lives
    on if its shared seeds could cover the threshold share of the item: seeds
    that stand ``s`` times in the item cover ``SEED * s`` of its words at most.
+   An item's commonest seeds, those that most items hold, are left out of the
+   join as far as they could not reach that bound by themselves: they are
+   only looked up for the pairs that a rarer seed has made.  So a phrase that
+   all items share makes no pair of every document that has it and every item.
 3. Greedy string tiling per pair: find the longest unmarked common run by
    Karp-Rabin window hashes, mark its non-overlapping occurrences, repeat
    down to ``SEED`` words.  Tiles may stand in any order in the document.
@@ -26,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwx.llm import bitmap
@@ -183,6 +187,23 @@ def _tile(batches):
             ["doc_id", "row", "item_id", "n", "covered", "longest"])
 
 
+def shared_seeds(found: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame:
+    """(row, item_id) whose shared seeds could cover ``need`` words of the
+    item.  ``found``: row, seed; ``seeds``: item_id, seed, times; ``items``: item_id, need."""
+    common = seeds.groupBy("seed").agg(F.count("*").alias("holders"))
+    # an item's own seeds, the commonest first: as long as they fall short of the bound they make no pair
+    upto = Window.partitionBy("item_id").orderBy(F.desc("holders"), "seed").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = seeds.join(common, "seed").join(items, "item_id").withColumn("upto", F.sum("times").over(upto))
+    ranked = cut(ranked.select("item_id", "seed", "times", "need", (F.col("upto") * SEED >= F.col("need")).alias("rare")), "item-seeds")
+    met = cut(found.join(ranked.filter("rare"), "seed").groupBy("row", "item_id").agg(
+        F.sum("times").alias("shared"), F.min("need").alias("need")), "met")
+    sure = F.col("shared") * SEED >= F.col("need")
+    asked = met.filter(~sure).join(ranked.filter("NOT rare").select("item_id", "seed", "times"), "item_id")
+    more = asked.join(found, ["row", "seed"]).groupBy("row", "item_id").agg(
+        (F.min("shared") + F.sum("times")).alias("shared"), F.min("need").alias("need"))
+    return met.filter(sure).unionByName(more.filter(sure)).select("row", "item_id")
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, row, item_id, n (item words), covered, longest (tile) of the
     pairs whose tiles cover at least ``threshold`` of the item."""
@@ -199,11 +220,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
     near = cut(texts.mapInArrow(_stretches(sizes, words),
                                 f"doc_id {doc_type}, row bigint, doc_words binary, seeds array<bigint>"), "stretches")
     need = F.ceil(F.col("n") * threshold)
-    shared = (near.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
-              .groupBy("row", "item_id").agg(F.sum("times").alias("shared"))
-              .join(items.select("item_id", "n", "words"), "item_id")
-              .filter(F.col("shared") * SEED >= need))
-    pairs = shared.select("row", "item_id", "n", "words").join(near.select("row", "doc_id", "doc_words"), "row")
+    shared = shared_seeds(near.select("row", F.explode("seeds").alias("seed")), seeds, items.select("item_id", need.alias("need")))
+    pairs = shared.join(items.select("item_id", "n", "words"), "item_id").join(near.select("row", "doc_id", "doc_words"), "row")
     found = pairs.mapInArrow(_tile, f"doc_id {doc_type}, row bigint, item_id {item_type}, n bigint, covered bigint, longest bigint")
     return found.filter(F.col("covered") >= need)
 
