@@ -54,11 +54,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group stays: of documents linked by a Jaccard
     similarity of 0.8 on five-word shingles, the one with the least id."""
     found = jaccard_join.join_components(_keyed(docs, "text"), size=5, num=80, den=100)
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_k")).distinct()
-    kept = _join(docs, stay, "left_semi")
-    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
-    rank = _free(docs, "_once")
-    return kept.withColumn(rank, F.row_number().over(once)).filter(F.col(rank) <= 1).select(*docs.columns)
+    rows = _free(docs, "_rows")
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_k")).agg(F.count("*").alias(rows))
+    kept = _join(docs, stay, "inner").select(*docs.columns, rows)
+    # of rows with one id and text the least stays; summed up inside each task first
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = kept.filter(F.col(rows) > 1).groupBy("doc_id", F.xxhash64("text")).agg(F.min(row).alias(rows)).select(f"{rows}.*")
+    return kept.filter(F.col(rows) == 1).drop(rows).unionByName(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,12 +81,36 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with their share of it: size,
-    source_size, target, epochs (whole passes) and taken (tokens)."""
-    mixed = mixing.mix(_keyed(docs, "text", "source")).filter("taken > 0")
-    named = {c: _free(docs, f"_{c}") for c in MIX}
-    shares = mixed.select(F.col("doc_id").alias("_k"), *[F.col(c).alias(n) for c, n in named.items()]).dropDuplicates(["_k"])
-    out = _join(docs, shares, "inner")
-    return out.select(*docs.columns, *[F.col(n).alias(c) for c, n in named.items() if c not in docs.columns])
+    source_size, target, epochs (whole passes) and taken (tokens).
+
+    Rows equal in id, text and source stand side by side in the mix, so all
+    of them have the same share, unless the source's budget ends among them: then
+    the first of them, in any order, are taken, and one in part."""
+    mixed = mixing.mix(_keyed(docs, "text", "source"))
+    named = {c: _free(docs, f"_{c}") for c in (*MIX, "more", "copies", "source")}
+    more = F.sum(F.col("taken") - F.col("epochs") * F.col("size"))
+    shares = mixed.groupBy(F.col("doc_id").alias("_k"), F.col("source").alias(named["source"])).agg(
+        *[F.min(c).alias(named[c]) for c in MIX if c != "taken"], more.alias(named["more"]), F.count("*").alias(named["copies"]))
+    shares = cut(shares, "shares")
+    size, extra, copies = (F.col(named[c]) for c in ("size", "more", "copies"))
+    whole = F.col(named["epochs"]) * size
+    alike = (extra == 0) | (extra == copies * size)
+    same = F.col("source").eqNullSafe(F.col(named["source"]))
+    even = _join(docs, shares.filter(alike & ((extra > 0) | (whole > 0))), "inner").filter(same)
+    even = even.withColumn(named["taken"], whole + F.when(extra > 0, size).otherwise(0))
+    # at most one key per source: its rows are numbered
+    row, number = _free(docs, "_row"), _free(docs, "_number")
+    split = _join(docs, shares.filter(~alike), "inner").filter(same)
+    split = cut(split.withColumn(row, F.monotonically_increasing_id()), "split")
+    one = split.select(F.col(named["source"]).alias("source"), F.col(row).alias("_row"), F.lit(1).cast("long").alias("_one"))
+    upto = mixing.prefix_sums(one, "source", ["_row"], "_one", "numbers")
+    split = split.join(upto.select(F.col("_row").alias(row), F.col(mixing.TOTAL).alias(number)), row)
+    left = F.greatest(F.lit(0).cast("long"), F.least(size, extra - (F.col(number) - 1) * size))
+    split = split.withColumn(named["taken"], whole + left).filter(F.col(named["taken"]) > 0)
+
+    def shown(df):
+        return df.select(*docs.columns, *[F.col(named[c]).alias(c) for c in MIX if c not in docs.columns])
+    return shown(even).unionByName(shown(split))
 
 
 MIX = ("size", "source_size", "target", "epochs", "taken")

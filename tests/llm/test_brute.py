@@ -263,15 +263,109 @@ def test_language_accuracy(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in out]) > 0.95
 
 
-def test_kneser_ney_is_a_distribution():
-    text = np.frombuffer(b"the cat sat on the mat and the dog sat on the cat" * 3, np.uint8)
-    gram, _ = language_id.grams(text, np.array([0, len(text)]), 3)
-    key, count_ = language_id._totals(gram, np.ones(len(gram)))
-    levels = language_id.kneser_ney(key, count_, 3)
-    for context in (b"th", b"at", b"zz"):
-        packed = (context[0] << 16) | (context[1] << 8)
-        p = 2 ** language_id.log2(levels, packed | np.arange(256))
-        assert abs(p.sum() - 1) < 1e-9
+def plain_kneser_ney(texts, order):
+    """Dictionaries over strings: P(char | context), by the textbook."""
+    levels = []
+    counts = collections.Counter()
+    for t in texts:
+        padded = "\0" * (order - 2) + " " + t + " "
+        for i in range(order - 1, len(padded)):
+            counts[padded[i - order + 1:i], padded[i]] += 1
+    for n in range(order, 0, -1):
+        ones, twos = (sum(c == k for c in counts.values()) for k in (1, 2))
+        discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
+        total, kinds = collections.Counter(), collections.Counter()
+        for (context, _), c in counts.items():
+            total[context] += c
+            kinds[context] += 1
+        levels.append((counts, discount, total, kinds))
+        counts = collections.Counter((context[1:], char) for context, char in counts) if n > 1 else None
+
+    def p(context, char):
+        out = 1 / language_id.ALPHABET
+        for n, (own, discount, total, kinds) in enumerate(reversed(levels)):
+            short = context[len(context) - n:]
+            if total[short]:
+                seen = own[short, char]
+                out = (seen - discount if seen else 0) / total[short] + discount * kinds[short] / total[short] * out
+        return out
+    return p
+
+
+def test_kneser_ney_against_dictionaries():
+    """Scripts of one to four bytes a character, capitals and punctuation."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcde ", k=200)), "Été à la plage, ÉTÉ!", "Привет, МИР привет", "日本語の文、日本の語", "𝒳𝒴 𐐀𐐁", "", "?!", "a"]
+    parts = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    stream, begin = language_id.normal(data, off)
+    forms = ["".join(map(chr, stream[a:b])) for a, b in zip(begin[:-1], begin[1:])]
+    assert forms[1:4] == [" été à la plage été  ", " привет мир привет ", " 日本語の文 日本の語 "] and forms[5:] == ["  ", "  ", " a "]
+    context, char, at = language_id.grams(stream, begin, 4)
+    kinds, count_ = np.unique(np.stack([context, char], 1), axis=0, return_counts=True)
+    levels = language_id.kneser_ney(kinds[:, 0], kinds[:, 1], count_, 4)
+    p = plain_kneser_ney([f[1:-1] for f in forms], 4)
+    for _ in range(300):
+        before = "".join(rng.choices("abдэ語 \0𐐨e", k=3))
+        packed = sum(ord(c) << (21 * (2 - i)) for i, c in enumerate(before))
+        after = rng.choice("abcdeэтр語の 𐐨z")
+        got = language_id.log2(levels, np.array([packed]), np.array([ord(after)]))[0]
+        assert abs(got - np.log2(p(before, after))) < 1e-9
+    for before in ("abc", "日本語"):
+        packed = sum(ord(c) << (21 * (2 - i)) for i, c in enumerate(before))
+        seen = np.arange(language_id.ALPHABET)
+        assert abs(np.exp2(language_id.log2(levels, np.full(len(seen), packed), seen)).sum() - 1) < 1e-3
+
+
+def test_entropies_are_sums_over_the_text():
+    texts = ["abra cadabra", "", "x", "abra abra abra"]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    context, char, at = language_id.grams(*language_id.normal(data, off), 4)
+    kinds, count_ = np.unique(np.stack([context, char], 1), axis=0, return_counts=True)
+    levels = language_id.kneser_ney(kinds[:, 0], kinds[:, 1], count_, 4)
+    h = language_id.entropies([levels], data, off, 4)[:, 0]
+    for i, (a, b) in enumerate(zip(at[:-1], at[1:])):
+        one_by_one = [language_id.log2(levels, context[k:k + 1], char[k:k + 1])[0] for k in range(a, b)]
+        assert abs(h[i] + np.mean(one_by_one)) < 1e-9
+
+
+def many_languages(spark, languages, rows):
+    """Languages of their own letters each; the last has a single row."""
+    rng = random.Random(1)
+    made, doc = [], 0
+    for k in range(languages):
+        letters = [chr(0x4E00 + 7 * k + i) for i in range(7)]
+        for _ in range(rows if k < languages - 1 else 1):
+            made.append((doc, " ".join("".join(rng.choices(letters, k=4)) for _ in range(12)), f"l{k:03d}"))
+            doc += 1
+    return spark.createDataFrame(made, "doc_id bigint, text string, lang string"), made
+
+
+def test_every_language_is_learned(spark):
+    docs, made = many_languages(spark, 300, 8)
+    out = language_id.identify(docs, parts=10 ** 6).collect()
+    assert len(out) == len(made)
+    truth = {d: lang for d, _, lang in made}
+    assert all(r.lang_pred == truth[r.doc_id] for r in out)
+
+
+def test_groups_of_languages_agree_with_one_pass(spark):
+    """Any number of passes over the texts gives the same answers."""
+    docs, _ = many_languages(spark, 7, 12)
+    docs = docs.unionByName(spark.createDataFrame([(1, "12 !?", None), (1, None, None), (2, "mixed 丁七", None)], docs.schema)).cache()
+    one = sorted((r.doc_id, r.lang_pred, round(r.score, 9), r.rejected) for r in language_id.identify(docs).collect())
+    many = sorted((r.doc_id, r.lang_pred, round(r.score, 9), r.rejected) for r in language_id.identify(docs, group=2).collect())
+    assert one == many and len(one) == docs.count()
+
+
+def test_training_sample_is_bounded(spark):
+    """Rows of one id, equal rows and long texts do not grow the sample."""
+    rows = [(1, f"text number {i % 500}", "en") for i in range(3000)] + [(2, "x" * 1000, "de"), (3, "y" * 1000, "de"), (4, "z" * 5000, "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = collections.Counter(r.lang for r in language_id.training_rows(df, 40, 1500).collect())
+    assert got == {"en": 40, "de": 1, "fr": 1}
 
 
 def test_neighbours(spark):
@@ -302,13 +396,22 @@ def test_repeated_ids_fill_no_cell(spark, monkeypatch):
     assert most[0] < 3 * 64 and most[1] < 3 * 32
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     ids = np.array([i for i, _ in made])
-    got = {}
-    for r in ann.search(df, F.col("vec_id").isin(7, 50), k=5).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    for q in (7, 50):
-        pairs = sorted((-float(unit[a] @ unit[b]), ids[b]) for a in np.flatnonzero(ids == q) for b in np.flatnonzero(ids != q))[:5]
-        assert [i for _, i, _ in sorted(got[q])] == [i for _, i in pairs]
-        assert np.allclose([x for *_, x in sorted(got[q])], [-x for x, _ in pairs])
+    # every row of an id is a query of its own; only the row itself is no candidate
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.search(df, F.col("vec_id").isin(7, 50), k=5).collect())
+    cosines = unit @ unit.T
+    np.fill_diagonal(cosines, -2)
+    want = [(int(ids[a]), k + 1, int(ids[b]), round(float(cosines[a, b]), 9)) for a in np.flatnonzero((ids == 7) | (ids == 50))
+            for k, b in enumerate(np.lexsort((ids, -cosines[a]))[:5])]
+    assert got == sorted(want)
+
+
+def test_two_query_rows_of_one_id(spark):
+    from pyspark.sql import functions as F
+    made = [(50, [1.0, 0.0]), (50, [0.9, 0.1]), *[(i, [1.0, i / 10]) for i in range(1, 7)]]
+    df = spark.createDataFrame(made, "vec_id bigint, embedding array<double>")
+    out = ann.search(df, F.col("vec_id") % 50 == 0, k=5).collect()
+    assert sorted((r.query_id, r["rank"]) for r in out) == [(50, k) for k in (1, 1, 2, 2, 3, 3, 4, 4, 5, 5)]
+    assert sum(r.vec_id == 50 for r in out) == 2
 
 
 def test_quantisation_bound():

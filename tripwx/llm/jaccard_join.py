@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tripwx.llm import bitmap
 from tripwx.llm.graph import components
 from tripwx.llm.store import cut
-from tripwx.llm.text import LOWER, SPACE, U64, edges, mix, pieces, shingles, signed, word_hashes
+from tripwx.llm.text import LOWER, SPACE, U64, buffers, edges, mix, pieces, shingles, signed, word_hashes
 
 SKETCH_BITS = 20
 SKETCH_ROW = 1 << 12
@@ -172,18 +172,28 @@ def _linked(common, a, b, num, den):
     return den * common >= num * (a + b - common)
 
 
+def _sets_of(column) -> list[np.ndarray]:
+    """The sets of a binary column, as views of its Arrow buffer."""
+    data, off = buffers(column)
+    return [data[a:b].view(U64) if a % 8 == 0 else np.frombuffer(data[a:b].tobytes(), U64) for a, b in zip(off[:-1], off[1:])]
+
+
 def _led(num, den):
-    """Marks the members that their group's leader links, itself included."""
+    """Marks the members that their group's leader links, itself included.
+    Rows are sorted by block, the leader's copy (role 0) before the members."""
     def run(batches):
+        leader = np.zeros(0, U64)
         for batch in batches:
-            own, leader = batch.column("keys").to_pylist(), batch.column("leader_keys").to_pylist()
             core = []
-            for x, y in zip(own, leader):
-                x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                core.append(bool(_linked(common, len(x), len(y), num, den)))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("g", "lo", "hi", "keys")] + [pa.array(core)],
+            for role, own in zip(batch.column("role").to_pylist(), _sets_of(batch.column("keys"))):
+                if role == 0:
+                    leader = own.copy()
+                common = np.isin(own, leader, assume_unique=True).sum()
+                core.append(bool(_linked(common, len(own), len(leader), num, den)))
+            mine = batch.column("role").to_numpy() > 0
+            out = pa.RecordBatch.from_arrays([batch.column(c) for c in ("g", "lo", "hi", "keys")] + [pa.array(core)],
                                              ["g", "lo", "hi", "keys", "core"])
+            yield out.filter(pa.array(mine))
     return run
 
 
@@ -240,8 +250,7 @@ def _cells(num, den, whole):
         queries = [r for r in rows if r[0] == 1] + (members if whole else [])
         if not members or not queries or len(rows) < 2:
             return
-        load = lambda rs: [np.frombuffer(r[3], U64) for r in rs]
-        for i, j in open_cell(load(members), load(queries), [r[4] for r in members], num, den):
+        for i, j in open_cell([r[3] for r in members], [r[3] for r in queries], [r[4] for r in members], num, den):
             if queries[i][1:3] != members[j][1:3]:
                 yield (*queries[i][1:3], *members[j][1:3])
 
@@ -249,8 +258,8 @@ def _cells(num, den, whole):
         last, rows = None, []
         for batch in batches:
             out = []
-            cols = [batch.column(c).to_pylist() for c in ("g", "i", "j", "side", "lo", "hi", "keys", "core")]
-            for g, i, j, *row in zip(*cols):
+            cols = [batch.column(c).to_pylist() for c in ("g", "i", "j", "side", "lo", "hi")]
+            for g, i, j, *row in zip(*cols, _sets_of(batch.column("keys")), batch.column("core").to_pylist()):
                 if (g, i, j) != last:
                     out.extend(links(rows))
                     last, rows = (g, i, j), []
@@ -316,10 +325,18 @@ def find_links(texts: DataFrame, heads: DataFrame, size: int, num: int, den: int
         return _named(found)
 
     big = sets.filter("big")
-    leaders = big.filter("lead").select("g", F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.col("keys").alias("leader_keys"))
-    members = cut(big.filter("side = 0").select("g", "lo", "hi", "keys").join(leaders.select("g", "leader_keys"), "g").mapInArrow(
-        _led(num, den), "g bigint, lo bigint, hi bigint, keys binary, core boolean"), "members")
-    star = members.filter("core").join(leaders.drop("leader_keys"), "g").select(
+    leaders = big.filter("lead").select("g", F.col("lo").alias("blo"), F.col("hi").alias("bhi"), "keys")
+    # the leader's set goes once to each block of members
+    own = big.filter("side = 0").select("g", "lo", "hi", "keys")
+    count = own.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / CELL_ROWS, F.sum(F.length("keys")) / CELL_BYTES))
+                                 .cast("long").alias("blocks"))
+    placed = own.join(count, "g").select("g", F.pmod(F.xxhash64("lo", "hi"), F.col("blocks")).alias("i"),
+                                         F.lit(1).alias("role"), "lo", "hi", "keys")
+    first = leaders.join(count, "g").select("g", F.explode(F.sequence(one, F.col("blocks") - 1)).alias("i"),
+                                            F.lit(0).alias("role"), F.col("blo").alias("lo"), F.col("bhi").alias("hi"), "keys")
+    met = placed.unionByName(first).repartition("g", "i").sortWithinPartitions("g", "i", "role")
+    members = cut(met.mapInArrow(_led(num, den), "g bigint, lo bigint, hi bigint, keys binary, core boolean"), "members")
+    star = members.filter("core").join(leaders.drop("keys"), "g").select(
         F.col("lo").alias("alo"), F.col("hi").alias("ahi"), "blo", "bhi")
     asks = big.filter("side = 1").select("g", "lo", "hi", "keys").unionByName(
         members.filter("not core").select("g", "lo", "hi", "keys"))

@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,16 +34,20 @@ def _run_within(group: int, value: int):
     """Running total of ``value`` inside each run of equal ``group`` values
     of a sorted partition, carried over its batches."""
     def run(batches):
-        last, total, seen = None, 0, False
+        last, carried = None, 0
         for batch in batches:
-            out = []
-            for g, v in zip(batch.column(group).to_pylist(), batch.column(value).to_pylist()):
-                if not seen or g != last:
-                    last, total, seen = g, 0, True
-                total += v
-                out.append(total)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())],
-                                             [*batch.schema.names, WITHIN])
+            if not batch.num_rows:
+                continue
+            groups, values = batch.column(group), batch.column(value).to_numpy()
+            code = pc.fill_null(groups.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+            total = np.cumsum(values)
+            begin = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            before = (total - values)[begin]
+            if last is not None and groups[0].as_py() == last[0]:
+                before[0] -= carried
+            total = total - np.repeat(before, np.diff(np.r_[begin, len(code)]))
+            last, carried = (groups[-1].as_py(),), int(total[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total, pa.int64())], [*batch.schema.names, WITHIN])
     return run
 
 
@@ -114,8 +120,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
     document q times and, once more, the first r tokens of its hash order."""
     sized = docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    keyed = sized.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id"))
-    placed = prefix_sums(keyed, "source", ["_key", "doc_id", "size"], "size", "mix-order")
+    # narrow rows, written once: the texts are counted once, and a number of its own lets equal rows part
+    keyed = cut(sized.withColumns({"_key": F.xxhash64(F.lit(seed), "doc_id"), "_row": F.monotonically_increasing_id()}), "sizes")
+    placed = prefix_sums(keyed, "source", ["_key", "doc_id", "size", "_row"], "size", "mix-order")
     targets = source_targets(placed, weights, share, max_epochs)
     rows = placed.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
     budget = F.least(F.round("target").cast("long"), F.col("source_size") * max_epochs)
