@@ -98,9 +98,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     same = F.col("source").eqNullSafe(F.col(named["source"]))
     even = _join(docs, shares.filter(alike & ((extra > 0) | (whole > 0))), "inner").filter(same)
     even = even.withColumn(named["taken"], whole + F.when(extra > 0, size).otherwise(0))
-    # at most one key per source: its rows are numbered
+    # at most one key per source, looked up without a shuffle of the texts: its rows are numbered
     row, number = _free(docs, "_row"), _free(docs, "_number")
-    split = _join(docs, shares.filter(~alike), "inner").filter(same)
+    odd = shares.filter(~alike)
+    split = _join(docs, F.broadcast(odd) if odd.count() <= BROADCAST_KEYS else odd, "inner").filter(same)
     split = cut(split.withColumn(row, F.monotonically_increasing_id()), "split")
     one = split.select(F.col(named["source"]).alias("source"), F.col(row).alias("_row"), F.lit(1).cast("long").alias("_one"))
     upto = mixing.prefix_sums(one, "source", ["_row"], "_one", "numbers")
@@ -113,6 +114,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shown(even).unionByName(shown(split))
 
 
+BROADCAST_KEYS = 1 << 16
 MIX = ("size", "source_size", "target", "epochs", "taken")
 STAGES = [
     ("quality", quality_filter),

@@ -112,3 +112,34 @@ def test_leader_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CELL_ROWS", 16)
     many = {r.doc_id: r.component_id for r in jaccard_join.join_components(docs, 3, 80, 100).collect()}
     assert one == many
+
+
+def test_spans_of_very_many_matches(spark):
+    """Offsets over many chunks; the cost of a text does not grow with the square of its matches."""
+    import time
+
+    from tripwx.llm import pii
+    took = []
+    for n in (4000, 16_000):
+        text = " ".join(f"u{i}@x{'é' * (i % 3)}.org" if i % 3 == 0 else f"a{i}@example.org" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        began = time.time()
+        row = pii.find(docs).first()
+        took.append(time.time() - began)
+        mails = [x for x in row.pii if x.kind == "email"]
+        assert all(text[x.start:x.end] == x.match for x in mails) and len(mails) > n // 2
+    assert took[1] < 12 * took[0]
+
+
+def test_a_lost_conversation_is_caught(spark, monkeypatch):
+    """If escaping did not restore a text, formatting stops, or marks the row."""
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from tripwx.llm import chat_format
+    monkeypatch.setattr(chat_format, "escape", lambda c: c)
+    turns = spark.createDataFrame([(1, 0, "user", "a </s> b"), (2, 0, "user", "fine")], "conv_id int, turn int, role string, text string")
+    turns = turns.withColumns({c: F.lit(9) for c in ("_role", "_end", "out", "same")})
+    assert {r.conv_id: r.same for r in chat_format.format_conversations(turns, strict=False).collect()} == {1: False, 2: True}
+    with pytest.raises(PySparkException, match="lost in its formatted text: 1"):
+        chat_format.digest(chat_format.format_conversations(turns)).collect()

@@ -7,7 +7,8 @@ escaped control string.  A control string is escaped by a backslash after
 its first character (``<\\/s>``); one that already holds backslashes gets
 one more, so escaping is reversible.  Content is escaped only where it is
 needed: each turn is rendered, reparsed and compared, and what does not come
-back identical is escaped and tried again.
+back identical is escaped.  The whole conversation is then reparsed and
+compared with its source, and an error if it differs.
 
 The loss mask covers the text of assistant turns: ``loss_spans`` holds its
 code-point spans in the formatted text.
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 
 OPEN, MID, CLOSE = "[INST]", "[/INST]", "</s>"
 HEADS, TAILS = r"[\[<]", r"INST\]|/INST\]|/s>"
-ROUNDS = 2
 
 
 def escape(c: Column) -> Column:
@@ -65,17 +65,16 @@ def fit_turns(conversations: DataFrame) -> DataFrame:
     survive the round trip."""
     df = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                               F.coalesce("text", F.lit("")).alias("text"))
-    df = df.withColumns({"_role": F.col("role"), "_text": F.col("text")})
-    for _ in range(ROUNDS):
-        df = df.withColumn("_same", _round_trip(F.col("_role"), F.col("_text"), F.col("role"), F.col("text")))
-        df = df.withColumns({f"_{c}": F.when(F.col("_same"), F.col(f"_{c}")).otherwise(escape(F.col(f"_{c}")))
-                             for c in ("role", "text")})
-    return df.drop("_same")
+    same = _round_trip(F.col("role"), F.col("text"), F.col("role"), F.col("text"))
+    return df.withColumn("_same", same).withColumns(
+        {f"_{c}": F.when(F.col("_same"), F.col(c)).otherwise(escape(F.col(c))) for c in ("role", "text")}).drop("_same")
 
 
-def format_conversations(conversations: DataFrame) -> DataFrame:
+def format_conversations(conversations: DataFrame, strict: bool = True) -> DataFrame:
     """conv_id, formatted, loss_spans array<struct<start,end>> (code points,
-    end exclusive) and same: the whole output, parsed, is the source."""
+    end exclusive) and same: the whole output, parsed, is the source.  A
+    conversation that does not come back identical is an error, or, if not
+    ``strict``, a row whose ``same`` is false."""
     df = fit_turns(conversations)
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
     made = F.length(render(F.col("_role"), F.col("_text")))
@@ -86,10 +85,14 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     whole = df.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("t"))
     whole = whole.withColumn("formatted", F.array_join(F.transform("t", lambda x: x["out"]), ""))
     source = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
+    whole = whole.withColumn("same", F.coalesce(parse(F.col("formatted")) == source, F.lit(False)))
+    if strict:
+        lost = F.raise_error(F.concat(F.lit("a conversation is lost in its formatted text: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+        whole = whole.withColumn("formatted", F.when(F.col("same"), F.col("formatted")).otherwise(lost.cast("string")))
     return whole.select(
         "conv_id", "formatted",
         F.filter(F.transform("t", lambda x: x["span"]), lambda s: s.isNotNull()).alias("loss_spans"),
-        (parse(F.col("formatted")) == source).alias("same"))
+        "same")
 
 
 def digest(formatted: DataFrame) -> DataFrame:
@@ -101,4 +104,4 @@ def digest(formatted: DataFrame) -> DataFrame:
     return df.select(
         "conv_id", F.size("_turns").cast("long").alias("n_turns"), F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
         F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"), "same")

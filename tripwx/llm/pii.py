@@ -59,6 +59,7 @@ KINDS = (
          "ssn|social|security", base=False),
 )
 THRESHOLD = 0.5
+CHUNK = 64
 
 
 def digits(c: Column) -> Column:
@@ -115,22 +116,43 @@ def _pieces(kind: Kind, text: Column) -> Column:
         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found")))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(sizes: Column, begin: Column) -> Column:
+    """The sum of ``begin`` and all sizes before each."""
+    start = F.struct(begin.alias("at"), F.expr("cast(array() as array<int>)").alias("all"))
+    return F.aggregate(sizes, start, lambda acc, n: F.struct(
+        (acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")), lambda acc: acc["all"])
+
+
+def _offsets(sizes: Column) -> Column:
+    """As ``_running`` from 0 on.  An array cannot grow in place, so the sums
+    are taken inside chunks of ``CHUNK``, from the sums over the chunks before."""
+    def chunked(all_):
+        many = F.greatest(F.ceil(F.size(all_) / F.lit(CHUNK)).cast("int") - 1, F.lit(0))
+        chunks = F.transform(F.sequence(F.lit(0), many), lambda c: F.slice(all_, c * CHUNK + 1, F.lit(CHUNK)))
+        return _bound(chunks, lambda cs: F.flatten(F.zip_with(
+            cs, _running(F.transform(cs, lambda c: F.aggregate(c, F.lit(0), lambda a, n: a + n)), F.lit(0)), _running)))
+    return _bound(sizes, chunked)
+
+
 def _spans(kind: Kind, pieces: Column) -> Column:
     """array<struct<kind,start,end,score,match,keep>> of every match."""
-    pairs = F.zip_with(F.slice(pieces["gaps"], 1, F.size(pieces["found"])), pieces["found"],
-                       lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,near:string,match:string>>)")
-
-    def step(acc, pair):
-        begin = acc["at"] + F.length(pair["g"])
-        finish = begin + F.length(pair["m"])
-        near = F.right(F.concat(acc["tail"], pair["g"]), F.lit(CONTEXT_CHARS))
-        one = F.struct(begin.alias("start"), finish.alias("end"), near.alias("near"), pair["m"].alias("match"))
-        return F.struct(finish.alias("at"), F.right(pair["m"], F.lit(CONTEXT_CHARS)).alias("tail"),
-                        F.concat(acc["spans"], F.array(one)).alias("spans"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("spans"))
-    found = F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+    gaps = F.slice(pieces["gaps"], 1, F.size(pieces["found"]))
+    before = F.slice(F.concat(F.array(F.lit("")), pieces["found"]), 1, F.size(pieces["found"]))
+    sizes = F.zip_with(gaps, pieces["found"], lambda g, m: F.length(g) + F.length(m))
+    pairs = F.zip_with(gaps, pieces["found"], lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+    near = F.zip_with(before, gaps, lambda b, g: F.right(F.concat(F.right(b, F.lit(CONTEXT_CHARS)), g), F.lit(CONTEXT_CHARS)))
+
+    def place(pair, at):
+        begin = at + F.length(pair["g"])
+        return F.struct(begin.alias("start"), (begin + F.length(pair["m"])).alias("end"), pair["m"].alias("match"))
+    placed = F.zip_with(pairs, _offsets(sizes), place)
+    found = F.zip_with(placed, near, lambda x, n: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), n.alias("near"), x["match"].alias("match")))
 
     def judge(x):
         score = F.lit(kind.start) + F.when(F.lower(x["near"]).rlike(kind.context), kind.lift).otherwise(0.0)
