@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripwx.functions.columns import round_stable
+from tripwx.operators import value_counts
 from tripwx.operators.schema import quote, schema_report
+from tripwx.sources import sinks
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -287,27 +289,62 @@ def modes(df: DataFrame, columns: list[str], dtype: str | None = None) -> DataFr
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4) -> DataFrame:
-    """Two-pass mode: ``freqItems`` proposes at most 1/support candidates
-    per column (a proven size bound, so they are broadcast), then one pass
-    recounts the candidates exactly and keeps the best, ties smallest.
-
-    Every value above ``support`` of the rows is among the candidates, so a
-    best count above that share is the mode.  Columns without such a value
-    (near-unique ones) are counted in full."""
-    fi = df.freqItems(columns, support)
-    cands = functools.reduce(DataFrame.unionByName, [
-        fi.select(F.lit(c).alias("column_name"), F.explode(f"{c}_freqItems").alias("value"))
-        .withColumn("value", F.col("value").cast("double"))
-        for c in columns]).where(F.col("value").isNotNull() & ~F.isnan("value")).distinct()
-    vals = _long_values(df, columns, "double")
-    matched = vals.join(F.broadcast(cands), ["column_name", "value"], "left_semi")
-    best = _best_per_column(matched.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))).collect()
-    rows = df.count()
-    sure = [r for r in best if r["mode_count"] > support * rows]
-    found = df.sparkSession.createDataFrame(sure, "column_name string, mode double, mode_count bigint")
-    rest = [c for c in columns if c not in {r["column_name"] for r in sure}]
-    return found.unionByName(modes(df, rest, "double")) if rest else found
+#: a counter sketch of m tracked items is off by at most this many m-ths of the counted rows
+SKETCH_ERROR = 3.5
+
+
+def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4, dtype: str = "double") -> DataFrame:
+    """(column_name, mode, mode_count) by counter sketches, ties smallest.
+
+    Scan 1 is one aggregate: per column a mergeable sketch of its most
+    frequent values, in the column's own type, whose counts are off by less
+    than ``support`` of the rows (``approx_top_k``; 3.5 / support items).  From it,
+    per column, before anything is counted:
+
+    * the sketch kept all values, so its counts are exact: done;
+    * the best count is more than three times the error: the mode is among the
+      values whose count may reach it, and only those are recounted;
+    * no value stands out (near-unique columns): all values are counted.
+
+    Scan 2 does the last two together, for all columns that need either."""
+    tracked = min(100_000, math.ceil(SKETCH_ERROR / support))
+    seen = {c: F.when(~F.isnan(_q(c)), _q(c)) if t in ("double", "float") else _q(c) for c, t in df.dtypes if c in columns}
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        aggs += [F.count(seen[c]).alias(f"n{i}"),
+                 F.call_function("approx_top_k", seen[c], F.lit(tracked), F.lit(tracked)).alias(f"k{i}")]
+    row = df.agg(*aggs).first()                     # at most ``tracked`` values a column
+    found, candidates, full = [], [], []
+    for i, c in enumerate(columns):
+        n, items = row[f"n{i}"], [x for x in row[f"k{i}"] or [] if x["item"] is not None]
+        error = SKETCH_ERROR * row["rows"] / tracked
+        best = max((x["count"] for x in items), default=0)
+        if sum(x["count"] for x in items) == n:     # each count is at least the true one: all are true
+            top = min((x["item"] for x in items if x["count"] == best), default=None)
+            found += [(c, top, best)] if items else []
+        elif best > 3 * error:
+            candidates += [(c, x["item"]) for x in items if x["count"] >= best - error]
+        else:
+            full.append(c)
+    rest = [c for c in columns if c in full or c in {name for name, _ in candidates}]
+    out = [(c, float(v) if dtype == "double" else str(v) if dtype == "string" else v, n) for c, v, n in found]
+    sure = df.sparkSession.createDataFrame(out, f"column_name string, mode {dtype}, mode_count bigint")
+    if not rest:
+        return sure
+    values = value_counts.long_values(df, rest)
+    if candidates:
+        kinds = {c: value_counts.kind_of(df.schema[c].dataType) for c in rest}
+        cast = {"whole": int, "real": float, "text": str}
+        picks = [(c, *[cast[k](v) if kinds[c] == k else None for k in value_counts.KINDS], True) for c, v in candidates]
+        listed = df.sparkSession.createDataFrame(picks, "c string, w bigint, r double, t string, picked boolean")
+        same = (F.col("c") == F.col("column_name")) & F.col("w").eqNullSafe(F.col("whole")) \
+            & F.col("r").eqNullSafe(F.col("real")) & F.col("t").eqNullSafe(F.col("text"))
+        values = values.join(F.broadcast(listed), same, "left").filter(F.col("picked") | F.col("column_name").isin(full))
+    counts = values.groupBy("column_name", *value_counts.KINDS).agg(F.count(F.lit(1)).alias("n"))
+    mode = F.coalesce(F.col("whole").cast(dtype), F.col("real").cast(dtype), F.col("text").cast(dtype))
+    with sinks.cached(counts) as counts:                # read twice below
+        best = value_counts.modes_of(counts).select("column_name", mode.alias("mode"), F.col("n").alias("mode_count")).collect()
+    return df.sparkSession.createDataFrame([tuple(r) for r in sure.collect()] + [tuple(r) for r in best], sure.schema)
 
 
 # ----------------------------------------------------------------- medians
@@ -499,27 +536,24 @@ def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = N
     mode); NaN for what a column without values has none of.  ``digits``
     rounds the means and the stddev (not by default).
 
-    Count, stddev, all means and the quantile bounds are ONE aggregate (one
-    row to the driver); exact medians and modes take a few passes each over
-    all columns together; the three small per-column tables (one row per
-    column) are joined by broadcast."""
-    aggs = [F.count(F.lit(1)).alias("record_count")]
-    if stddev_of:
-        aggs.append(_shown(F.stddev_samp(_q(stddev_of)), digits).alias(f"{stddev_of}_stddev"))
-    for i, c in enumerate(columns):
-        x = _q(c).cast("double")
-        aggs += [_shown(F.avg(_q(c)), digits).alias(f"m{i}"),
-                 F.min(finite_only(x)).alias(f"lo{i}"), F.max(finite_only(x)).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()      # one scan: count, stddev, means, and the quantile bounds
-    stddev = [row[f"{stddev_of}_stddev"]] if stddev_of else []
-    fields = "column_name string, record_count bigint" + (f", `{stddev_of}_stddev` double" if stddev_of else "")
-    means = df.sparkSession.createDataFrame(
-        [(c, row["record_count"], *stddev, row[f"m{i}"]) for i, c in enumerate(columns)], fields + ", mean double")
-    bounds = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
-    med = exact_quantile(df, columns, 0.5, bounds=bounds).withColumnRenamed("quantile", "median")
-    mod = modes(df, columns, "double").select("column_name", "mode")
-    out = means.join(F.broadcast(med), "column_name", "left").join(F.broadcast(mod), "column_name", "left")
-    gaps = [c for c in (f"{stddev_of}_stddev", "mean", "median", "mode") if c in out.columns]
+    The input is scanned once: its value counts (one state per column, see
+    ``value_counts``) are kept for the call, and everything else reads them."""
+    names = list(dict.fromkeys([*columns, *([stddev_of] if stddev_of else [])]))
+    with sinks.cached(value_counts.count_values(df, names)) as state:
+        moments = {r.column_name: r for r in value_counts.moments_of(state).collect()}      # one row a column
+        medians = value_counts.quantiles_of(state, 0.5)
+        best = {r.column_name: r.whole if r.whole is not None else r.real for r in value_counts.modes_of(state).collect()}
+    rows = max((r.rows for r in moments.values()), default=0)
+    spread = [moments[stddev_of].stddev if stddev_of in moments else None] if stddev_of else []
+
+    def shown(value):
+        return None if value is None else float(value)
+    table = [(c, rows, *spread, moments[c].mean if c in moments else None, medians.get(c), shown(best.get(c))) for c in columns]
+    fields = "column_name string, record_count bigint" + (f", {quote(stddev_of + '_stddev')} double" if stddev_of else "")
+    out = df.sparkSession.createDataFrame(table, fields + ", mean double, median double, mode double")
+    rounded = [f"{stddev_of}_stddev"] * bool(stddev_of) + ["mean"]
+    out = out.withColumns({c: _shown(_q(c), digits) for c in rounded})
+    gaps = [*rounded, "median", "mode"]
     return out.withColumns({c: F.coalesce(_q(c), F.lit(float("nan"))) for c in gaps})
 
 

@@ -123,9 +123,9 @@ FROM (SELECT CAST(ts AS DATE) AS d, hour(ts) AS h,
 
 # ---------------------------------------------------------------- v_zones
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone lookup (all strings, as read from CSV) from supplier; keys ending
-    in 9 are missing, every 37th zone has no coordinates."""
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 10 != 9)
+    """Zone lookup (all strings, as read from CSV) from supplier; every 37th
+    zone has no coordinates."""
+    s = table(spark, sf_dir, "supplier")
     no_xy = F.col("s_suppkey") % 37 == 0
     return s.select(
         F.col("s_suppkey").cast("string").alias("LocationID"),
@@ -147,7 +147,7 @@ SELECT CAST(s_suppkey AS VARCHAR) AS LocationID,
        'Boro Zone' AS service_zone,
        CASE WHEN s_suppkey % 37 = 0 THEN NULL ELSE CAST(CAST(s_suppkey % 15 - 745 AS DOUBLE) / 10 AS VARCHAR) END AS longitude,
        CASE WHEN s_suppkey % 37 = 0 THEN NULL ELSE CAST(CAST(s_suppkey % 15 + 400 AS DOUBLE) / 10 AS VARCHAR) END AS latitude
-FROM supplier WHERE s_suppkey % 10 <> 9
+FROM supplier
 """
 
 
@@ -155,7 +155,7 @@ FROM supplier WHERE s_suppkey % 10 <> 9
 def taxi_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw yellow-taxi rows from lineitem.  Every 7th line number drops off
     before pickup; DOLocationID etc. exist so that the aligners have
-    something to drop."""
+    something to drop.  Pickups at a key ending in 9 lie outside all zones."""
     li = table(spark, sf_dir, "lineitem")
     pickup = (F.col("l_shipdate")
               + F.make_dt_interval(F.lit(0), (F.col("l_orderkey") % 24).cast("int"),
@@ -168,7 +168,7 @@ def taxi_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         dropoff.alias("tpep_dropoff_datetime"),
         F.col("l_linenumber").cast("double").alias("passenger_count"),
         F.col("l_quantity").alias("trip_distance"),
-        F.col("l_suppkey").alias("PULocationID"),
+        F.when(F.col("l_suppkey") % 10 == 9, F.col("l_suppkey") + 1_000_000).otherwise(F.col("l_suppkey")).alias("PULocationID"),
         (F.col("l_partkey") % 265).alias("DOLocationID"),
         (F.col("l_extendedprice") / 100).alias("fare_amount"),
         (F.col("l_tax") * 10).alias("tip_amount"),
@@ -186,7 +186,7 @@ SELECT l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) + to_minutes(CAST
                  + to_minutes(CAST(l_quantity AS INTEGER)) END AS tpep_dropoff_datetime,
        CAST(l_linenumber AS DOUBLE) AS passenger_count,
        l_quantity AS trip_distance,
-       l_suppkey AS PULocationID,
+       CASE WHEN l_suppkey % 10 = 9 THEN l_suppkey + 1000000 ELSE l_suppkey END AS PULocationID,
        l_partkey % 265 AS DOLocationID,
        l_extendedprice / 100 AS fare_amount,
        l_tax * 10 AS tip_amount,

@@ -158,8 +158,7 @@ def clean_impute_job(spark: SparkSession, in_path: str, out_path: str, year: int
     """Outlier filter, mean imputation, month segments; returns the
     stage funnel, the segment counts and the post-clean NULL counts."""
     merged = spark.read.parquet(in_path)
-    funnel = merge.clean_impute_funnel(merged, year)
-    out = merge.clean_impute(merged, year)
+    out, funnel = merge.clean_impute_counted(merged, year)
     sinks.write_parquet(out, out_path, partition_by=["date"], files_per_value=files_per_date)
     if table:
         sinks.save_table(spark.read.parquet(out_path), table)

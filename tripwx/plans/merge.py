@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwx.functions import columns as C
 from tripwx.operators import clean, joins
+from tripwx.sources import sinks
 
 # --- fixed values ------------------------------------------------------------
 JOIN_KEYS = ["date", "time_hours"]
@@ -41,6 +42,20 @@ def merge_inner(bike: DataFrame, taxi: DataFrame, weather: DataFrame,
     return clean.dedup(clean.drop_nulls(merged))
 
 
+def store_for_merges(trips: DataFrame, weather: DataFrame, path: str, trips_table: str, weather_table: str,
+                     buckets: int) -> None:
+    """Trips and weather dealt alike by (date, time_hours), for
+    ``merge_stored``: one shuffle each, here, instead of one per merge."""
+    sinks.bucketed_table(trips, trips_table, JOIN_KEYS, buckets, f"{path}/trips")
+    sinks.bucketed_table(weather, weather_table, JOIN_KEYS, buckets, f"{path}/weather")
+
+
+def merge_stored(spark: SparkSession, trips_table: str, weather_table: str, how: str = "left") -> DataFrame:
+    """E10/E11's join of stored tables: a merge join bucket by bucket.  No
+    side is broadcast, whatever its size, and no row of either is shuffled."""
+    return spark.table(trips_table).join(spark.table(weather_table).hint("merge"), JOIN_KEYS, how)
+
+
 def bbox_rules() -> list[clean.Rule]:
     return [
         clean.Rule("latitude_box", F.col("start_latitude").between(*LAT_RANGE)),
@@ -88,12 +103,21 @@ def clean_impute(merged: DataFrame, year: int) -> DataFrame:
     the weather measures, day/month/segment columns."""
     rules = [year_rule(year)] + outlier_rules(merged)
     valid = clean.apply_rules(merged, rules)
-    filled = clean.impute_mean(valid, WEATHER_MEASURES, exact_scale=MEAN_SCALE)
+    return _segmented(clean.impute_mean(valid, WEATHER_MEASURES, exact_scale=MEAN_SCALE))
+
+
+def _segmented(filled: DataFrame) -> DataFrame:
     return filled.withColumns({
         "day_of_month": F.dayofmonth("date"),
         "month": F.month("date"),
     }).withColumn("month_segment", C.month_segment("day_of_month"))
 
 
+def clean_impute_counted(merged: DataFrame, year: int) -> tuple[DataFrame, DataFrame]:
+    """E13 and its stage funnel: one scan gives the means and the counts."""
+    filled, funnel = clean.impute_with_funnel(merged, [year_rule(year)] + outlier_rules(merged), WEATHER_MEASURES, MEAN_SCALE)
+    return _segmented(filled), funnel
+
+
 def clean_impute_funnel(merged: DataFrame, year: int) -> DataFrame:
     return clean.funnel(merged, [year_rule(year)] + outlier_rules(merged))

@@ -9,6 +9,7 @@ from tripwx.operators import clean, joins, schema
 from tripwx.plans import analytics, fixtures, inputs, merge, sensor, trips, weather
 from tripwx.plans.oracle import DATA_YEAR, beaufort_sql, haversine_sql, rs, season_sql, sql
 from tripwx.plans.register import register
+from tripwx.session import scratch_path
 
 MERGED_COLS = ["date", "time_hours", "start_longitude", "start_latitude", "trip_duration", "distance",
                "is_taxi", "temp_f", "precipitation_mm", "rain_mm", "cloudcover_pct", "windspeed_kmh",
@@ -365,6 +366,17 @@ def q_dedup_rows(spark, sf):
     return clean.dedup(t.unionByName(t.filter(F.col("time_hours") % 7 == 0)))
 
 
+@register("dedup_stored", sql("""
+SELECT DISTINCT * FROM (SELECT * FROM v_trips UNION ALL SELECT * FROM v_trips WHERE time_hours % 7 = 0) d""",
+                              "v_trips"))
+def q_dedup_stored(spark, sf):
+    """The same by row hashes, over a stored table."""
+    t = fixtures.trips(spark, sf)
+    path = scratch_path(spark, "repeating_trips")
+    t.unionByName(t.filter(F.col("time_hours") % 7 == 0)).write.parquet(path)
+    return clean.dedup_stored(spark.read.parquet(path))
+
+
 # ---------------------------------------------------------------- E18 sensor
 @register("sensor_clean", sql("SELECT * FROM sensor_clean", "sensor_clean"))
 def q_sensor_clean(spark, sf):

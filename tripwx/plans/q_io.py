@@ -15,9 +15,9 @@ from tripwx.plans import analytics, fixtures, inputs, jobs, merge, trips, weathe
 from tripwx.plans.oracle import DATA_YEAR, rs, sql
 from tripwx.plans.register import register
 from tripwx.session import scratch_path
+from tripwx.sources import catalogue, sinks, versions
 from tripwx.sources import csv as csv_src
 from tripwx.sources import parquet as pq
-from tripwx.sources import sinks
 
 DB = "tripwx_db"
 
@@ -65,25 +65,59 @@ def q_scan_glob(spark, sf):
     return _ntz(pq.scan_dataset(spark, folder), ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
 
 
-@register("scan_schema_drift", sql("""
+_DRIFT = """
 SELECT tpep_pickup_datetime, tpep_dropoff_datetime, fare_amount, tip_amount, total_amount,
        CASE WHEN PULocationID % 5 = 4 THEN NULL ELSE passenger_count END AS passenger_count, trip_distance
-FROM v_taxi_raw""", "v_taxi_raw"))
-def q_scan_schema_drift(spark, sf):
+FROM v_taxi_raw"""
+
+
+def _write_drifting(spark, sf, label):
+    """Raw taxi rows in files whose passenger count is of four types or absent."""
     raw = fixtures.taxi_raw(spark, sf).withColumns(
         {c: F.col(c).cast("timestamp") for c in ["tpep_pickup_datetime", "tpep_dropoff_datetime"]})
-    base = scratch_path(spark, "drift")
+    base = scratch_path(spark, label)
     k, n = F.col("PULocationID") % 5, F.col("passenger_count")
     kinds = {"int": n.cast("int"), "bigint": n.cast("bigint"), "double": n.cast("double"), "string": n.cast("string"), "none": None}
     for i, (kind, column) in enumerate(kinds.items()):
         part = raw.filter(k == i)
         part = part.drop("passenger_count") if column is None else part.withColumn("passenger_count", column)
         sinks.write_parquet(part, f"{base}/{kind}")
-    files = [f for kind in kinds for f in pq.discover(spark, f"{base}/{kind}")]
+    return base, [f for kind in kinds for f in pq.discover(spark, f"{base}/{kind}")]
+
+
+@register("scan_schema_drift", sql(_DRIFT, "v_taxi_raw"))
+def q_scan_schema_drift(spark, sf):
+    _, files = _write_drifting(spark, sf, "drift")
     df = pq.scan_aligned(spark, files, trips.TAXI_SUMMARY)
     return _ntz(df, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
 
 
+@register("scan_schema_drift_spark", sql(_DRIFT, "v_taxi_raw"))
+def q_scan_schema_drift_spark(spark, sf):
+    """The same by Spark's reader alone, for stores that only it reaches."""
+    _, files = _write_drifting(spark, sf, "drift_spark")
+    df = pq.scan_aligned(spark, files, trips.TAXI_SUMMARY, strategy="spark")
+    return _ntz(df, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+
+
+@register("file_catalogue", sql("""
+SELECT CASE PULocationID % 5 WHEN 0 THEN 'integer' WHEN 1 THEN 'long' WHEN 2 THEN 'double' WHEN 3 THEN 'string' ELSE 'none' END
+         AS passenger_type, CAST(count(*) AS BIGINT) AS rows, true AS planned
+FROM v_taxi_raw GROUP BY 1""", "v_taxi_raw"))
+def q_file_catalogue(spark, sf):
+    """A stored catalogue of the drifting files, made, then brought up to
+    date after nothing changed: rows per type, from the footers alone, and
+    whether the catalogue plans a scan of the files."""
+    base, files = _write_drifting(spark, sf, "catalogue")
+    location = scratch_path(spark, "catalogue_table")
+    catalogue.update(spark, location, base)
+    stored = catalogue.update(spark, location, base)
+    planned = sorted(p for _, paths in catalogue.schema_groups(stored) for p in paths) == sorted(files)
+    found = F.regexp_extract("schema", r'"passenger_count", "(\w+)"', 1)
+    return (stored.groupBy(F.when(found == "", "none").otherwise(found).alias("passenger_type"))
+            .agg(F.sum("rows").alias("rows"), F.lit(planned).alias("planned")).filter("rows > 0"))
+
+
 @register("scan_csv_infer", sql("SELECT * FROM w_clean", "w_clean"))
 def q_scan_csv_infer(spark, sf):
     path = scratch_path(spark, "weather_csv")
@@ -131,6 +165,17 @@ def q_lookup_csv(spark, sf):
                    "PULocationID")
 
 
+@register("lookup_csv_rejects", sql("""
+SELECT CASE WHEN CAST(LocationID AS BIGINT) % 41 = 0 THEN 'too few fields' ELSE 'kept' END AS outcome, count(*) AS lines
+FROM v_zones GROUP BY 1""", "v_zones"))
+def q_lookup_csv_rejects(spark, sf):
+    """How many lines of the lookup are kept, and how many rejected, by reason."""
+    path = write_zone_csv(spark, sf, scratch_path(spark, "zones_csv_checked"))
+    rows, rejects = csv_src.scan_lookup_csv_checked(spark, path)
+    both = rows.select(F.lit("kept").alias("outcome")).unionByName(rejects.select(F.col("reason").alias("outcome")))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("lines"))
+
+
 # -------------------------------------------------------------------- sinks
 @register("sink_parquet", sql("SELECT * FROM merged_left", "merged_left"))
 def q_sink_parquet(spark, sf):
@@ -206,6 +251,32 @@ def q_safe_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("versioned_overwrite", sql("""
+SELECT DISTINCT * FROM merged_left
+WHERE date IS NOT NULL AND time_hours IS NOT NULL AND start_longitude IS NOT NULL AND start_latitude IS NOT NULL
+  AND trip_duration IS NOT NULL AND distance IS NOT NULL AND is_taxi IS NOT NULL AND temp_f IS NOT NULL
+  AND precipitation_mm IS NOT NULL AND rain_mm IS NOT NULL AND cloudcover_pct IS NOT NULL
+  AND windspeed_kmh IS NOT NULL AND wind_direction_deg IS NOT NULL
+  AND trip_duration > 0 AND distance >= 0 AND time_hours BETWEEN 0 AND 23
+  AND start_latitude BETWEEN 40.0 AND 41.5 AND start_longitude BETWEEN -74.5 AND -73.0""", "merged_left"))
+def q_versioned_overwrite(spark, sf):
+    """The strict clean as a new version of the dataset that it reads."""
+    location = scratch_path(spark, "merged_versions")
+    versions.publish(inputs.merged_left(spark, sf), location)
+    versions.publish(merge.clean_strict(versions.read(spark, location)), location)
+    return versions.read(spark, location)
+
+
+@register("merge_stored", sql("SELECT * FROM merged_left", "merged_left"))
+def q_merge_stored(spark, sf):
+    """The left merge of tables stored in like buckets."""
+    _database(spark)
+    base, tag = scratch_path(spark, "buckets"), uuid.uuid4().hex[:8]
+    tables = f"{DB}.trips_{tag}", f"{DB}.weather_{tag}"
+    merge.store_for_merges(fixtures.trips(spark, sf), inputs.published_weather(spark, sf), base, *tables, buckets=8)
+    return merge.merge_stored(spark, *tables)
+
+
 # ------------------------------------------------------ end-to-end job chains
 @register("pipeline_weather_merge", sql(f"""
 SELECT round(temp_f / 5, 0) * 5 + 0.0 AS temp_bucket, is_taxi,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripwx.operators import clean, ml
+from tripwx.operators import clean, forest, ml
 from tripwx.plans import inputs
 from tripwx.plans.oracle import sql
 from tripwx.plans.q_ingest import MERGED_COLS, _all_not_null
@@ -89,13 +89,29 @@ def q_ml_train(spark, sf):
     return ml.confusion_matrix(pred)
 
 
-@register("ml_score", None)
+_SCORABLE = " AND ".join(f"{c} IS NOT NULL" for c in [
+    "start_longitude", "start_latitude", "distance", "time_hours", "temp_f", "precipitation_mm", "season", "beaufort_scale"])
+
+
+@register("ml_score", sql(f"""
+SELECT CAST(count_if({_SCORABLE}) AS BIGINT) AS scored, CAST(count_if(NOT ({_SCORABLE})) AS BIGINT) AS unscored,
+       CAST(count(*) AS BIGINT) AS agreeing
+FROM merged_left""", "merged_left"))
 def q_ml_score(spark, sf):
+    """All trips scored twice: by the saved and reloaded pipeline, and by the
+    forest's own node table, saved and reloaded as Parquet.  Each row must
+    get the same prediction, or none, from both."""
     merged = inputs.merged_left(spark, sf)
     model, _ = ml.train(merged, KEY)
     path = scratch_path(spark, "model")
-    ml.save(model, path)
-    return ml.score(ml.load(path), merged)
+    ml.save(model, f"{path}/pipeline")
+    loaded = ml.load(f"{path}/pipeline")
+    forest.save(forest.flatten(loaded), f"{path}/forest")
+    rows = ml.score(loaded, merged, keep_unscored=True)
+    both = forest.score(forest.load(spark, f"{path}/forest"), rows, prediction="by_nodes")
+    scored = F.col("prediction").isNotNull()
+    return both.agg(F.count_if(scored).alias("scored"), F.count_if(~scored).alias("unscored"),
+                    F.count_if(F.col("prediction").eqNullSafe(F.col("by_nodes"))).alias("agreeing"))
 
 
 @register("ml_test_rows", sql(f"""

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripwx.functions.columns import round_stable
 from tripwx.operators import profile as P
-from tripwx.operators import schema
+from tripwx.operators import schema, sketches, value_counts
 from tripwx.plans import fixtures, inputs, sensor, trips, weather
 from tripwx.plans.oracle import rs, sql
 from tripwx.plans.q_ingest import MERGED_COLS
 from tripwx.plans.register import register
+from tripwx.session import scratch_path
 
 WEATHER_STATS = ["temp_f", "hour", "precipitation_mm", "rain_mm", "cloudcover_pct", "windspeed_kmh",
                  "wind_direction_deg"]
@@ -350,3 +355,67 @@ def q_mode_trips(spark, sf):
     f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS distinct_{c}" for c in _TRIP_NUMBERS) + " FROM v_trips", "v_trips"))
 def q_distinct_trips(spark, sf):
     return P.distinct_counts(fixtures.trips(spark, sf), _TRIP_NUMBERS)
+
+
+_CHECKED = ["trip_duration", "distance", "start_latitude"]
+
+
+def _rank_sql():
+    arms = [f"SELECT '{m}' AS method, '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS rows, true AS within FROM v_trips"
+            for m in ("percentile_approx", "approx_quantile", "stored_sketch") for c in _CHECKED]
+    return sql(" UNION ALL ".join(arms), "v_trips")
+
+
+@register("median_rank_check", _rank_sql())
+def q_median_rank_check(spark, sf):
+    """The three approximate medians, each with the rank that it truly has
+    against the rank error that it promises.  The stored one comes from sketches per day, merged."""
+    df = fixtures.trips(spark, sf)
+    path = scratch_path(spark, "quantile_sketches")
+    sketches.quantile_sketches(df, _CHECKED, by=["date"]).write.partitionBy("date").parquet(path)
+    wide = P.medians_approx(df, _CHECKED, 10_000)
+    gk = P.approx_medians_table(df, _CHECKED, 0.001)
+    pairs = ", ".join(f"'{c}', CAST(median_{c} AS DOUBLE)" for c in _CHECKED)
+    answers = {
+        "percentile_approx": (wide.selectExpr(f"stack({len(_CHECKED)}, {pairs}) AS (column_name, quantile)"), 1e-4),
+        "approx_quantile": (gk.selectExpr(f"stack({len(_CHECKED)}, {pairs}) AS (column_name, quantile)"), 0.001),
+        "stored_sketch": (sketches.sketched_quantiles(spark.read.parquet(path), 0.5), 3 * sketches.quantile_error())}
+    return functools.reduce(DataFrame.unionByName, [
+        sketches.rank_check(df, a.select("column_name", "quantile"), 0.5, error).select(
+            F.lit(name).alias("method"), "column_name", "rows", "within") for name, (a, error) in answers.items()])
+
+
+@register("distinct_sketch_check", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct, true AS within FROM v_trips" for c in _TRIP_NUMBERS), "v_trips"))
+def q_distinct_sketch_check(spark, sf):
+    """Exact distinct counts, one narrow scan per column, and whether the
+    estimates from stored sketches per day, merged, keep their error."""
+    df = fixtures.trips(spark, sf)
+    path = scratch_path(spark, "distinct_sketches")
+    sketches.distinct_sketches(df, _TRIP_NUMBERS, by=["date"]).write.partitionBy("date").parquet(path)
+    approx = sketches.sketched_distinct(spark.read.parquet(path))
+    return sketches.error_check(approx, sketches.distinct_by_column(df, _TRIP_NUMBERS), 4 * sketches.distinct_error())
+
+
+def _merged_sql():
+    arms = [f"""
+SELECT '{c}' AS column_name, CAST(count(*) AS BIGINT) AS rows, CAST(count({c}) AS BIGINT) AS "values",
+       {rs(f'avg({c})', 6)} AS mean, {rs(f'stddev_samp({c})', 6)} AS stddev,
+       CAST(quantile_disc({c}, 0.9) AS DOUBLE) AS p90, (SELECT mode FROM ({_mode_sql('v_trips', [c])}) m) AS mode
+FROM v_trips""" for c in _CHECKED]
+    return sql(" UNION ALL ".join(arms), "v_trips")
+
+
+@register("value_counts_merged", _merged_sql())
+def q_value_counts_merged(spark, sf):
+    """Moments, an exact quantile and the mode from two stored states, one
+    per kind of trip, merged: the trips themselves are read once."""
+    df = fixtures.trips(spark, sf)
+    path = scratch_path(spark, "value_counts")
+    for kind in (0, 1):
+        value_counts.count_values(df.filter(F.col("is_taxi") == kind), _CHECKED).write.parquet(f"{path}/{kind}")
+    state = value_counts.merge_counts([spark.read.parquet(f"{path}/{kind}") for kind in (0, 1)])
+    p90 = spark.createDataFrame(list(value_counts.quantiles_of(state, 0.9).items()), "column_name string, p90 double")
+    mode = value_counts.modes_of(state).select("column_name", F.coalesce(F.col("whole").cast("double"), "real").alias("mode"))
+    out = value_counts.moments_of(state).join(p90, "column_name", "left").join(mode, "column_name", "left")
+    return out.withColumns({c: round_stable(c, 6) for c in ("mean", "stddev")})

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripwx.operators import schema
 from tripwx.operators.schema import ColumnSpec
+from tripwx.sources import catalogue
 
 
 def scan(spark: SparkSession, *paths: str, columns: list[str] | None = None, **options) -> DataFrame:
@@ -50,21 +51,26 @@ def scan_dataset(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_aligned(spark: SparkSession, paths: list[str], specs: list[ColumnSpec],
-                 strategy: str = "groups") -> DataFrame:
+                 strategy: str = "groups", files: DataFrame | None = None) -> DataFrame:
     """Read files whose column types drift (int in one, double or text
     in another; a column missing from some) as one table of ``specs``.
 
-    ``strategy="groups"`` looks at each file's schema (footers only), reads
+    ``strategy="groups"`` takes each file's schema from a catalogue (``files``,
+    or one made here by a single distributed job over the footers), reads
     the files of equal schema as one splittable scan, aligns each group with
     ``try_cast`` and unions the groups: the plan grows with the number of
-    different schemas, not of files.  ``strategy="schema"`` is one scan with
-    the declared schema, for drift that the Parquet reader can widen itself.
+    different schemas, not of files, and the driver reads no footer.
+    ``strategy="spark"`` finds the schemas by Spark's reader alone, for stores
+    that only Spark reaches.  ``strategy="schema"`` is one scan with the
+    declared schema, for drift that the Parquet reader can widen itself.
     """
     if strategy == "schema":
         ddl = ", ".join(f"{schema.quote(s.name)} {s.dtype}" for s in specs)
         return spark.read.schema(ddl).parquet(*paths)
-    groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
-    frames = [schema.align(spark.read.parquet(*files), specs) for files in groups.values()]
+    if strategy == "spark":
+        groups = catalogue.schemas_by_spark(spark, paths)
+    else:
+        groups = catalogue.schema_groups(catalogue.catalogue(spark, *paths) if files is None else files)
+    frames = [schema.align((spark.read.schema(found) if found else spark.read).parquet(*group), specs)
+              for found, group in groups]
     return functools.reduce(DataFrame.unionByName, frames)

@@ -84,6 +84,17 @@ def save_table(df: DataFrame, table: str, drop_first: bool = True) -> str:
     return table
 
 
+def bucketed_table(df: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> str:
+    """Store ``df`` as an external table in ``buckets`` files, dealt and
+    sorted by ``keys``.  Tables stored alike join and aggregate on the keys
+    without a shuffle, every time; only this write shuffles.  All rows of one key
+    are one file, so pick keys of which none holds more rows than a task can sort."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    dealt = df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return table
+
+
 def external_parquet_table(spark: SparkSession, table: str, ddl_columns: str, location: str) -> DataFrame:
     """Declare a table over an existing Parquet folder and describe
     it.  A table of that name over another folder is an error."""
