@@ -331,8 +331,8 @@ def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4
     sure = df.sparkSession.createDataFrame(out, f"column_name string, mode {dtype}, mode_count bigint")
     if not rest:
         return sure
-    values = value_counts.long_values(df, rest)
     if candidates:
+        values = value_counts.long_values(df, rest)
         kinds = {c: value_counts.kind_of(df.schema[c].dataType) for c in rest}
         cast = {"whole": int, "real": float, "text": str}
         picks = [(c, *[cast[k](v) if kinds[c] == k else None for k in value_counts.KINDS], True) for c, v in candidates]
@@ -340,7 +340,9 @@ def modes_heavy_hitters(df: DataFrame, columns: list[str], support: float = 1e-4
         same = (F.col("c") == F.col("column_name")) & F.col("w").eqNullSafe(F.col("whole")) \
             & F.col("r").eqNullSafe(F.col("real")) & F.col("t").eqNullSafe(F.col("text"))
         values = values.join(F.broadcast(listed), same, "left").filter(F.col("picked") | F.col("column_name").isin(full))
-    counts = values.groupBy("column_name", *value_counts.KINDS).agg(F.count(F.lit(1)).alias("n"))
+        counts = values.groupBy("column_name", *value_counts.KINDS).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counts = value_counts.count_values(df, rest)
     mode = F.coalesce(F.col("whole").cast(dtype), F.col("real").cast(dtype), F.col("text").cast(dtype))
     with sinks.cached(counts) as counts:                # read twice below
         best = value_counts.modes_of(counts).select("column_name", mode.alias("mode"), F.col("n").alias("mode_count")).collect()
@@ -540,15 +542,10 @@ def dataset_summary(df: DataFrame, columns: list[str], stddev_of: str | None = N
     ``value_counts``) are kept for the call, and everything else reads them."""
     names = list(dict.fromkeys([*columns, *([stddev_of] if stddev_of else [])]))
     with sinks.cached(value_counts.count_values(df, names)) as state:
-        moments = {r.column_name: r for r in value_counts.moments_of(state).collect()}      # one row a column
-        medians = value_counts.quantiles_of(state, 0.5)
-        best = {r.column_name: r.whole if r.whole is not None else r.real for r in value_counts.modes_of(state).collect()}
-    rows = max((r.rows for r in moments.values()), default=0)
-    spread = [moments[stddev_of].stddev if stddev_of in moments else None] if stddev_of else []
-
-    def shown(value):
-        return None if value is None else float(value)
-    table = [(c, rows, *spread, moments[c].mean if c in moments else None, medians.get(c), shown(best.get(c))) for c in columns]
+        found = value_counts.summary_of(state)                       # one entry a column
+    rows = max((r["rows"] for r in found.values()), default=0)
+    spread = [found.get(stddev_of, {}).get("stddev")] if stddev_of else []
+    table = [(c, rows, *spread, *(found.get(c, {}).get(k) for k in ("mean", "quantile", "mode"))) for c in columns]
     fields = "column_name string, record_count bigint" + (f", {quote(stddev_of + '_stddev')} double" if stddev_of else "")
     out = df.sparkSession.createDataFrame(table, fields + ", mean double, median double, mode double")
     rounded = [f"{stddev_of}_stddev"] * bool(stddev_of) + ["mean"]

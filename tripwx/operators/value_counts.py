@@ -50,17 +50,24 @@ def _text(value: str) -> str:
 
 def count_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """The state of ``columns``.  NULL is a value (all three are NULL); -0.0
-    counts as 0.0, all NaN as one value."""
-    return _summed(long_values(df, columns).withColumn("n", F.lit(1).cast("long")))
+    counts as 0.0, all NaN as one value.  Rows are counted by the column's
+    number and the kinds that occur; names and empty kinds are put in after."""
+    own = [kind_of(df.schema[c].dataType) for c in columns]
+    kinds = [k for k in KINDS if k in own]
 
-
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("column_name", *KINDS).agg(F.sum("n").alias("n"))
+    def row(i, c):
+        return ", ".join([str(i), *(f"CAST({quote(c)} AS {KINDS[k]})" if k == own[i] else f"CAST(NULL AS {KINDS[k]})" for k in kinds)])
+    stacked = df.selectExpr(f"stack({len(columns)}, {', '.join(row(i, c) for i, c in enumerate(columns))}) AS (at, {', '.join(kinds)})")
+    counted = stacked.groupBy("at", *kinds).agg(F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return counted.select(F.element_at(names, F.col("at") + 1).alias("column_name"),
+                          *[F.col(k) if k in kinds else F.lit(None).cast(t).alias(k) for k, t in KINDS.items()], "n")
 
 
 def merge_counts(states: Iterable[DataFrame]) -> DataFrame:
     """One state of several, over disjoint rows."""
-    return _summed(functools.reduce(DataFrame.unionByName, states))
+    rows = functools.reduce(DataFrame.unionByName, states)
+    return rows.groupBy("column_name", *KINDS).agg(F.sum("n").alias("n"))
 
 
 def _number() -> Column:
@@ -99,37 +106,52 @@ def moments_of(state: DataFrame) -> DataFrame:
         "column_name", "rows", F.coalesce("values", F.lit(0)).alias("values"), "mean", stddev.alias("stddev"))
 
 
-def quantiles_of(state: DataFrame, p: float, max_sort_values: int = MAX_SORT_VALUES) -> dict[str, float]:
-    """Column -> the least number v with cume_dist(v) >= p; NULL and NaN are
-    left out, as are columns without numbers.
-
-    Equal-width buckets between the least and the largest finite number (one
-    row per column and bucket to the driver) name the bucket that holds rank
-    ceil(p * n).  Its values are summed up in order: in one task, or, if
-    the bucket holds more than ``max_sort_values`` values, by ranges."""
+def _ends(state: DataFrame) -> DataFrame:
+    """(column_name, rows, values, total, lo, hi, best) in one aggregate: all
+    rows, those with a number, their sum, the finite range and the largest
+    count of a value."""
     x = _number()
-    rows = state.filter(x.isNotNull() & ~F.isnan(x)).select("column_name", x.alias("x"), "n")
-    finite = F.when(F.abs("x") != float("inf"), F.col("x"))
-    ends = rows.groupBy("column_name").agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"))
+    finite = F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+    return state.groupBy("column_name").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(x.isNotNull(), F.col("n"))), F.lit(0)).alias("values"),
+        F.sum(x * F.col("n")).alias("total"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+        F.max(F.when(_valued(), F.col("n"))).alias("best"))
+
+
+def _buckets(state: DataFrame, ends: list) -> list:
+    """One row per column and equal-width bucket: rows, values, range, the
+    squares of the distances to the column's mean, and the smallest value that
+    has the column's largest count.  Infinities have buckets of their own, NaN one apart."""
+    known = state.sparkSession.createDataFrame(
+        [(r.column_name, r.lo, r.hi, r.total / r["values"] if r["values"] else None, r.best) for r in ends],
+        "column_name string, lo double, hi double, mean double, best bigint")
+    rows = state.select("column_name", _number().alias("x"), "n", *KINDS).join(F.broadcast(known), "column_name")
     width = F.col("hi") / BUCKETS - F.col("lo") / BUCKETS
     place = F.floor((F.col("x") - F.col("lo")) / F.when(width > 0, width))
-    bucket = (F.when(F.col("x") == float("-inf"), -1).when(F.col("x") == float("inf"), BUCKETS)
+    bucket = (F.when(F.isnan("x"), BUCKETS + 1).when(F.col("x") == float("-inf"), -1).when(F.col("x") == float("inf"), BUCKETS)
               .otherwise(F.coalesce(F.least(place, F.lit(BUCKETS - 1)), F.lit(0))))
-    placed = rows.join(F.broadcast(ends), "column_name")
-    stats = placed.groupBy("column_name", bucket.alias("bucket")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("values"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    off = F.col("x") - F.col("mean")
+    mode = F.when((F.col("n") == F.col("best")) & _valued(), F.col("x"))
+    return rows.filter(F.col("x").isNotNull()).groupBy("column_name", bucket.alias("bucket")).agg(
+        F.sum("n").alias("n"), F.count("*").alias("values"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+        F.sum(off * off * F.col("n")).alias("squares"), F.min(mode).alias("mode")).collect()
+
+
+def _quantiles(state: DataFrame, buckets: list, p: float, max_sort_values: int) -> dict[str, float]:
+    """The bucket that holds rank ceil(p * n) of each column, and in it the value."""
     found, targets = {}, {}
-    for name in {r.column_name for r in stats}:
-        own = sorted((r for r in stats if r.column_name == name), key=lambda r: r.lo)
+    for name in {r.column_name for r in buckets}:
+        own = sorted((r for r in buckets if r.column_name == name and r.bucket <= BUCKETS), key=lambda r: r.lo)
         need = max(1, -int(-round(p * sum(r.n for r in own), 9) // 1))
         for r in own:
             if need <= r.n:
                 break
             need -= r.n
-        if r.values == 1:
+        if own and r["values"] == 1:
             found[name] = r.lo
-        else:
-            targets[name] = (r.lo, r.hi, need, r.values)
+        elif own:
+            targets[name] = (r.lo, r.hi, need, r["values"])
+    rows = state.select("column_name", _number().alias("x"), "n").filter(F.col("x").isNotNull() & ~F.isnan("x"))
     for large in (False, True):
         some = {c: t for c, t in targets.items() if (t[3] > max_sort_values) == large}
         if some:
@@ -139,6 +161,35 @@ def quantiles_of(state: DataFrame, p: float, max_sort_values: int = MAX_SORT_VAL
     return found
 
 
+def quantiles_of(state: DataFrame, p: float, max_sort_values: int = MAX_SORT_VALUES) -> dict[str, float]:
+    """Column -> the least number v with cume_dist(v) >= p; NULL and NaN are
+    left out, as are columns without numbers.
+
+    Equal-width buckets between the least and the largest finite number (one
+    row per column and bucket to the driver) name the bucket that holds rank
+    ceil(p * n).  Its values are summed up in order: in one task, or, if
+    the bucket holds more than ``max_sort_values`` values, by ranges."""
+    return _quantiles(state, _buckets(state, _ends(state).collect()), p, max_sort_values)
+
+
+def summary_of(state: DataFrame, p: float = 0.5, max_sort_values: int = MAX_SORT_VALUES) -> dict[str, dict]:
+    """Column -> rows, mean, stddev, quantile, mode (as a double) and
+    mode_count, from three walks over the state: ends, buckets, target buckets."""
+    ends = _ends(state).collect()
+    buckets = _buckets(state, ends)
+    quantiles = _quantiles(state, buckets, p, max_sort_values)
+    out = {}
+    for r in ends:
+        own = [b for b in buckets if b.column_name == r.column_name]
+        many = r["values"]
+        out[r.column_name] = {
+            "rows": r.rows, "mean": r.total / many if many else None,
+            "stddev": (sum(b.squares for b in own) / (many - 1)) ** 0.5 if many > 1 else None,
+            "quantile": quantiles.get(r.column_name), "mode_count": r.best,
+            "mode": min((b["mode"] for b in own if b["mode"] is not None), default=None)}
+    return out
+
+
 def _ranked(rows: DataFrame, need: dict[str, int], by_range: bool) -> dict[str, float]:
     """Column -> the value that holds rank ``need`` among ``rows`` (column_name, x, n)."""
     spark = rows.sparkSession
