@@ -168,3 +168,23 @@ def test_two_writers_and_a_half_written_commit(spark, tmp_dir):
     versions._create(spark, f"{tmp_dir}/commits/{3:012d}", '{"number": 3, "folder": "nowhere"')
     assert numbers(spark, tmp_dir) == [0, 1, 2]
     assert versions.orphans(spark, tmp_dir) == [theirs]
+
+
+def test_paths_of_all_kinds():
+    """Names inside a store; one connection a place."""
+    made = []
+
+    class Stores:
+        LocalFileSystem = staticmethod(lambda: "local")
+
+        class FileSystem:
+            @staticmethod
+            def from_uri(uri):
+                made.append(uri)
+                return uri.split("/")[2], None
+    stores = {}
+    ask = ["file:/a/b c.parquet", "/a/b.parquet", "file:///a/b.parquet", "s3a://bucket/x/y=1/z", "s3://bucket/k", "hdfs://host:8020/p/q"]
+    assert [catalogue._opened(Stores, stores, p) for p in ask] == [
+        ("local", "/a/b c.parquet"), ("local", "/a/b.parquet"), ("local", "/a/b.parquet"),
+        ("bucket", "bucket/x/y=1/z"), ("bucket", "bucket/k"), ("host:8020", "/p/q")]
+    assert made == ["s3://bucket/x/y=1/z", "hdfs://host:8020/p/q"]

@@ -62,6 +62,18 @@ def _schema_of(footer) -> str:
     return json.dumps([[f.name, _spark_type(f, flat.get(f.name))] for f in footer.schema.to_arrow_schema()])
 
 
+def _opened(fs, stores: dict, path: str):
+    """The file system of a path, kept in ``stores`` by place, and the file's name in it."""
+    scheme, _, rest = path.partition("://") if "://" in path else ("file", "", path.removeprefix("file:"))
+    if scheme == "file":
+        return stores.setdefault("file", fs.LocalFileSystem()), "/" + rest.lstrip("/")
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    place, _, key = rest.partition("/")
+    if (scheme, place) not in stores:
+        stores[scheme, place] = fs.FileSystem.from_uri(f"{scheme}://{place}/{key}")[0]
+    return stores[scheme, place], f"/{key}" if scheme == "hdfs" else f"{place}/{key}"
+
+
 def _read_footers(batches):
     """Adds a file's footer to its row; what cannot be opened says why."""
     from pyarrow import fs, parquet
@@ -71,14 +83,7 @@ def _read_footers(batches):
         out = []
         for path in batch.column("path").to_pylist():
             try:
-                scheme, _, rest = path.partition(":") if ":" in path.split("/")[0] else ("file", "", path)
-                if scheme == "file":
-                    store, name = stores.setdefault("file", fs.LocalFileSystem()), "/" + rest.lstrip("/")
-                else:
-                    place = path.split("/")[2]
-                    store, name = fs.FileSystem.from_uri(path) if (scheme, place) not in stores else (
-                        stores[scheme, place], path.split("://", 1)[1])
-                    stores.setdefault((scheme, place), store)
+                store, name = _opened(fs, stores, path)
                 with store.open_input_file(name) as file:
                     footer = parquet.read_metadata(file)
                 out.append((footer.num_rows, footer.num_row_groups, _schema_of(footer), None))
