@@ -574,6 +574,45 @@ def test_licence_names(spark):
     assert {x: got[i] for i, x in enumerate(made)} == made
 
 
+def _variants(parsed):
+    """Strings of a pattern: every branch, optional words left out."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(arg)]
+        elif op == "ANY":
+            more = ["x"]
+        elif op == "IN":
+            first, value = arg[0]
+            more = [chr(value[0] if str(first) == "RANGE" else value)]
+        elif op == "SUBPATTERN":
+            more = _variants(arg[-1])
+        elif op == "BRANCH":
+            more = [x for branch in arg[1] for x in _variants(branch)]
+        else:
+            assert op == "MAX_REPEAT"
+            least, _, inner = arg
+            least = max(least, str(inner[0][0]) == "ANY")
+            more = [x * least for x in _variants(inner)] if least else [""]
+        out = list(dict.fromkeys(a + b for a in out for b in more))
+    return out
+
+
+def test_every_licence_sentence_is_scanned(spark):
+    made = [(name, x) for name, pattern in license_scan.SENTENCES for x in _variants(re._parser.parse(pattern))]
+    # the same words parted by signs and line ends, in capitals
+    made += [(name, x.upper().replace(" ", "_ ")) for name, x in made] + [(name, x.replace(" ", "\r\n")) for name, x in made]
+    df = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(made)], "doc_id int, text string")
+    missed = [made[r.doc_id] for r in license_scan.scan(df).collect() if not r.sentence_ids]
+    assert not missed
+    plain = ["Released under MIT.", "Available under Apache 2.0", "This program is distributed under the GPL v3.",
+             "Released under CC BY-SA 4.0", "released under MPL 2.0"]
+    df = spark.createDataFrame(list(enumerate(plain)), "doc_id int, text string")
+    got = {r.doc_id: ",".join(r.licences) for r in license_scan.scan(df).collect()}
+    assert [got[i] for i in range(5)] == ["MIT", "Apache-2.0", "GPL", "CC-BY-SA-4.0", "MPL-2.0"]
+
+
 def test_licence_lines_of_the_table(spark, texts):
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
              "This work is licensed under the GNU General Public License, version 3.": "GPL",

@@ -9,8 +9,8 @@ identifiers it matches, so a longer licence listed first is not reported
 again by the shorter rules below it.
 
 Everything is Column expressions over one pass of the documents.  Texts
-without any of the key words that every known sentence holds are not cut
-up at all.
+without any of the key words of which every known sentence holds one are not
+cut up at all: they cannot hold a known sentence.
 
 Defined results: a sentence of open end takes the unknown lines that follow
 it up to the next sentence mark or blank line, if none of them is known; a null, empty or unlicensed text has an empty list;
@@ -140,8 +140,9 @@ RULES = (
     ("CC0-1.0", "spdx_cc0"),
     ("Unlicense", "spdx_unlicense"),
 )
-#: Every sentence pattern holds one of these.
-KEYS = r"(?i)licen[sc]e|permission|copyright|redistribut|warranty|endorse|cc0|unencumbered|rights\W+reserved"
+#: Every text that holds a known sentence, however its words are parted, holds one of these.
+KEYS = (r"(?i)licen[sc]e|permission|copyright|redistribut|warranty|endorse|cc0|unencumbered|rights[^a-z0-9]+reserved"
+        r"|(?:released|available|distributed)[^a-z0-9]+under")
 
 
 # Ends of pieces in a prepared text: SOFT, a line end that a sentence may run
