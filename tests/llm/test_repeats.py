@@ -143,3 +143,34 @@ def test_a_lost_conversation_is_caught(spark, monkeypatch):
     assert {r.conv_id: r.same for r in chat_format.format_conversations(turns, strict=False).collect()} == {1: False, 2: True}
     with pytest.raises(PySparkException, match="lost in its formatted text: 1"):
         chat_format.digest(chat_format.format_conversations(turns)).collect()
+
+
+def test_near_copies_open_few_groups(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        for at in rng.sample(range(60), 2):
+            words[at] = f"v{rng.randrange(3)}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    opened = []
+
+    def cut(df, label, write=jaccard_join.cut):
+        out = write(df, label)
+        if label == "opens":
+            opened.append(out.count())
+        return out
+    monkeypatch.setattr(jaccard_join, "cut", cut)
+    found = {r.doc_id: r.component_id for r in jaccard_join.join_components(df, 3, 80, 100).collect()}
+    sets = [{tuple(w[i:i + 3]) for i in range(58)} for w in map(str.split, texts)]
+    part = list(range(300))
+    for _ in range(300):                         # least id reachable, to a fixed point
+        new = [min(part[j] for j in range(300) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])) for i in range(300)]
+        if new == part:
+            break
+        part = new
+    assert found == dict(enumerate(part))
+    # looks at a group: with a cluster's groups they would grow with the square of its size
+    assert opened[0] < 6 * len(set(texts)), opened

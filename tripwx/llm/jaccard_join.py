@@ -9,9 +9,11 @@ component.  Equal sets are one node.  The steps:
    shingles (its head) take part in the search: two linked sets share
    ``DEEP`` shingles of both heads (all they have in common, if that is less).
 2. Shingles in the heads of two nodes or more are the tokens.  A node's group
-   is its least token by hash, so similar nodes fall into one group; the
-   matrix holds, per token, the groups whose members have it.  A node looks
-   at a group only if their heads share ``DEEP`` tokens.
+   is its least token by hash, of those at least half as frequent as its
+   middle one, so similar nodes fall into one group, also in a large cluster;
+   the matrix holds, per token, the groups whose members have it.  A node
+   looks at a group only if their heads share ``DEEP`` tokens; nodes of one
+   size with the same tokens ask the matrix once, together.
 3. A cell stores the union of its members' shingles; a query opens it only if
    its overlap with that union reaches ``num / den`` of the query, and only
    then single members are counted, exactly.  A group of bounded size is one
@@ -290,21 +292,33 @@ def find_links(texts: DataFrame, heads: DataFrame, size: int, num: int, den: int
     rows = heads.select("head", "lo", "hi", "n").mapInArrow(
         _tokens(words, num, den), "token bigint, lo bigint, hi bigint, n bigint")
     rows = cut(rows.join(shared, "token").distinct(), "tokens")
-    # token values are ordered by frequency: hash them so that the least one is an even choice
-    group = rows.groupBy("lo", "hi", "n").agg(F.min(F.xxhash64("token")).alias("own"))
+    # a node's group: the least hash of its tokens, of those about as frequent as its middle one, so that
+    # what tells near copies apart does not part them; nodes of one size with the same tokens are one kind,
+    # named by two hashes over them
+    often = rows.join(rows.groupBy("token").agg(F.count("*").alias("f")), "token")
+    node = often.groupBy("lo", "hi", "n").agg(
+        F.sort_array(F.collect_list(F.struct("f", F.xxhash64("token").alias("h")))).alias("all"),
+        *[F.bit_xor(F.xxhash64(F.lit(k), "token")).alias(f"k{k}") for k in (0, 1)])
+    middle = F.get("all", F.floor(F.size("all") / 2).cast("int"))["f"]
+    own = F.array_min(F.transform(F.filter("all", lambda x: x["f"] * 2 >= middle), lambda x: x["h"]))
+    node = cut(node.select("lo", "hi", "n", own.alias("own"), "k0", "k1"), "nodes")
     # the matrix: token x group, with how many members have the token and their sizes
-    cells = rows.join(group, ["lo", "hi", "n"])
-    matrix = cells.groupBy("token", F.col("own").alias("g")).agg(
+    matrix = rows.join(node, ["lo", "hi", "n"]).groupBy("token", F.col("own").alias("g")).agg(
         F.count("*").alias("m"), F.min("n").alias("small"), F.max("n").alias("large"))
-    hits = cells.join(matrix, "token").filter(
+    # the nodes of a kind have the same cells: one of them asks for all
+    one = node.groupBy("n", "own", "k0", "k1").agg(F.min(F.struct("lo", "hi")).alias("one")).select(
+        "n", "own", "k0", "k1", "one.lo", "one.hi")
+    hits = rows.join(one, ["lo", "hi", "n"]).join(matrix, "token").filter(
         ((F.col("g") != F.col("own")) | (F.col("m") > 1))
         & (F.col("large") * den >= F.col("n") * num) & (F.col("small") * num <= F.col("n") * den))
     asked = F.least(F.lit(DEEP), F.ceil(F.col("n") * num / den))
-    opens = hits.groupBy("lo", "hi", "n", "own", "g").agg(F.count("*").alias("overlap")).filter(F.col("overlap") >= asked)
+    opens = hits.groupBy("n", "own", "k0", "k1", "g").agg(F.count("*").alias("overlap")).filter(F.col("overlap") >= asked)
     opens = cut(opens.drop("overlap"), "opens")
     # members of the groups (side 0) and their visitors (side 1), still without their sets
-    roles = opens.select("lo", "hi", "n", F.col("own").alias("g"), F.lit(0).alias("side")).distinct().unionByName(
-        opens.filter("g < own").select("lo", "hi", "n", "g", F.lit(1).alias("side")))
+    kind = ["n", "own", "k0", "k1"]
+    asks = opens.select(*kind, F.col("own").alias("g"), F.lit(0).alias("side")).distinct().unionByName(
+        opens.filter("g < own").select(*kind, "g", F.lit(1).alias("side")))
+    roles = node.join(asks, kind).select("lo", "hi", "n", "g", "side")
     groups = roles.groupBy("g").agg(
         F.count("*").alias("rows"), F.sum(F.col("n") * 8).alias("bytes"),
         F.min(F.when(F.col("side") == 0, F.struct("lo", "hi"))).alias("lead")).filter("rows > 1")
