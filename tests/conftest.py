@@ -13,6 +13,13 @@ def spark():
     yield s
 
 
+@pytest.fixture(autouse=True, scope="module")
+def _uncached(spark):
+    """What the tests of one file cache is gone when the next file begins."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_dir(spark):
     from tripwx.session import scratch_path
