@@ -45,11 +45,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwx.llm import bitmap
-from tripwx.llm.store import cut
+from tripwx.llm.store import cut, drop
 from tripwx.llm.text import LOWER, SPACE, edges, mix, pieces, word_hashes
 
 DEPTH = 2
@@ -59,9 +59,15 @@ MIN_SEEN = 2
 FLUSH = 3_000_000
 ID_BITS = 21                            # three word ids make one positive long
 MAP_BITS = 26
+REGIONS = 64
+REGION_BITS = MAP_BITS - 6
 ONE = (1 << ID_BITS) - 1
 RARE = np.int64(-1 << 63)               # the sign of a key that is a hash, not word ids
-PAIR, CONTEXT, THREE = (np.uint64(x) for x in (0x51A7, 0xC0D3, 0x7F4B))
+PAIR, CONTEXT = (np.uint64(x) for x in (0x51A7, 0xC0D3))
+HEAD = RARE                             # from here on, less than ONE + 1 up: a context's head row, in place of a symbol
+COUNTS, TRIPLES, STATES, ASK, ANSWER, ROWS, WORDS, TAILS, CONTEXTS = range(9)
+FIELDS = ("steps", "sizes", "codes", "wide", "counts", "low")
+BLOCK = "bucket int, kind int, origin bigint, " + ", ".join(f"{n} binary" for n in FIELDS)
 BOUNDARY = np.int64(0x1E4D0F7E87)      # the hash that stands for the end of a text
 
 
@@ -90,12 +96,17 @@ def _merge(keys: list, counts: list):
 
 
 def _thin(x: np.ndarray) -> bytes:
-    """Whole numbers byte plane by byte plane, which compresses well if they are small."""
-    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Whole numbers byte plane by byte plane, as many planes as they need
+    (said by the first byte), which compresses well if they are small."""
+    planes = 8 if not len(x) or x.min() < 0 else max(1, (int(x.max()).bit_length() + 7) // 8)
+    return bytes([planes]) + x.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
 
 
 def _thick(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :raw[0]] = planes.T
+    return out.view(np.int64).ravel()
 
 
 def _packed(key, count, buckets):
@@ -152,10 +163,14 @@ def _gather(least):
     return run
 
 
+def _parts(texts: DataFrame) -> int:
+    return int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def count_keys(texts: DataFrame, of, least: int = 1) -> DataFrame:
     """(key, c): how often each key that ``of(bytes, offsets)`` makes stands
     in all texts, if ``least`` times or more."""
-    buckets = 8 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 8 * _parts(texts)
     blocks = texts.mapInArrow(_tally(of, buckets), "bucket int, keys binary, counts binary")
     blocks = blocks.repartition("bucket").sortWithinPartitions("bucket")
     return blocks.mapInArrow(_gather(least), "key bigint, c bigint")
@@ -272,16 +287,10 @@ class Run:
         pair[1:] = _joined(hashes[:-1], hashes[1:], (ids[:-1] >= 0) & (ids[1:] >= 0), (ids[:-1] << ID_BITS) | ids[1:])
         return Run(hashes, begin, ids, np.arange(len(ids)) - np.repeat(begin[:-1], np.diff(begin)), pair)
 
-    def triples(self, at: np.ndarray) -> np.ndarray:
-        """Keys of the triples that end at these positions."""
-        older, ids = self.pair[at - 1], self.ids[at]
-        return _joined(older, self.hashes[at], (older >= 0) & (ids >= 0), (older << ID_BITS) | ids)
-
-    def seen(self, words: np.ndarray) -> np.ndarray:
-        """Positions of the triples both pairs of which may be in the bitmap."""
-        some = bitmap.holds(words, _named(self.pair, PAIR)) & (self.place >= 1)
-        at = np.flatnonzero(some & (self.place >= 2))
-        return at[some[at - 1]]
+    @property
+    def symbols(self) -> np.ndarray:
+        """Word ids, the hashes of rare words in their place."""
+        return np.where(self.ids >= 0, self.ids, self.hashes)
 
 
 def _pair_keys(tree_):
@@ -291,107 +300,301 @@ def _pair_keys(tree_):
     return of
 
 
-def _triple_keys(model):
-    """Keys of the triples of frequent words."""
-    def of(data, off):
-        tree_, words = model.value
-        run = Run.of(Tree.of(*tree_), data, off)
-        keys = run.triples(run.seen(words))
-        return keys[keys >= 0]
-    return of
+def _starts(*sorted_: np.ndarray) -> np.ndarray:
+    """First position of every stretch of equal rows."""
+    change = np.ones(len(sorted_[0]), bool)
+    change[1:] = False
+    for x in sorted_:
+        change[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(change)
 
 
-def _rare_triples(model):
-    """The triples with a rare word: c, the context's key, the ids (-1 for a
-    rare word) of its last word and of the word, and the word's hash."""
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int32)
+
+
+def _dealt(keys: np.ndarray, buckets: int):
+    """(bucket, the positions of its keys in their order) of every bucket with keys."""
+    bucket = _bucket(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    stop = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(stop[1:] > stop[:-1]):
+        yield int(b), order[stop[b]:stop[b + 1]]
+
+
+def _batch(rows: list, ids=None) -> pa.RecordBatch:
+    """Rows (bucket, kind, origin, up to ``FIELDS`` binaries); ``ids``: an
+    array column more."""
+    columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int64()))]
+    columns += [pa.array([r[k] if k < len(r) else None for r in rows], pa.binary()) for k in range(3, 3 + len(FIELDS))]
+    return pa.RecordBatch.from_arrays(columns + ([] if ids is None else [ids]),
+                                      ["bucket", "kind", "origin", *FIELDS] + ([] if ids is None else ["ids"]))
+
+
+def _rows(batches):
+    """(bucket, kind, origin, binaries) of blocks, one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield [batch.column(k)[i].as_py() for k in range(3 + len(FIELDS))]
+
+
+def _pack(context: np.ndarray, symbol: np.ndarray, *numbers: np.ndarray, heads: bool = True) -> list:
+    """Binaries of rows sorted by context: the steps between contexts, their
+    sizes, the symbols in three bytes each, those of rare words whole, and
+    whole numbers.  ``heads``: a context's first row is its head."""
+    first = _starts(context)
+    head = np.zeros(len(context), bool)
+    head[first] = heads
+    code = np.where(head, symbol - HEAD, np.where(symbol.view(np.uint64) < ONE, symbol, ONE))
+    return [_thin(np.diff(context[first], prepend=np.int64(0))), _thin(np.diff(first, append=len(context))), _thin(code),
+            symbol[~head & (code == ONE)].tobytes(), *[_thin(x.astype(np.int64)) for x in numbers]]
+
+
+def _unpack(steps, sizes, codes, wide, *numbers, heads: bool = True) -> list:
+    sizes, symbol = _thick(sizes), _thick(codes)
+    head = np.zeros(len(symbol), bool)
+    head[np.cumsum(sizes) - sizes] = heads
+    symbol[~head & (symbol == ONE)] = np.frombuffer(wide, np.int64)
+    symbol[head] += HEAD
+    return [np.repeat(np.cumsum(_thick(steps)), sizes), symbol, *[_thick(x) for x in numbers if x is not None]]
+
+
+def _add_up(held: list) -> list:
+    """Sorted distinct rows (context, symbol) and their counts; empties the list."""
+    context, symbol, count = [np.concatenate(x) for x in zip(*held)]
+    held.clear()
+    order = np.lexsort((symbol, context))
+    context, symbol, count = context[order], symbol[order], count[order]
+    first = _starts(context, symbol)
+    return [context[first], symbol[first], np.add.reduceat(count, first) if len(first) else count]
+
+
+def _tally_triples(model, buckets):
+    """Counts, by bucket of the context, of the words after the contexts that
+    may be in the bitmap, as far as the pair that the word ends may be too;
+    a context's head row counts all its occurrences, and tells the id of its
+    last word if the key does not."""
     def run(batches):
+        def blocks(rows):
+            for b, at in _dealt(rows[0], buckets):
+                yield _batch([(b, 0, 0, *_pack(*[x[at] for x in rows]))])
+
         tree_, words = model.value
         tree = Tree.of(*tree_)
+        held, size, fresh = [], 0, 0
         for _, data, off in pieces(batches):
             here = Run.of(tree, data, off)
-            at = here.seen(words)
-            keys = here.triples(at)
-            key, first, count = np.unique(keys[keys < 0], return_index=True, return_counts=True)
-            at = at[keys < 0][first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, count, here.pair[at - 1], here.ids[at - 1], here.ids[at], here.hashes[at])],
-                ["key", "c", "context", "last", "word", "hash"])
+            some = bitmap.holds(words, _named(here.pair, PAIR)) & (here.place >= 1)
+            pair = np.flatnonzero(some & (here.hashes != BOUNDARY))      # nothing follows the end
+            three = np.flatnonzero(some & (here.place >= 2))
+            three = three[some[three - 1]]
+            context = np.concatenate([here.pair[pair], here.pair[three - 1]])
+            last = np.where(here.pair[pair] >= 0, 0, here.ids[pair] + 1)
+            held.append([context, np.concatenate([HEAD + last, here.symbols[three]]), np.ones(len(context), np.int64)])
+            fresh += len(context)
+            if size + fresh > FLUSH // 2:
+                held = [_add_up(held)]
+                size, fresh = len(held[0][0]), 0
+                if size > FLUSH // 3:
+                    yield from blocks(held.pop())
+                    size = 0
+        if size + fresh:
+            yield from blocks(_add_up(held))
     return run
 
 
-def _add_names(kind):
+def _by_bucket(batches):
+    """(bucket, its rows) of blocks sorted by bucket; holds one bucket at a time."""
+    last, held = None, []
+    for bucket, *row in _rows(batches):
+        if bucket != last and held:
+            yield last, held
+            held = []
+        last = bucket
+        held.append(row)
+    if held:
+        yield last, held
+
+
+def _gather_triples(batches):
+    """Per bucket its contexts with words seen MIN_SEEN times or more."""
+    for bucket, rows in _by_bucket(batches):
+        context, symbol, count = _add_up([_unpack(*r[2:7]) for r in rows])
+        head = symbol < HEAD + ONE + 1
+        some = head | (count >= MIN_SEEN)
+        context, symbol, count = context[some], symbol[some], count[some]
+        first = _starts(context)
+        sizes = np.diff(first, append=len(context))
+        some = np.repeat(sizes > 1, sizes)
+        if some.any():
+            yield _batch([(bucket, TRIPLES, -1, *_pack(context[some], symbol[some], count[some]))])
+
+
+def _slots(kind):
+    """Blocks, by region of the bitmap, of the bits that the named keys set."""
     def run(batches):
+        def blocks():
+            slot = np.unique(np.concatenate(held))
+            stop = np.searchsorted(slot, np.arange(REGIONS + 1) << REGION_BITS)
+            return _batch([(r, 0, 0, _thin(np.diff(slot[stop[r]:stop[r + 1]], prepend=np.int64(0)))) for r in range(REGIONS) if stop[r] < stop[r + 1]])
+
+        held, size = [], 0
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_named(batch.column("key").to_numpy(), kind).view(np.int64)), batch.column("x")], ["key", "x"])
+            name = _named(batch.column("key").to_numpy(), kind)
+            held.append((name & np.uint64((1 << MAP_BITS) - 1)).view(np.int64))
+            size += len(name)
+            if size > FLUSH:
+                yield blocks()
+                held, size = [], 0
+        if size:
+            yield blocks()
     return run
 
 
-def named(rows: DataFrame, kind: np.uint64) -> DataFrame:
-    """(key, x) with the hashes of the keys."""
-    return rows.mapInArrow(_add_names(kind), "key bigint, x double")
+def _regions(batches):
+    for region, rows in _by_bucket(batches):
+        flags = np.zeros(1 << REGION_BITS, bool)
+        for r in rows:
+            flags[np.cumsum(_thick(r[2])) - (region << REGION_BITS)] = True
+        yield _batch([(region, 0, 0, np.packbits(flags, bitorder="little").tobytes())])
+
+
+def bits(keys: DataFrame, kind: np.uint64) -> np.ndarray:
+    """The bitmap of the named keys; the driver receives its words whole, as
+    many as MAP_BITS says, and the shuffle the steps between its bits."""
+    blocks = keys.select("key").mapInArrow(_slots(kind), BLOCK).repartition("bucket").sortWithinPartitions("bucket")
+    got = blocks.mapInArrow(_regions, BLOCK).select("bucket", "steps").toArrow()
+    words = np.zeros((REGIONS, 1 << (REGION_BITS - 6)), np.uint64)
+    for region, row in zip(got["bucket"].to_pylist(), got["steps"].to_pylist()):
+        words[region] = np.frombuffer(row, np.uint64)
+    return words.ravel()
 
 
-def _below(model):
-    """Adds ``below``: P(word | last word of the context)."""
+def _wants(context: np.ndarray, symbol: np.ndarray):
+    """First row of every context; by row the id of the context's last word
+    (-1 if rare), the key whose count its suffix needs - of a rare word, or of
+    the pair of two words with ids - and whether it needs one."""
+    first = _starts(context)
+    last = np.where(context[first] >= 0, context[first] & ONE, symbol[first] - HEAD - 1)
+    last = np.repeat(last, np.diff(first, append=len(context)))
+    rare = symbol.view(np.uint64) >= ONE
+    want = rare | (last >= 0)
+    want[first] = False
+    return first, last, np.where(rare, symbol, (last << ID_BITS) | symbol), want
+
+
+def _ask(buckets):
+    def run(batches):
+        for bucket, kind, origin, *fields in _rows(batches):
+            *_, key, want = _wants(*_unpack(*fields[:4]))
+            key = np.unique(key[want])
+            yield _batch([(b, ASK, bucket, _thin(np.diff(key[at], prepend=np.int64(0)))) for b, at in _dealt(key, buckets)])
+    return run
+
+
+def _blocks_of(buckets):
+    """Packed counts by bucket of the key."""
     def run(batches):
-        root, totals, rest, discount, total = model.value
         for batch in batches:
-            last, word, pair, alone = [batch.column(n).to_numpy() for n in ("last", "word", "c_pair", "c_word")]
-            p = np.where(word >= 0, root[np.maximum(word, 0)] if len(root) else 0.0, (alone - discount) / total)
-            at = np.flatnonzero(last >= 0)
-            at = at[~np.isnan(rest[last[at]])]
-            own = np.where(pair[at] > 0, (pair[at] - discount) / totals[last[at]], 0.0)
-            p[at] = own + rest[last[at]] * p[at]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, "below"])
+            key, count = batch.column("key").to_numpy(), batch.column("c").to_numpy()
+            order = np.argsort(key)
+            key, count = key[order], count[order]
+            yield _batch([(b, COUNTS, -1, _thin(np.diff(key[at], prepend=np.int64(0))), _thin(count[at])) for b, at in _dealt(key, buckets)])
+    return run
+
+
+def _table(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their counts of a bucket's blocks of counts."""
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, count = [np.concatenate(x) for x in zip(*[(np.cumsum(_thick(r[2])), _thick(r[3])) for r in rows])]
+    order = np.argsort(key)
+    return key[order], count[order]
+
+
+def _answer(batches):
+    """The counts of the keys that each bucket of triples asks for."""
+    for bucket, rows in _by_bucket(batches):
+        key, count = _table([r for r in rows if r[0] == COUNTS])
+        for r in rows:
+            if r[0] == ASK:
+                at = _find(key, np.cumsum(_thick(r[2])))
+                found = np.where(at >= 0, count[np.maximum(at, 0)] if len(count) else 0, 0)
+                yield _batch([(r[1], ANSWER, bucket, _thin(found))])
+
+
+def _shares(context, symbol, count, low, shared):
+    """By context its first row and what it leaves; by row whether it is a
+    transition, its discounted share and its probability in the suffix."""
+    root, totals, rest, discount, total = shared
+    first, last, _, want = _wants(context, symbol)
+    sizes = np.diff(first, append=len(context))
+    real = np.ones(len(context), bool)
+    real[first] = False
+    rare = symbol.view(np.uint64) >= ONE
+    below = np.where(rare, (low - discount) / max(total, 1), root[np.where(rare, 0, symbol)] if len(root) else 0.0)
+    below[first] = 1.0
+    at = np.flatnonzero(real & (last >= 0))
+    at = at[~np.isnan(rest[last[at]])]
+    own = np.where(~rare[at] & (low[at] > 0), (low[at] - discount) / totals[last[at]], 0.0)
+    below[at] = own + rest[last[at]] * below[at]
+    share = np.where(real, (count - discount) / np.repeat(count[first], sizes), 0.0)
+    return first, sizes, real, share, 1 - np.add.reduceat(share, first), below
+
+
+def _retain(model, buckets, min_gain):
+    """The contexts that pass the test, with the counts that the suffixes need."""
+    def run(batches):
+        for bucket, rows in _by_bucket(batches):
+            own = [r for r in rows if r[0] == TRIPLES]
+            if not own:
+                continue
+            context, symbol, count = _unpack(*own[0][2:7])
+            *_, key, want = _wants(context, symbol)
+            asked, back = np.unique(key[want], return_inverse=True)
+            place, found = _bucket(asked, buckets), np.zeros(len(asked), np.int64)
+            for r in rows:
+                if r[0] == ANSWER:
+                    found[place == r[1]] = _thick(r[2])
+            low = np.zeros(len(context), np.int64)
+            low[want] = found[back]
+            first, sizes, real, share, left, below = _shares(context, symbol, count, low, model.value)
+            up = share + np.repeat(left, sizes) * below
+            gain = np.add.reduceat(np.where(real, count * np.log(up / below), 0.0), first)
+            seen = np.add.reduceat(np.where(real, count, 0), first)
+            gain += np.maximum(count[first] - seen, 0) * np.log(np.maximum(left, 1e-12))
+            some = np.repeat(gain >= min_gain, sizes)
+            if some.any():
+                yield _batch([(bucket, STATES, -1, *_pack(context[some], symbol[some], count[some], low[some]))])
     return run
 
 
-def _two_words(texts: DataFrame, tree: Tree, pairs: DataFrame, vocabulary: DataFrame, totals: np.ndarray, total: int,
-               discount: float, min_gain: float, spare: np.ndarray, words: np.ndarray) -> DataFrame:
-    """(key, x): what the retained two-word contexts and their transitions
-    add to a log10 probability, by named key.  Retains their suffixes in
-    ``tree``; ``spare``: what every one-word context leaves."""
+def _heads(batches):
+    """Key and last word's id of every context."""
+    for _, _, _, *fields in _rows(batches):
+        context, symbol = _unpack(*fields[:4])
+        first, last, *_ = _wants(context, symbol)
+        yield pa.RecordBatch.from_arrays([pa.array(context[first]), pa.array(last[first])], ["key", "last"])
+
+
+def _two_words(texts: DataFrame, tree: Tree, counts: DataFrame, totals: np.ndarray, total: int, discount: float,
+               min_gain: float, spare: np.ndarray, words: np.ndarray) -> DataFrame:
+    """The retained two-word contexts, a packed row per bucket of them.
+    Retains their suffixes in ``tree``; ``spare``: what every one-word context
+    leaves; ``counts``: blocks of what rare words and pairs count."""
     spark = texts.sparkSession
-    least = F.col("c") >= MIN_SEEN
+    buckets = _parts(texts)
     model = spark.sparkContext.broadcast((tree.plain(), words))
-    context = F.shiftright("key", ID_BITS)
-    common = count_keys(texts, _triple_keys(model), MIN_SEEN).select(
-        "key", "c", context.alias("context"), context.bitwiseAND(ONE).alias("last"), F.col("key").bitwiseAND(ONE).alias("word"),
-        F.lit(0).cast("long").alias("hash"))
-    rare = texts.mapInArrow(_rare_triples(model), "key bigint, c bigint, context bigint, last bigint, word bigint, hash bigint")
-    rare = rare.groupBy("key").agg(F.sum("c").alias("c"), *[F.min(n).alias(n) for n in ("context", "last", "word", "hash")])
-    seen = pairs.select(F.col("key").alias("context"), F.col("c").alias("total"))
-    rows = cut(common.unionByName(rare.filter(least)).join(seen, "context"), "triples")
-
-    both = (F.col("last") >= 0) & (F.col("word") >= 0)
-    none = F.lit(0).cast("long")
-    parts = [
-        rows.filter(both).withColumn("sub", F.shiftleft("last", ID_BITS).bitwiseOR(F.col("word")))
-            .join(pairs.select(F.col("key").alias("sub"), F.col("c").alias("c_pair")), "sub").drop("sub").withColumn("c_word", none),
-        rows.filter(F.col("word") < 0)
-            .join(vocabulary.select(F.col("key").alias("hash"), F.col("c").alias("c_word")), "hash").withColumn("c_pair", none),
-        rows.filter((F.col("word") >= 0) & (F.col("last") < 0)).withColumns({"c_pair": none, "c_word": none})]
-    names = ["key", "c", "context", "last", "word", "total", "c_pair", "c_word"]
-    rows = parts[0].select(names).unionByName(parts[1].select(names)).unionByName(parts[2].select(names))
-
-    def below(rows):
-        shared = spark.sparkContext.broadcast((tree.root, totals, tree.levels[0].rest, discount, total))
-        return rows.mapInArrow(_below(shared), ", ".join(f"{n} {kind}" for n, kind in rows.dtypes) + ", below double")
-
-    own = (F.col("c") - discount) / F.col("total")
-    up = own + F.col("rest") * F.col("below")
-    each = Window.partitionBy("context")
-    rows = below(rows).withColumn("rest", 1 - F.sum(F.col("c") - discount).over(each) / F.col("total"))
-    gain = F.sum(F.col("c") * F.ln(up / F.col("below"))).over(each) + (
-        F.greatest(F.col("total") - F.sum("c").over(each), F.lit(0)) * F.ln(F.greatest("rest", F.lit(1e-12))))
-    kept = cut(rows.withColumn("gain", gain).filter(F.col("gain") >= min_gain).select(*names, "rest"), "contexts")
-
-    suffix = kept.filter(F.col("last") >= 0).select("last").distinct().toArrow()["last"].to_numpy()
+    rows = texts.mapInArrow(_tally_triples(model, buckets), BLOCK).repartition("bucket").sortWithinPartitions("bucket")
+    triples = cut(rows.mapInArrow(_gather_triples, BLOCK), "triples")
+    asked = counts.unionByName(triples.mapInArrow(_ask(buckets), BLOCK)).repartition("bucket").sortWithinPartitions("bucket")
+    rows = triples.unionByName(asked.mapInArrow(_answer, BLOCK)).repartition("bucket").sortWithinPartitions("bucket")
+    shared = spark.sparkContext.broadcast((tree.root, totals, tree.levels[0].rest, discount, total))
+    states = cut(rows.mapInArrow(_retain(shared, buckets, min_gain), BLOCK), "states")
+    drop(triples)
+    suffix = states.mapInArrow(_heads, "key bigint, last bigint").filter("last >= 0").select("last").distinct().toArrow()["last"].to_numpy()
     tree.levels[0].rest[suffix] = spare[suffix]
-    lifts = below(kept).select("key", F.log10(up / (F.col("rest") * F.col("below"))).alias("x"))
-    left = kept.groupBy(F.col("context").alias("key")).agg(F.log10(F.min("rest")).alias("x"))
-    return cut(named(lifts, THREE).unionByName(named(left, CONTEXT)), "lifts")
+    return states
 
 
 def _chain(tree: Tree, depth: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -418,17 +621,19 @@ def _suffix(tree: Tree, depth: int, context: np.ndarray) -> np.ndarray:
     return _find(tree.levels[depth - 3].keys, (_suffix(tree, depth - 1, older) << ID_BITS) | word)
 
 
-def _lifts(model):
-    """key, context, lift (log10) and gain (nats) of transitions counted ``c`` times."""
+def _ups(key, c, root, totals, rest, discount) -> np.ndarray:
+    """How many times likelier transitions counted ``c`` times are than in the root."""
+    context, below = key >> ID_BITS, root[key & ONE]
+    return ((c - discount) / totals[context] + rest[context] * below) / below
+
+
+def _gains(model):
+    """Context and gain (nats) of transitions counted ``c`` times."""
     def run(batches):
-        root, totals, rest, discount = model.value
         for batch in batches:
             key, c = batch.column("key").to_numpy(), batch.column("c").to_numpy()
-            context, below = key >> ID_BITS, root[key & ((1 << ID_BITS) - 1)]
-            up = ((c - discount) / totals[context] + rest[context] * below) / below
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(context), pa.array(np.log10(up / rest[context])), pa.array(c * np.log(up))],
-                ["key", "context", "lift", "gain"])
+                [pa.array(key >> ID_BITS), pa.array(c * np.log(_ups(key, c, *model.value)))], ["context", "gain"])
     return run
 
 
@@ -452,11 +657,9 @@ class Tails:
         return out
 
     def gain(self, rest: np.ndarray) -> np.ndarray:
-        """Nats that the transitions gain by context; then ``lifts`` (key,
-        lift) is what each adds to a log10 probability."""
+        """Nats that the transitions gain by context."""
         model = self.pairs.sparkSession.sparkContext.broadcast((self.root, self.totals, rest, self.discount))
-        rows = self.pairs.mapInArrow(_lifts(model), "key bigint, context bigint, lift double, gain double")
-        self.lifts = rows.select("key", "lift")
+        rows = self.pairs.mapInArrow(_gains(model), "context bigint, gain double")
         return self._by_context(rows.groupBy("context").agg(F.sum("gain").alias("gain")), "gain")[0]
 
 
@@ -486,10 +689,11 @@ def _level(tree: Tree, depth: int, keys, counts, totals, discount: float, min_ga
 
 def fit(texts: DataFrame, vocabulary: DataFrame, words: np.ndarray, counts: np.ndarray, total: int, discount: float,
         depth: int = DEPTH, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN):
-    """The tree, its tails, the lookups of two-word contexts (None at depth
-    1) and the bitmap of the pairs.  ``texts``: one binary column of training
-    texts; ``words`` (sorted) and ``counts``: the frequent ones of their
-    ``total`` symbols; ``vocabulary``: all of them (key, c)."""
+    """The tree, blocks of the counts of rare words and of pairs, the states
+    of two-word contexts (None at depth 1) and the bitmap of the pairs.
+    ``texts``: one binary column of training texts; ``words`` (sorted) and
+    ``counts``: the frequent ones of their ``total`` symbols; ``vocabulary``:
+    the others (key, c)."""
     if depth not in (1, 2):
         raise ValueError("depth is 1 or 2")
     spark = texts.sparkSession
@@ -504,18 +708,50 @@ def fit(texts: DataFrame, vocabulary: DataFrame, words: np.ndarray, counts: np.n
     order = np.argsort(keys)
     level, rest = _level(tree, 1, keys[order], seen[order].astype(float), totals, discount, min_gain, tails)
     tree.levels.append(level)
-    held = bitmap.build(named(pairs.select("key", F.lit(0.0).alias("x")), PAIR), "key", MAP_BITS)
-    lifts = _two_words(texts, tree, pairs, vocabulary, totals, total, discount, min_gain, rest, held) if depth == 2 else None
-    return tree, tails, lifts, held
+    held = bits(pairs, PAIR)
+    blocks = vocabulary.unionByName(known).mapInArrow(_blocks_of(_parts(texts)), BLOCK)
+    states = _two_words(texts, tree, blocks, totals, total, discount, min_gain, rest, held) if depth == 2 else None
+    return tree, totals, blocks, states, held
 
 
-def _score(model):
-    """Figures per row over its frequent words, and the keys of its other
-    words and of the transitions and contexts that the broadcast does not hold."""
+def _listed(key: np.ndarray, row: np.ndarray, buckets: int):
+    """Blocks of the rows that hold each key."""
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    for b, at in _dealt(key, buckets):
+        first = _starts(key[at])
+        yield b, [_thin(np.diff(key[at][first], prepend=np.int64(0))), _thin(np.diff(first, append=len(at))), None, None,
+                  _thin(row[at].astype(np.int64))]
+
+
+def _requests(held: list, origin: int, ids, buckets: int):
+    """Blocks of a stretch of rows, ``origin`` its first: their figures, and
+    by bucket of the key what they look up; empties the list."""
+    tokens, log, base, known, word, word_row, pair, pair_row, context, symbol, row = [np.concatenate(x) for x in zip(*held)]
+    held.clear()
+    none = pa.nulls(1, pa.list_(ids.type))
+    yield _batch([(origin % buckets, ROWS, origin, _thin(tokens), log.tobytes(), base.tobytes(), _thin(known))],
+                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids))
+    for kind, key, at in ((WORDS, word, word_row), (TAILS, pair, pair_row)):
+        for b, fields in _listed(key, at, buckets):
+            yield _batch([(b, kind, origin, *fields)], none)
+    order = np.lexsort((symbol, context))            # stable: rows stay in order
+    context, symbol, row = context[order], symbol[order], row[order]
+    for b, at in _dealt(context, buckets):
+        first = _starts(context[at], symbol[at])
+        some = at[first]
+        yield _batch([(b, CONTEXTS, origin, *_pack(context[some], symbol[some], np.diff(first, append=len(at)), row[at], heads=False))], none)
+
+
+def _score(model, buckets):
+    """Per stretch of rows their figures over the frequent words, and blocks of
+    their other words and of the transitions and contexts that the broadcast
+    does not hold."""
     def run(batches):
         tree_, counts, pairs, retained = model.value
         tree = Tree.of(*tree_)
         logs = np.log10(counts + 1.0)
+        held, ids_, origin, size, texts = [], [], None, 0, 0
         for rows, data, off in pieces(batches):
             here = Run.of(tree, data, off)
             hashes, begin, ids = here.hashes, here.begin, here.ids
@@ -531,33 +767,131 @@ def _score(model):
             rare[begin[:-1]] = False
             rare = np.flatnonzero(rare)
             at, pair = tree.tails(ids, begin, pairs)
-            key, at = [hashes[rare], pair], [rare, at]
+            three = np.zeros(0, np.int64)
             if retained is not None:
                 three = np.flatnonzero(here.place >= 2)
-                name = _named(here.pair[three - 1], CONTEXT)
-                some = bitmap.holds(retained, name)
-                three, name = three[some], name[some]
-                key.append(name.view(np.int64))
-                at.append(three)
-                name = _named(here.triples(three), THREE)
-                some = bitmap.holds(retained, name)
-                key.append(name[some].view(np.int64))
-                at.append(three[some])
-            key = np.concatenate(key)
-            owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))[np.concatenate(at)]
-            order = np.lexsort((key, owner))
-            o, h = owner[order], key[order]
-            fresh = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (h[1:] != h[:-1])])) if len(o) else np.zeros(0, np.int64)
-            times = np.diff(np.concatenate([fresh, [len(o)]])) if len(o) else np.zeros(0, np.int64)
-            stops = np.searchsorted(o[fresh], np.arange(len(begin))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(1), rows.column(2), pa.array(np.diff(begin) - 1), *[pa.array(x) for x in sums],
-                 pa.ListArray.from_arrays(pa.array(stops), pa.array(h[fresh])),
-                 pa.ListArray.from_arrays(pa.array(stops), pa.array(times))],
-                ["doc_id", "row", "n_tokens", "head_log", "head_base", "head_known", "rare", "times"])
+                three = three[bitmap.holds(retained, _named(here.pair[three - 1], CONTEXT))]
+            owner = (np.repeat(np.arange(len(begin) - 1), np.diff(begin)) + texts).astype(np.int32)
+            held.append([np.diff(begin) - 1, *sums, hashes[rare], owner[rare], pair, owner[at],
+                         here.pair[three - 1], here.symbols[three], owner[three]])
+            ids_.append(rows.column(1))
+            origin = rows.column(2)[0].as_py() if origin is None else origin
+            size, texts = size + rows.num_rows + len(rare) + len(at) + len(three), texts + rows.num_rows
+            if size > FLUSH // 2:
+                yield from _requests(held, origin, pa.concat_arrays(ids_), buckets)
+                held, ids_, origin, size, texts = [], [], None, 0, 0
+        if held:
+            yield from _requests(held, origin, pa.concat_arrays(ids_), buckets)
+    return run
+
+
+class Bucket:
+    """The counts and the states of a bucket, to look up."""
+
+    def __init__(self, blocks: list, shared: tuple):
+        self.shared = shared
+        self.key, self.count = _table([r for r in blocks if r[0] == COUNTS])
+        self.context = self.triple = np.zeros(0, np.int64)
+        for r in blocks:
+            if r[0] == STATES:
+                context, symbol, count, low = _unpack(*r[2:8])
+                first, sizes, real, share, left, below = _shares(context, symbol, count, low, shared)
+                self.context, self.left = context[first], np.log10(left)
+                context, symbol, below, left = context[real], symbol[real], below[real], np.repeat(left, sizes)[real]
+                triple = _joined(context, symbol, False, 0)
+                order = np.argsort(triple)
+                self.triple, self.lift = triple[order], np.log10((share[real] + left * below) / (left * below))[order]
+
+    def sums(self, kind: int, fields: list) -> list:
+        """Row -> what the looked up adds to log, base and known."""
+        root, totals, rest, discount, total = self.shared
+        if kind == CONTEXTS:
+            context, symbol, times, row = _unpack(*fields, heads=False)
+            at = _find(self.context, context)
+            row = row[np.repeat(at >= 0, times)]
+            context, symbol, times, at = [x[at >= 0] for x in (context, symbol, times, at)]
+            log = self.left[at] if len(at) else np.zeros(0)
+            at = _find(self.triple, _joined(context, symbol, False, 0))
+            log[at >= 0] += self.lift[at[at >= 0]] if len(self.triple) else 0.0
+            return [np.bincount(row, np.repeat(log, times)), None, None]
+        key, sizes, row = np.cumsum(_thick(fields[0])), _thick(fields[1]), _thick(fields[4])
+        at = _find(self.key, key)
+        row = row[np.repeat(at >= 0, sizes)]
+        key, sizes, count = key[at >= 0], sizes[at >= 0], self.count[at[at >= 0]]
+        if kind == TAILS:
+            lift = np.log10(_ups(key, count, root, totals, rest, discount) / rest[key >> ID_BITS])
+            return [np.bincount(row, np.repeat(lift, sizes)), None, None]
+        return [np.bincount(row, np.repeat(x, sizes)) for x in (np.log10((count - discount) / total), np.log10(count + 1.0), np.ones(len(count)))]
+
+
+def _sum(parts: list) -> np.ndarray:
+    """Sum of vectors of any lengths."""
+    out = np.zeros(max([len(x) for x in parts if x is not None], default=0))
+    for x in parts:
+        if x is not None:
+            out[:len(x)] += x
+    return out
+
+
+def _look_up(model):
+    """Per bucket and stretch of rows, the sums of what its blocks look up;
+    rows come sorted by bucket, the bucket's own blocks (origin -1) first."""
+    def run(batches):
+        shared = model.value
+        last, own, bucket = None, [], None
+        stretch, sums = None, []
+
+        def done():
+            log, base, known = [_thin(_sum(x).view(np.int64)) for x in zip(*sums)]
+            return _batch([(0, ANSWER, stretch, None, log, base, known)], pa.nulls(1, kind_of))
+        for batch in batches:
+            kind_of = batch.schema.field("ids").type
+            for i in range(batch.num_rows):
+                b, kind, origin, *fields = [batch.column(k)[i].as_py() for k in range(3 + len(FIELDS))]
+                if (b, origin) != (last, stretch) and sums:
+                    yield done()
+                    sums = []
+                if b != last:
+                    last, own, bucket = b, [], None
+                stretch = origin
+                if origin < 0:
+                    own.append([kind, origin, *fields])
+                elif kind == ROWS:
+                    yield batch.slice(i, 1)
+                else:
+                    bucket = bucket or Bucket(own, shared)
+                    sums.append(bucket.sums(kind, fields))
+        if sums:
+            yield done()
     return run
 
 
+def _totals(batches):
+    """doc_id and figures of the rows of every stretch; blocks come sorted by it."""
+    def rows(held, ids):
+        tokens = _thick(next(r[3] for r in held if r[1] == ROWS))
+        out = []
+        for k in (4, 5, 6):
+            parts = [_thick(r[k]).view(np.float64) for r in held if r[1] != ROWS]
+            own = next(r[k] for r in held if r[1] == ROWS)
+            out.append(_sum([_thick(own).astype(float) if k == 6 else np.frombuffer(own), *parts]))
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(tokens), pa.array(out[0]), pa.array(out[1]), pa.array(np.rint(out[2]).astype(np.int64))],
+            ["doc_id", "n_tokens", "log", "base", "known"])
+    held, ids = [], None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = [batch.column(k)[i].as_py() for k in range(3 + len(FIELDS))]
+            if held and row[2] != held[0][2]:
+                yield rows(held, ids)
+                held = []
+            held.append(row)
+            if row[1] == ROWS:
+                ids = batch.column(3 + len(FIELDS)).slice(i, 1).flatten()
+    if held:
+        yield rows(held, ids)
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
 
@@ -583,29 +917,22 @@ def score(docs: DataFrame, parts: int = 7, part: int = 2, depth: int = DEPTH, mi
     head = vocabulary.filter(frequent).toArrow()
     order = np.argsort(head["key"].to_numpy())
     words, counts = head["key"].to_numpy()[order], head["c"].to_numpy()[order]
-    tree, tails, lifts, held = fit(train, vocabulary, words, counts, total, discount, depth, min_share)
-    retained = None if lifts is None else bitmap.build(lifts, "key", MAP_BITS)
+    tree, totals, blocks, states, held = fit(train, vocabulary.filter(~frequent), words, counts, total, discount, depth, min_share)
+    retained = None
+    if states is not None:
+        retained = bits(states.mapInArrow(_heads, "key bigint, last bigint"), CONTEXT)
+        blocks = blocks.unionByName(states)
     model = spark.sparkContext.broadcast((tree.plain(), counts, held, retained))
-    texts = docs.select(body, "doc_id", F.monotonically_increasing_id().alias("row"))
-    scored = cut(texts.mapInArrow(
-        _score(model), f"doc_id {kind}, row bigint, n_tokens bigint, head_log double, head_base double, "
-        "head_known bigint, rare array<bigint>, times array<bigint>"), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
-        "row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
-    lookup = vocabulary.filter(~frequent).select("key", F.lit(True).alias("word"), F.col("c").cast("double").alias("x")).unionByName(
-        tails.lifts.select("key", F.lit(False).alias("word"), F.col("lift").alias("x")))
-    if lifts is not None:
-        lookup = lookup.unionByName(lifts.select("key", F.lit(False).alias("word"), "x"))
-    each = {"known": F.col("word").cast("int"), "base": F.when(F.col("word"), F.log10(F.col("x") + 1)).otherwise(0.0),
-            "log": F.when(F.col("word"), F.log10(F.col("x") - discount)).otherwise(F.col("x"))}
-    tail = rare.join(lookup, "key").groupBy("row").agg(
-        *[F.sum(F.col("times") * value).alias(f"tail_{name}") for name, value in each.items()])
-    rows = scored.drop("rare", "times").join(tail, "row", "left").fillna(0, ["tail_known", "tail_base", "tail_log"])
+    shared = spark.sparkContext.broadcast((tree.root, totals, tree.levels[0].rest, discount, total))
+    wide = f"{BLOCK}, ids array<{kind}>"
+    asked = docs.select(body, "doc_id", F.monotonically_increasing_id().alias("row")).mapInArrow(_score(model, _parts(docs)), wide)
+    asked = asked.unionByName(blocks.withColumn("ids", F.lit(None).cast(f"array<{kind}>")))
+    found = asked.repartition("bucket").sortWithinPartitions("bucket", "origin", "kind").mapInArrow(_look_up(shared), wide)
+    rows = found.repartition("origin").sortWithinPartitions("origin").mapInArrow(
+        _totals, f"doc_id {kind}, n_tokens bigint, log double, base double, known bigint")
     norm = float(np.log10(total + kinds + 1.0))
     unknown = float(np.log10(discount * kinds / total)) if total else 0.0
-    size = float(np.log10(max(total, 1)))
-    known = F.col("head_known") + F.col("tail_known")
     return rows.select(
-        "doc_id", out.alias("held_out"), "n_tokens", known.alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("head_base") + F.col("tail_base") - F.col("n_tokens") * norm).alias("base_score"),
-        (F.col("head_log") + F.col("tail_log") - F.col("tail_known") * size + (F.col("n_tokens") - known) * unknown).alias("score"))
+        "doc_id", out.alias("held_out"), "n_tokens", F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * norm).alias("base_score"),
+        (F.col("log") + (F.col("n_tokens") - F.col("known")) * unknown).alias("score"))
