@@ -78,5 +78,6 @@ def test_bits(spark):
     keys = np.random.default_rng(1).integers(-2 ** 63, 2 ** 63 - 1, 5000)
     words = s.bits(spark.createDataFrame([(int(k),) for k in keys], "key bigint"), s.PAIR)
     name = s._named(keys, s.PAIR)
-    assert bitmap.holds(words, name).all()
-    assert sum(int(w).bit_count() for w in words[words > 0]) == len(np.unique(name & np.uint64((1 << s.MAP_BITS) - 1)))
+    assert s._held(words, name).all() and bitmap.holds(words, name).all()
+    assert sum(int(w).bit_count() for w in words[words > 0]) == len(np.unique(np.concatenate(s._marks(name))))
+    assert not s._held(words, s._named(keys, s.CONTEXT)).any()

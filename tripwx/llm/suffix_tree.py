@@ -28,10 +28,12 @@ boundary, which is the end of the text before.
 
 All training symbols are counted.  Tasks pre-aggregate and ship packed,
 bucketed count blocks, which bucket tasks merge.  Frequent words (share over
-``MIN_SHARE``) are looked up in a broadcast; all others meet their counts in
-a join, and their log-probabilities simply add up.  The table of transitions
-meets the texts in the same join: it holds by how much the transition's
-share lifts the log-probability that the suffix alone would give.
+``MIN_SHARE``) are looked up in a broadcast.  What the broadcast does not hold
+- rare words, ``Tails``, two-word contexts - meets the texts in its bucket: a
+task sends every key once for a stretch of rows, with the rows that hold it,
+and the bucket returns a sum per row.  No lookup is a Spark row of its own.
+A two-word context and all its words share a bucket, which needs from others
+only the counts of rare words and of pairs, asked for and answered in blocks.
 
 Defined results: a null text is an empty one, with only its end; repeated
 rows count each; a null id is hashed as an empty string; without training
@@ -60,6 +62,7 @@ FLUSH = 3_000_000
 ID_BITS = 21                            # three word ids make one positive long
 MAP_BITS = 26
 REGIONS = 64
+BITS_SET = 3
 REGION_BITS = MAP_BITS - 6
 ONE = (1 << ID_BITS) - 1
 RARE = np.int64(-1 << 63)               # the sign of a key that is a hash, not word ids
@@ -238,7 +241,7 @@ class Tree:
         at = np.flatnonzero((context >= 0) & (ids >= 0))
         at = at[~np.isnan(self.levels[0].rest[context[at]])]
         key = (context[at] << ID_BITS) | ids[at]
-        some = bitmap.holds(words, _named(key, PAIR))
+        some = _held(words, _named(key, PAIR))
         at, key = at[some], key[some]
         some = _find(self.levels[0].keys, key) < 0
         return at[some], key[some]
@@ -384,7 +387,7 @@ def _tally_triples(model, buckets):
         held, size, fresh = [], 0, 0
         for _, data, off in pieces(batches):
             here = Run.of(tree, data, off)
-            some = bitmap.holds(words, _named(here.pair, PAIR)) & (here.place >= 1)
+            some = _held(words, _named(here.pair, PAIR)) & (here.place >= 1)
             pair = np.flatnonzero(some & (here.hashes != BOUNDARY))      # nothing follows the end
             three = np.flatnonzero(some & (here.place >= 2))
             three = three[some[three - 1]]
@@ -430,6 +433,19 @@ def _gather_triples(batches):
             yield _batch([(bucket, TRIPLES, -1, *_pack(context[some], symbol[some], count[some]))])
 
 
+def _marks(name: np.ndarray) -> list:
+    """The bits that a name sets: few other names share all of them."""
+    return [((name if k == 0 else mix(name + np.uint64(k))) & np.uint64((1 << MAP_BITS) - 1)).view(np.int64) for k in range(BITS_SET)]
+
+
+def _held(words: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Which names may be in the bitmap."""
+    out = bitmap.holds(words, name)
+    for k in range(1, BITS_SET):
+        out[out] = bitmap.holds(words, mix(name[out] + np.uint64(k)))
+    return out
+
+
 def _slots(kind):
     """Blocks, by region of the bitmap, of the bits that the named keys set."""
     def run(batches):
@@ -441,8 +457,8 @@ def _slots(kind):
         held, size = [], 0
         for batch in batches:
             name = _named(batch.column("key").to_numpy(), kind)
-            held.append((name & np.uint64((1 << MAP_BITS) - 1)).view(np.int64))
-            size += len(name)
+            held += _marks(name)
+            size += BITS_SET * len(name)
             if size > FLUSH:
                 yield blocks()
                 held, size = [], 0
@@ -770,7 +786,7 @@ def _score(model, buckets):
             three = np.zeros(0, np.int64)
             if retained is not None:
                 three = np.flatnonzero(here.place >= 2)
-                three = three[bitmap.holds(retained, _named(here.pair[three - 1], CONTEXT))]
+                three = three[_held(retained, _named(here.pair[three - 1], CONTEXT))]
             owner = (np.repeat(np.arange(len(begin) - 1), np.diff(begin)) + texts).astype(np.int32)
             held.append([np.diff(begin) - 1, *sums, hashes[rare], owner[rare], pair, owner[at],
                          here.pair[three - 1], here.symbols[three], owner[three]])
@@ -834,35 +850,34 @@ def _sum(parts: list) -> np.ndarray:
 
 
 def _look_up(model):
-    """Per bucket and stretch of rows, the sums of what its blocks look up;
-    rows come sorted by bucket, the bucket's own blocks (origin -1) first."""
+    """Per stretch of rows the sums of what its blocks look up, over the
+    buckets of a task as long as FLUSH sums hold them; rows come sorted by
+    bucket, the bucket's own blocks (origin -1) first."""
     def run(batches):
-        shared = model.value
-        last, own, bucket = None, [], None
-        stretch, sums = None, []
-
         def done():
-            log, base, known = [_thin(_sum(x).view(np.int64)) for x in zip(*sums)]
-            return _batch([(0, ANSWER, stretch, None, log, base, known)], pa.nulls(1, kind_of))
+            for origin, parts in sums.items():
+                yield _batch([(0, ANSWER, origin, None, *[_thin(x.view(np.int64)) for x in parts])], none)
+            sums.clear()
+
+        shared = model.value
+        last, own, bucket, sums, none = None, [], None, {}, None
         for batch in batches:
-            kind_of = batch.schema.field("ids").type
+            none = pa.nulls(1, batch.schema.field("ids").type)
             for i in range(batch.num_rows):
                 b, kind, origin, *fields = [batch.column(k)[i].as_py() for k in range(3 + len(FIELDS))]
-                if (b, origin) != (last, stretch) and sums:
-                    yield done()
-                    sums = []
                 if b != last:
                     last, own, bucket = b, [], None
-                stretch = origin
                 if origin < 0:
                     own.append([kind, origin, *fields])
                 elif kind == ROWS:
                     yield batch.slice(i, 1)
                 else:
                     bucket = bucket or Bucket(own, shared)
-                    sums.append(bucket.sums(kind, fields))
-        if sums:
-            yield done()
+                    found = bucket.sums(kind, fields)
+                    sums[origin] = [_sum(x) for x in zip(sums.get(origin, [None] * 3), found)]
+                    if sum(len(x) for parts in sums.values() for x in parts) > FLUSH:
+                        yield from done()
+        yield from done()
     return run
 
 
